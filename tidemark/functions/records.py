@@ -13,7 +13,8 @@ def decode(lines: DataFrame, schema: StructType, value: str = "value", keep: lis
     wide = StructType([*schema.fields, StructField(BAD, StringType())])
     record = F.from_json(F.col(value), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD})
     kept = [F.col(name) for name in (keep or []) if name in lines.columns]
-    parsed = lines.select(*kept, F.col(value).alias("_text"), record.alias("_record"))
+    # a generator keeps the parse apart: filters on its fields do not pull a second parse below it
+    parsed = lines.select(*kept, F.col(value).alias("_text"), F.explode(F.array(record)).alias("_record"))
     unread = F.col("_record").isNull() | F.col(f"_record.{BAD}").isNotNull()
     fields = [F.col(f"_record.`{field.name}`").alias(field.name) for field in schema.fields]
     return parsed.select(*kept, *fields, F.when(unread, F.coalesce("_text", F.lit(""))).alias(BAD))

@@ -9,17 +9,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, SparkSession, functions as F
 
-# The character classes of the two kinds of runs.
-PAIRED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}"
+# Code ranges of hangul, radicals, kana and Han characters.
+PAIRED = (
+    r"\u1100-\u11FF\u2E80-\u2FDF\u3041-\u3096\u309D-\u309F\u30A1-\u30FA\u30FC-\u30FF\u31F0-\u31FF"
+    r"\u3400-\u4DBF\u4E00-\u9FFF\uAC00-\uD7A3\uF900-\uFAFF\x{20000}-\x{3FFFF}"
+)
+WORDS = r"[\p{L}\p{N}]+"
 RUNS = rf"[{PAIRED}]+|[\p{{L}}\p{{N}}&&[^{PAIRED}]]+"
 
 
 def tokenize(text: Column | str) -> Column:
     """Array of lower-case keywords; a text without any gives itself, NULL gives NULL."""
     source = F.col(text) if isinstance(text, str) else text
-    runs = F.regexp_extract_all(F.lower(source), F.lit(RUNS), F.lit(0))
-    words = F.flatten(F.transform(runs, _split_run))
-    return F.when(F.size(words) > 0, words).when(source.isNotNull(), F.array(source))
+    low = F.lower(source)
+    runs = F.regexp_extract_all(low, F.lit(RUNS), F.lit(0))
+    # most texts have no character to pair and need no second step per word
+    words = F.when(F.rlike(low, F.lit(f"[{PAIRED}]")), F.flatten(F.transform(runs, _split_run))).otherwise(
+        F.regexp_extract_all(low, F.lit(WORDS), F.lit(0))
+    )
+    # through a one-element array, so that the words are not computed again for the test
+    known = F.transform(F.array(words), lambda found: F.when(F.size(found) > 0, found).otherwise(F.array(source)))
+    return F.when(source.isNotNull(), F.element_at(known, 1))
 
 
 def _split_run(run: Column) -> Column:
@@ -29,21 +39,17 @@ def _split_run(run: Column) -> Column:
 
 
 def register_keyword_function(spark: SparkSession, name: str = "keywords") -> None:
-    """Make the segmentation callable from SQL: ``LATERAL explode(keywords(item))``.
+    """Make the segmentation callable from SQL: ``SELECT word FROM log, LATERAL keywords(item)``.
 
-    It is registered as a SQL function, so SQL users get the same JVM plan as
+    It is a SQL table function, so SQL users get the same kind of plan as
     ``tokenize`` and no Python worker starts.
     """
-    spark.sql(
-        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(item STRING) RETURNS TABLE (word STRING) "
-        f"RETURN SELECT explode({_sql_text('item')})"
-    )
-
-
-def _sql_text(item: str) -> str:
-    runs = f"regexp_extract_all(lower({item}), r'{RUNS}', 0)"
+    runs = f"regexp_extract_all(lower(item), r'{RUNS}', 0)"
     words = (
         f"flatten(transform({runs}, run -> CASE WHEN rlike(run, r'^[{PAIRED}]') AND length(run) > 2 "
-        f"THEN transform(sequence(1, length(run) - 1), at -> substr(run, at, 2)) ELSE array(run) END))"
+        f"THEN transform(sequence(1, length(run) - 1), i -> substr(run, i, 2)) ELSE array(run) END))"
+    )
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(item STRING) RETURNS TABLE (word STRING) "
+        f"RETURN SELECT explode(if(size({words}) > 0, {words}, array(item))) AS word WHERE item IS NOT NULL"
     )
-    return f"CASE WHEN size({words}) > 0 THEN {words} WHEN {item} IS NOT NULL THEN array({item}) END"

@@ -10,10 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from tidemark.functions.records import encode_set
-from tidemark.functions.times import time_text
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Labels of the codes; 2404, 1105, 1502 and 1303 have none on purpose.
 DICTIONARY = [
@@ -30,9 +27,19 @@ ROUTES = [
 ]
 
 
+# A file of one row group is read by one task, whatever its size on disk.  Inputs between these sizes are dealt
+# out to all cores; larger ones come in enough pieces and are read as they are, without this shuffle.
+SPREAD_FROM = 1 << 20
+SPREAD_PER_CORE = 32 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A sample table; its timestamps carry no zone and are read as session time."""
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if SPREAD_FROM <= size < SPREAD_PER_CORE * cores:
+        rows = rows.repartition(cores)
     zoned = {f.name: F.col(f.name).cast("timestamp") for f in rows.schema if f.dataType.typeName() == "timestamp_ntz"}
     return rows.withColumns(zoned) if zoned else rows
 
@@ -51,37 +58,31 @@ def routes(spark: SparkSession) -> DataFrame:
     return _values(spark, ROUTES, ["source_table", "sink_table", "sink_columns", "sink_pk", "sink_extend"])
 
 
-def _text(value: Column | str) -> Column:
-    return (F.col(value) if isinstance(value, str) else value).cast("string")
-
+TIME = "'yyyy-MM-dd HH:mm:ss'"
 
-def _code(prefix: str, number: Column) -> Column:
-    return F.concat(F.lit(prefix), _text(number))
 
+def _payload(**fields: str) -> str:
+    return "map(" + ", ".join(f"'{name}', {value}" for name, value in fields.items()) + ")"
 
-def _payload(**fields: Column) -> Column:
-    return F.create_map(*[part for name, value in fields.items() for part in (F.lit(name), value)])
 
-
-def _change(rows: DataFrame, name: str, kind: Column | str, at: Column, data: Column, old: Column | None = None):
-    return rows.select(
-        F.lit("gmall").alias("database"),
-        F.lit(name).alias("table"),
-        (F.lit(kind) if isinstance(kind, str) else kind).alias("type"),
-        _text(F.unix_timestamp(at)).alias("ts"),
-        data.alias("data"),
-        (F.lit(None) if old is None else old).cast("map<string,string>").alias("old"),
+def _change(rows: DataFrame, name: str, kind: str, at: str, data: str, old: str = "NULL") -> DataFrame:
+    return rows.selectExpr(
+        "'gmall' AS database",
+        f"'{name}' AS table",
+        f"{kind} AS type",
+        f"string(unix_timestamp({at})) AS ts",
+        f"{data} AS data",
+        f"CAST({old} AS map<string,string>) AS old",
     )
 
 
-def _money(value: str) -> Column:
-    return F.col(value).cast("decimal(18,2)")
+INSERT, UPDATE = "'insert'", "'update'"
 
 
 def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All change records: ``database``, ``table``, ``type``, ``ts``, ``data``, ``old``."""
     orders, events = table(spark, sf_dir, "orders"), table(spark, sf_dir, "events")
-    lines = table(spark, sf_dir, "lineitem").withColumn("id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    lines = table(spark, sf_dir, "lineitem").withColumn("id", F.expr("l_orderkey * 10 + l_linenumber"))
     parts = [
         *_order_changes(orders),
         *_line_changes(lines),
@@ -93,190 +94,160 @@ def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _order_changes(orders: DataFrame) -> list[DataFrame]:
-    placed, changed = F.col("o_orderdate"), F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")
+    placed, changed = "o_orderdate", "o_orderdate + INTERVAL 1 DAY"
 
-    def info(status: Column, **more: Column) -> Column:
+    def info(status: str, **more: str) -> str:
         return _payload(
-            id=_text("o_orderkey"),
-            user_id=_text("o_custkey"),
+            id="string(o_orderkey)",
+            user_id="string(o_custkey)",
             order_status=status,
-            total_amount=_text(_money("o_totalprice")),
-            province_id=_text(F.col("o_custkey") % 25),
-            create_time=time_text(placed),
+            total_amount="string(CAST(o_totalprice AS decimal(18,2)))",
+            province_id="string(o_custkey % 25)",
+            create_time=f"date_format({placed}, {TIME})",
             **more,
         )
 
-    state = F.col("o_orderstatus")
-    steps = (
-        F.when(state == "F", F.array(F.lit("1003")))
-        .when(state == "P", F.array(F.lit("1005"), F.lit("1006")))
-        .when(state == "O", F.array(F.lit("1002")))
+    updates = orders.withColumn(
+        "status",
+        F.expr(
+            "explode(CASE o_orderstatus WHEN 'F' THEN array('1003') WHEN 'P' THEN array('1005', '1006') "
+            "WHEN 'O' THEN array('1002') END)"
+        ),
     )
-    updates = orders.withColumn("_status", F.explode(steps))
     paid = _payload(
-        order_id=_text("o_orderkey"),
-        user_id=_text("o_custkey"),
-        payment_status=F.lit("1602"),
-        payment_type=F.concat(F.lit("110"), F.substring("o_orderpriority", 1, 1)),
-        callback_time=time_text(placed),
+        order_id="string(o_orderkey)",
+        user_id="string(o_custkey)",
+        payment_status="'1602'",
+        payment_type="concat('110', substr(o_orderpriority, 1, 1))",
+        callback_time=f"date_format({placed}, {TIME})",
     )
+    updated = info("status", operate_time=f"date_format({changed}, {TIME})")
     return [
-        _change(orders, "order_info", "insert", placed, info(F.lit("1001"))),
-        _change(
-            updates, "order_info", "update", changed, info(F.col("_status"), operate_time=time_text(changed)),
-            _payload(order_status=F.lit("1001")),
-        ),
+        _change(orders, "order_info", INSERT, placed, info("'1001'")),
+        _change(updates, "order_info", UPDATE, changed, updated, "map('order_status', '1001')"),
         _change(
-            orders.filter(state == "O"), "payment_info", "update", placed, paid,
-            _payload(payment_status=F.lit("1601")),
+            orders.filter("o_orderstatus = 'O'"), "payment_info", UPDATE, placed, paid, "map('payment_status', '1601')"
         ),
-    ]
+    ]
 
 
 def _line_changes(lines: DataFrame) -> list[DataFrame]:
-    shipped, price = F.col("l_shipdate"), _money("l_extendedprice")
-    reduced, couponed = F.col("l_discount") > 0.05, F.col("l_tax") > 0.04
-
-    def share(rate: str, given: Column) -> Column:
-        return F.when(given, _text(price * F.col(rate).cast("decimal(4,2)")))
-
+    shipped, price = "l_shipdate", "CAST(l_extendedprice AS decimal(18,2))"
+    reduced, couponed = "l_discount > 0.05", "l_tax > 0.04"
+    number, time = "string(CAST(l_quantity AS int))", f"date_format({shipped}, {TIME})"
+    keys = dict(id="string(id)", order_id="string(l_orderkey)", sku_id="string(l_partkey)")
     detail = _payload(
-        id=_text("id"),
-        order_id=_text("l_orderkey"),
-        sku_id=_text("l_partkey"),
-        sku_num=_text(F.col("l_quantity").cast("int")),
-        order_price=_text(price),
-        create_time=time_text(shipped),
-        source_type=_code("240", F.col("l_linenumber") % 5),
-        split_activity_amount=share("l_discount", reduced),
-        split_coupon_amount=share("l_tax", couponed),
+        **keys,
+        sku_num=number,
+        order_price=f"string({price})",
+        create_time=time,
+        source_type="concat('240', string(l_linenumber % 5))",
+        split_activity_amount=f"CASE WHEN {reduced} THEN string({price} * CAST(l_discount AS decimal(4,2))) END",
+        split_coupon_amount=f"CASE WHEN {couponed} THEN string({price} * CAST(l_tax AS decimal(4,2))) END",
     )
-    keys = dict(id=_text("id"), order_id=_text("l_orderkey"), sku_id=_text("l_partkey"))
     activity = _payload(
-        **keys, order_detail_id=_text("id"), activity_id=_text(F.col("id") % 4), activity_rule_id=_text(F.col("id") % 3)
-    )
-    coupon = _payload(
-        **keys, order_detail_id=_text("id"), coupon_id=_text(F.col("id") % 3), coupon_use_id=_text(F.col("id") % 7)
+        **keys, order_detail_id="string(id)", activity_id="string(id % 4)", activity_rule_id="string(id % 3)"
     )
+    coupon = _payload(**keys, order_detail_id="string(id)", coupon_id="string(id % 3)", coupon_use_id="string(id % 7)")
     request = _payload(
         **keys,
-        refund_num=_text(F.col("l_quantity").cast("int")),
-        refund_type=_code("150", F.col("l_linenumber") % 3),
-        refund_reason_type=_code("130", F.col("l_suppkey") % 4),
-        create_time=time_text(shipped),
+        refund_num=number,
+        refund_type="concat('150', string(l_linenumber % 3))",
+        refund_reason_type="concat('130', string(l_suppkey % 4))",
+        create_time=time,
     )
     refund = _payload(
         **keys,
-        payment_type=_code("110", F.col("l_linenumber") % 5 + 1),
-        total_amount=_text(price),
-        callback_time=time_text(shipped),
+        payment_type="concat('110', string(l_linenumber % 5 + 1))",
+        total_amount=f"string({price})",
+        callback_time=time,
     )
-    returned = lines.filter(F.col("l_returnflag") == "R")
+    returned = lines.filter("l_returnflag = 'R'")
     return [
-        _change(lines, "order_detail", "insert", shipped, detail),
-        _change(lines.filter(reduced), "order_detail_activity", "insert", shipped, activity),
-        _change(lines.filter(couponed), "order_detail_coupon", "insert", shipped, coupon),
-        _change(returned, "order_refund_info", "insert", shipped, request),
-        _change(returned, "refund_payment", "insert", shipped, refund),
+        _change(lines, "order_detail", INSERT, shipped, detail),
+        _change(lines.filter(reduced), "order_detail_activity", INSERT, shipped, activity),
+        _change(lines.filter(couponed), "order_detail_coupon", INSERT, shipped, coupon),
+        _change(returned, "order_refund_info", INSERT, shipped, request),
+        _change(returned, "refund_payment", INSERT, shipped, refund),
     ]
 
 
 def _coupon_changes(orders: DataFrame) -> list[DataFrame]:
-    got, state = F.col("o_orderdate"), F.col("o_orderstatus")
-    using, used = got + F.expr("INTERVAL 1 HOUR"), got + F.expr("INTERVAL 2 HOURS")
-    keys = dict(id=_text("o_orderkey"), coupon_id=_text(F.col("o_custkey") % 3), user_id=_text("o_custkey"))
-    order = dict(order_id=_text("o_orderkey"))
-    received = _payload(**keys, coupon_status=F.lit("1401"), get_time=time_text(got))
-    ordered = _payload(**keys, **order, coupon_status=F.lit("1402"), using_time=time_text(using))
-    paid = _payload(**keys, **order, coupon_status=F.lit("1403"), used_time=time_text(used))
-    was = [_payload(coupon_status=F.lit(code)) for code in ("1401", "1402")]
+    got, using, used = "o_orderdate", "o_orderdate + INTERVAL 1 HOUR", "o_orderdate + INTERVAL 2 HOURS"
+    keys = dict(id="string(o_orderkey)", coupon_id="string(o_custkey % 3)", user_id="string(o_custkey)")
+    order = dict(order_id="string(o_orderkey)")
+    received = _payload(**keys, coupon_status="'1401'", get_time=f"date_format({got}, {TIME})")
+    ordered = _payload(**keys, **order, coupon_status="'1402'", using_time=f"date_format({using}, {TIME})")
+    paid = _payload(**keys, **order, coupon_status="'1403'", used_time=f"date_format({used}, {TIME})")
+    later, last = orders.filter("o_orderstatus <> 'F'"), orders.filter("o_orderstatus = 'O'")
     return [
-        _change(orders, "coupon_use", "insert", got, received),
-        _change(orders.filter(state != "F"), "coupon_use", "update", using, ordered, was[0]),
-        _change(orders.filter(state == "O"), "coupon_use", "update", used, paid, was[1]),
+        _change(orders, "coupon_use", INSERT, got, received),
+        _change(later, "coupon_use", UPDATE, using, ordered, "map('coupon_status', '1401')"),
+        _change(last, "coupon_use", UPDATE, used, paid, "map('coupon_status', '1402')"),
     ]
 
 
 def _event_changes(events: DataFrame) -> list[DataFrame]:
-    at, number = F.col("ts"), F.col("event_id")
-    kind = F.when(number % 2 == 0, "insert").otherwise("update")
-    keys = dict(id=_text("event_id"), user_id=_text("user_id"))
+    kind, time = f"if(event_id % 2 = 0, {INSERT}, {UPDATE})", f"date_format(ts, {TIME})"
+    keys = dict(id="string(event_id)", user_id="string(user_id)")
     cart = _payload(
         **keys,
-        sku_num=_text(F.col("value").cast("int") % 7),
-        source_type=_code("240", number % 5),
-        create_time=time_text(at),
+        sku_num="string(CAST(value AS int) % 7)",
+        source_type="concat('240', string(event_id % 5))",
+        create_time=time,
+    )
+    before = (
+        "CASE WHEN event_id % 2 = 0 THEN NULL WHEN event_id % 3 = 0 THEN map('is_checked', '1') "
+        "ELSE map('sku_num', string(event_id % 5)) END"
     )
-    before = F.when(number % 2 == 0, F.lit(None)).otherwise(
-        F.when(number % 3 == 0, _payload(is_checked=F.lit("1"))).otherwise(_payload(sku_num=_text(number % 5)))
+    item = dict(sku_id="string(event_id % 50)", create_time=time)
+    favour = _payload(**keys, **item, is_cancel="string(event_id % 3 % 2)")
+    remark = _payload(
+        **keys, **item, order_id="string(event_id)", appraise="concat('120', string(event_id % 3 + 1))"
     )
-    item = dict(sku_id=_text(number % 50), create_time=time_text(at))
-    favour = _payload(**keys, **item, is_cancel=_text(number % 3 % 2))
-    remark = _payload(**keys, **item, order_id=_text("event_id"), appraise=_code("120", number % 3 + 1))
-    event = F.col("event_type")
     return [
-        _change(events.filter(event == "purchase"), "cart_info", kind, at, cart, before),
-        _change(events.filter(event == "click"), "favor_info", kind, at, favour),
-        _change(events.filter(event == "error"), "comment_info", "insert", at, remark),
+        _change(events.filter("event_type = 'purchase'"), "cart_info", kind, "ts", cart, before),
+        _change(events.filter("event_type = 'click'"), "favor_info", kind, "ts", favour),
+        _change(events.filter("event_type = 'error'"), "comment_info", INSERT, "ts", remark),
     ]
 
 
 def _customer_changes(customers: DataFrame) -> DataFrame:
-    since = F.timestamp_seconds(F.unix_timestamp(F.lit("2024-01-01 00:00:00")) + F.col("c_custkey") * 3)
-    info = _payload(id=_text("c_custkey"), name=F.col("c_name"), create_time=time_text(since))
-    return _change(customers, "user_info", "insert", since, info)
+    since = "timestamp_seconds(unix_timestamp(timestamp'2024-01-01 00:00:00') + c_custkey * 3)"
+    info = _payload(id="string(c_custkey)", name="c_name", create_time=f"date_format({since}, {TIME})")
+    return _change(customers, "user_info", INSERT, since, info)
 
 
 def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page-log records: ``common``, ``page``, ``ts`` and ``seq``, the event number."""
-    events = table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
-    device = _text("user_id")
-    kind = F.col("event_type")
     page_id = (
-        F.when(kind == "view", "home")
-        .when(kind == "click", "good_detail")
-        .when(kind == "signup", "login")
-        .when(kind == "purchase", "trade")
-        .otherwise("mine")
-    )
-    common = F.struct(
-        _text(F.col("user_id") % 5).alias("ar"),
-        _code("ch", k % 3).alias("ch"),
-        F.when(kind == "signup", "1").otherwise("0").alias("is_new"),
-        device.alias("mid"),
-        F.when(k % 10 != 0, device).alias("uid"),
-        _code("v", k % 4).alias("vc"),
+        "CASE event_type WHEN 'view' THEN 'home' WHEN 'click' THEN 'good_detail' WHEN 'signup' THEN 'login' "
+        "WHEN 'purchase' THEN 'trade' ELSE 'mine' END"
     )
-    page = F.struct(
-        F.round(F.col("value") * 100).cast("bigint").alias("during_time"),
-        F.concat_ws(" ", page_id, _code("ch", k % 3)).alias("item"),
-        F.when(F.col("event_id") % 2 == 0, "keyword").otherwise("sku_ids").alias("item_type"),
-        F.when(k % 3 == 1, "search").when(k % 3 == 2, "login").alias("last_page_id"),
-        page_id.alias("page_id"),
+    events = table(spark, sf_dir, "events").selectExpr(
+        "*", "int(get_json_object(props, '$.k')) AS k", f"{page_id} AS page_id"
     )
-    return events.select(
-        common.alias("common"), page.alias("page"), F.unix_millis("ts").alias("ts"), F.col("event_id").alias("seq")
+    return events.selectExpr(
+        "struct(string(user_id % 5) AS ar, concat('ch', string(k % 3)) AS ch, "
+        "if(event_type = 'signup', '1', '0') AS is_new, string(user_id) AS mid, "
+        "if(k % 10 <> 0, string(user_id), NULL) AS uid, concat('v', string(k % 4)) AS vc) AS common",
+        "struct(bigint(round(value * 100)) AS during_time, concat(page_id, ' ch', string(k % 3)) AS item, "
+        "if(event_id % 2 = 0, 'keyword', 'sku_ids') AS item_type, "
+        "CASE k % 3 WHEN 1 THEN 'search' WHEN 2 THEN 'login' END AS last_page_id, page_id) AS page",
+        "unix_millis(ts) AS ts",
+        "event_id AS seq",
     )
 
 
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw log lines (``value``, ``seq``) with launches, displays, actions, errors and unreadable text."""
-    pages, seq = page_log(spark, sf_dir), F.col("seq")
-
-    def listed(count: Column, build) -> Column:
-        return F.when(count > 0, F.transform(F.sequence(F.lit(1), count.cast("int")), build))
-
-    launch = seq % 50 == 0
-    shown = listed(seq % 4, lambda i: F.struct(_text(i).alias("item")))
-    acted = listed(seq % 3, lambda i: F.struct(_text(i).alias("action_id"), (F.col("ts") + i).alias("ts")))
-    line = encode_set(
-        "common",
-        F.when(launch, F.struct(F.lit("icon").alias("entry"))).alias("start"),
-        F.when(~launch, F.col("page")).alias("page"),
-        shown.alias("displays"),
-        acted.alias("actions"),
-        F.when(F.col("page.page_id") == "mine", F.struct(F.lit(1001).alias("error_code"))).alias("err"),
-        "ts",
+    line = (
+        "to_json(struct(common, "
+        "CASE WHEN seq % 50 = 0 THEN struct('icon' AS entry) END AS start, "
+        "CASE WHEN seq % 50 <> 0 THEN page END AS page, "
+        "CASE WHEN seq % 4 > 0 THEN transform(sequence(1, int(seq % 4)), i -> struct(string(i) AS item)) END AS displays, "
+        "CASE WHEN seq % 3 > 0 THEN transform(sequence(1, int(seq % 3)), "
+        "i -> struct(string(i) AS action_id, ts + i AS ts)) END AS actions, "
+        "CASE WHEN page.page_id = 'mine' THEN struct(1001 AS error_code) END AS err, ts))"
     )
-    return pages.select(F.when(seq % 97 == 0, "not json").otherwise(line).alias("value"), "seq")
+    return page_log(spark, sf_dir).selectExpr(f"if(seq % 97 = 0, 'not json', {line}) AS value", "seq")

@@ -7,6 +7,7 @@ no two runs agree on them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -42,10 +43,13 @@ def _flat_page(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("seq").alias("id"), *common, *page, "ts")
 
 
+# Input plans (not data) are made once per session: they are the same for all queries.
+@lru_cache(maxsize=8)
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
     return sample.page_log(prepare(spark), sf)
 
 
+@lru_cache(maxsize=8)
 def _changes(spark: SparkSession, sf: str) -> DataFrame:
     return sample.changelog(prepare(spark), sf)
 
