@@ -123,10 +123,10 @@ def repair_is_new(records: DataFrame, tie: list[str], flag: str = "common.is_new
     return records.filter(~claims).unionByName(repaired)
 
 
-def first_wins(rows: DataFrame, keys: list[str], order: list[Column | str], ttl: str = "5 seconds", time: str = "pt") -> DataFrame:
-    """One row per key: the first to arrive."""
+def first_wins(rows: DataFrame, keys: list[str], order: list[str], ttl: str = "5 seconds") -> DataFrame:
+    """One row per key: the first in arrival ``order``; streams forget a key ``ttl`` after its last row."""
     if rows.isStreaming:
-        return stateful.first_wins(rows, keys, ttl, time)
+        return stateful.first_wins(rows, keys, order, ttl)
     return first_rows(rows, keys, order)
 
 

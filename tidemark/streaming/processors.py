@@ -1,36 +1,45 @@
 """Per-key logic of the stateful operators.
 
-Each processor sees the rows of one key that arrived in one micro-batch, in no
-particular order, and applies its rule in event order.  Where the rule allows
-it the rows are read once and only one row per calendar day is held, so a key
-with very many rows does not fill the worker's memory.
+A processor sees the rows of one key that arrived in one micro-batch, in no
+particular order, and applies its rule in event order.  Rows come with
+``_place``, the values they are ordered by, and ``_row``, the row itself as
+JSON text that no processor looks into.  Where the rule allows it the rows are
+read once and only one row per calendar day is held, so a key with very many
+rows does not fill the worker's memory.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from datetime import date
 
 from pyspark.sql import Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
 
 DAY_MS = 24 * 60 * 60 * 1000
 
+PLAIN = Row("_row")
+MARKED = Row("_row", "unique_user", "new_user")
+RETURNED = Row("_row", "uu", "back")
+JUDGED = Row("_row", "_keep")
 
-def _place(row: Row, order: list[str]) -> tuple:
-    # NULLs first, as in the bounded form
-    return tuple((row[name] is not None, row[name]) for name in order)
 
+def _rank(place: str) -> tuple:
+    """JSON array of order values to something that sorts, NULLs first."""
+    return tuple((value is not None, value) for value in json.loads(place))
 
-def _rank(tie: dict) -> tuple:
-    return tuple((value is not None, value) for value in tie.values())
+
+class _Keyed(StatefulProcessor):
+    def close(self) -> None:
+        pass
 
 
-class _DayProcessor(StatefulProcessor):
+class _Daily(_Keyed):
     """Keeps the last day seen; ``_day`` is ISO text, so days compare as text."""
 
-    def __init__(self, order: list[str], ttl_ms: int | None = None):
-        self.order, self.ttl_ms = order, ttl_ms
+    def __init__(self, ttl_ms: int | None = None):
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "day STRING", self.ttl_ms)
@@ -38,199 +47,189 @@ class _DayProcessor(StatefulProcessor):
     def _last_day(self) -> str | None:
         return self.last.get()[0] if self.last.exists() else None
 
-    def close(self) -> None:
-        pass
 
+def _earliest_per_day(rows: Iterator[Row]) -> tuple[dict[str, Row], Iterator[Row]]:
+    """First row of each day, filled while the returned iterator over all others is read."""
+    first: dict[str, tuple] = {}
+    found: dict[str, Row] = {}
+
+    def others() -> Iterator[Row]:
+        for row in rows:
+            day, rank = row["_day"], _rank(row["_place"])
+            if day not in found:
+                found[day], first[day] = row, rank
+            elif rank < first[day]:
+                row, found[day], first[day] = found[day], row, rank
+                yield row
+            else:
+                yield row
+
+    return found, others()
 
-class FirstOfDay(_DayProcessor):
+
+class FirstOfDay(_Daily):
     """Passes a row when its day differs from the last one passed."""
 
-    def __init__(self, order: list[str], columns: list[str], ttl_ms: int | None = DAY_MS):
-        super().__init__(order, ttl_ms)
-        self.columns = columns
+    def __init__(self, ttl_ms: int | None = DAY_MS):
+        super().__init__(ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        earliest: dict[str, Row] = {}
-        for row in rows:
-            held = earliest.get(row["_day"])
-            if held is None or _place(row, self.order) < _place(held, self.order):
-                earliest[row["_day"]] = row
+        found, others = _earliest_per_day(rows)
+        for _ in others:
+            pass
         last = self._last_day()
-        for day in sorted(earliest):
+        for day in sorted(found):
             if day != last:
                 last = day
-                self.last.update((day,))
-                yield Row(*[earliest[day][name] for name in self.columns])
+                yield PLAIN(found[day]["_row"])
+        if last is not None:
+            self._remember(last)
 
+    def _remember(self, day: str) -> None:
+        # written only when it changes: the time to live counts from the last pass
+        if day != self._last_day():
+            self.last.update((day,))
 
-class MarkUnique(_DayProcessor):
-    """Marks the first row of a new day as a unique user, the first row ever as a new one."""
 
-    def __init__(self, order: list[str], columns: list[str], only_unique: bool):
-        super().__init__(order)
-        self.columns, self.only_unique = columns, only_unique
+class MarkUnique(_Daily):
+    """Marks the first row of a new day as a unique user, the first row ever as a new one."""
 
-    def _out(self, row: Row, unique: int, first: int) -> Row:
-        return Row(*[row[name] for name in self.columns], unique, first)
+    def __init__(self, only_unique: bool):
+        super().__init__()
+        self.only_unique = only_unique
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        earliest: dict[str, Row] = {}
-        for row in rows:
-            held = earliest.get(row["_day"])
-            later = row
-            if held is None or _place(row, self.order) < _place(held, self.order):
-                earliest[row["_day"]], later = row, held
-            if later is not None and not self.only_unique:
-                yield self._out(later, 0, 0)
+        found, others = _earliest_per_day(rows)
+        for row in others:
+            if not self.only_unique:
+                yield MARKED(row["_row"], 0, 0)
         last = self._last_day()
-        for day in sorted(earliest):
+        for day in sorted(found):
             if day != last:
-                yield self._out(earliest[day], 1, int(last is None))
+                yield MARKED(found[day]["_row"], 1, int(last is None))
                 last = day
-                self.last.update((day,))
             elif not self.only_unique:
-                yield self._out(earliest[day], 0, 0)
+                yield MARKED(found[day]["_row"], 0, 0)
+        self.last.update((last,))
 
 
-class ReturningUsers(_DayProcessor):
+class ReturningUsers(_Daily):
     """One row per new login day, marked when the user was away long enough."""
 
-    def __init__(self, user: str, time: str, gap_days: int):
-        super().__init__([time])
-        self.user, self.time, self.gap_days = user, time, gap_days
+    def __init__(self, gap_days: int):
+        super().__init__()
+        self.gap_days = gap_days
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        from datetime import date
-
-        earliest: dict[str, Row] = {}
-        for row in rows:
-            held = earliest.get(row["_day"])
-            if held is None or row[self.time] < held[self.time]:
-                earliest[row["_day"]] = row
+        found, others = _earliest_per_day(rows)
+        for _ in others:
+            pass
         last = self._last_day()
-        for day in sorted(earliest):
+        for day in sorted(found):
             if day == last:
                 continue
             away = (date.fromisoformat(day) - date.fromisoformat(last)).days if last else 0
-            row = earliest[day]
-            yield Row(row[self.user], row[self.time], 1, int(away >= self.gap_days))
+            yield RETURNED(found[day]["_row"], 1, int(away >= self.gap_days))
             last = day
-            self.last.update((day,))
+        self.last.update((last,))
 
 
-class RepairIsNew(_DayProcessor):
-    """Sets the new-visitor mark to '0' on every day but the device's first.
+class RepairIsNew(_Daily):
+    """Tells on which rows the new-visitor mark may stay: those of the device's first day.
 
     Rows arrive with ``_claims`` (marked new) and ``_before`` (the day before
     their own).  Only marked rows of a device without state are held, until the
     device's first row of the batch is known.
     """
 
-    def __init__(self, order: list[str], columns: list[str]):
-        super().__init__(order)
-        self.columns = columns
-
-    def _out(self, row: Row, keep: bool) -> Row:
-        return Row(*[row[name] for name in self.columns], keep)
-
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         settled = self._last_day()
-        first, waiting = None, []
+        first, rank, waiting = None, None, []
         for row in rows:
             if settled is not None or not row["_claims"]:
-                yield self._out(row, row["_claims"] and row["_day"] == settled)
+                yield JUDGED(row["_row"], bool(row["_claims"] and row["_day"] == settled))
             else:
                 waiting.append(row)
-            if settled is None and (first is None or _place(row, self.order) < _place(first, self.order)):
-                first = row
+            if settled is None:
+                own = _rank(row["_place"])
+                if first is None or own < rank:
+                    first, rank = row, own
         if settled is None and first is not None:
             settled = first["_day"] if first["_claims"] else first["_before"]
             self.last.update((settled,))
             for row in waiting:
-                yield self._out(row, row["_day"] == settled)
+                yield JUDGED(row["_row"], row["_day"] == settled)
 
 
-class FirstWins(StatefulProcessor):
+class FirstWins(_Keyed):
     """Passes the first row of a key; every later one prolongs the memory of it."""
 
-    def __init__(self, order: list[str], columns: list[str], ttl_ms: int):
-        self.order, self.columns, self.ttl_ms = order, columns, ttl_ms
+    def __init__(self, ttl_ms: int):
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "mark STRING", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         known = self.seen.exists()
-        first = next(rows, None)
+        first, rank = None, None
         for row in rows:
-            if not known and _place(row, self.order) < _place(first, self.order):
-                first = row
+            own = None if known else _rank(row["_place"])
+            if not known and (first is None or own < rank):
+                first, rank = row, own
         self.seen.update(("1",))
-        if not known and first is not None:
-            yield Row(*[first[name] for name in self.columns])
-
-    def close(self) -> None:
-        pass
+        if first is not None:
+            yield PLAIN(first["_row"])
 
 
-class LatestWins(StatefulProcessor):
+class LatestWins(_Keyed):
     """Holds the greatest row of a key and passes it ``wait_ms`` after the first one came."""
 
-    def __init__(self, order: list[str], schema: StructType, wait_ms: int):
-        self.order, self.schema, self.wait_ms = order, schema, wait_ms
-        self.columns = schema.names
+    def __init__(self, wait_ms: int):
+        self.wait_ms = wait_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.best = handle.getValueState("best", self.schema)
-
-    def _held(self) -> Row | None:
-        return Row(*self.columns)(*self.best.get()) if self.best.exists() else None
+        self.best = handle.getValueState("best", "place STRING, row STRING")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        held = self._held()
-        if held is None:
+        place, text = self.best.get() if self.best.exists() else (None, None)
+        if place is None:
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.wait_ms)
         for row in rows:
-            if held is None or _place(row, self.order) >= _place(held, self.order):
-                held = row
-        self.best.update(tuple(held[name] for name in self.columns))
+            if place is None or _rank(row["_place"]) >= _rank(place):
+                place, text = row["_place"], row["_row"]
+        self.best.update((place, text))
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        held = self._held()
-        self.best.clear()
-        if held is not None:
-            yield Row(*held)
-
-    def close(self) -> None:
-        pass
+        if self.best.exists():
+            _, text = self.best.get()
+            self.best.clear()
+            yield PLAIN(text)
 
 
-class FollowedBy(StatefulProcessor):
+class FollowedBy(_Keyed):
     """Judges start events by the next event of the key, in event-time order.
 
     Rows wait until the watermark has passed them, because only then is their
-    order final.  ``_event`` is the start event as JSON text, NULL for others.
-    The open start event is kept until the next row or until its time is up.
+    order final; rows of one millisecond wait together.  ``_row`` is NULL for
+    rows that are no start events.  The open start event is kept until the next
+    row or until its time is up.
     """
 
-    PENDING = "_at BIGINT, _tie STRING, _follows BOOLEAN, _event STRING"
-
     def __init__(self, limit_ms: int):
         self.limit_ms = limit_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.pending = handle.getMapState("pending", "at BIGINT", "rows STRING")
-        self.open = handle.getValueState("open", "at BIGINT, event STRING")
+        self.open = handle.getValueState("open", "at BIGINT, row STRING")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        import json
-
         arrived: dict[int, list] = {}
         for row in rows:
-            arrived.setdefault(row["_at"], []).append([row["_tie"], row["_follows"], row["_event"]])
+            arrived.setdefault(row["_at"], []).append([row["_place"], row["_follows"], row["_row"]])
         for at, batch in arrived.items():
             held = json.loads(self.pending.getValue((at,))[0]) if self.pending.containsKey((at,)) else []
             self.pending.updateValue((at,), (json.dumps(held + batch),))
@@ -239,25 +238,20 @@ class FollowedBy(StatefulProcessor):
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        import json
-
         now = expiredTimerInfo.getExpiryTimeInMs()
         start = tuple(self.open.get()) if self.open.exists() else None
         if self.pending.containsKey((now,)):
             rows = json.loads(self.pending.getValue((now,))[0])
             self.pending.removeKey((now,))
-            for _, follows, event in sorted(rows, key=lambda row: _rank(json.loads(row[0] or "{}"))):
+            for _, follows, text in sorted(rows, key=lambda row: _rank(row[0])):
                 if start is not None and (follows or now - start[0] >= self.limit_ms):
-                    yield Row(start[1])
-                start = (now, event) if event is not None else None
+                    yield PLAIN(start[1])
+                start = (now, text) if text is not None else None
         if start is not None and now - start[0] >= self.limit_ms:
-            yield Row(start[1])
+            yield PLAIN(start[1])
             start = None
         if start is None:
             self.open.clear()
         else:
             self.open.update(start)
             self.handle.registerTimer(start[0] + self.limit_ms)
-
-    def close(self) -> None:
-        pass

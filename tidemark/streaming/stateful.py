@@ -1,15 +1,20 @@
-"""Stateful operators on streams, as DataFrame to DataFrame functions."""
+"""Stateful operators on streams, as DataFrame to DataFrame functions.
+
+Rows travel through the Python workers as one JSON text each, next to the few
+values the rules look at; their columns are taken apart and put together again
+in the JVM.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import BooleanType, DataType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 from tidemark.functions import times
-from tidemark.functions.records import encode
 from tidemark.streaming import processors as p
 
-KEY = "_key"
+EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+# How long the daily marks are kept after they were set.
 DAY = "1 day"
 
 
@@ -20,13 +25,41 @@ def millis(interval: str) -> int:
     return int(float(number) * sizes[unit.rstrip("s")])
 
 
-def _schema(rows: DataFrame, **more: DataType) -> StructType:
-    return StructType([*rows.schema.fields, *[StructField(name, kind) for name, kind in more.items()]])
+def _result(**more) -> StructType:
+    return StructType([StructField("_row", StringType()), *[StructField(n, kind) for n, kind in more.items()]])
+
+
+def _place(rows: DataFrame, order: list[str]) -> Column:
+    """Order values as a JSON array; times as numbers."""
+    parts = []
+    for name in order:
+        timed = rows.select(name).schema[0].dataType.typeName() == "timestamp"
+        value = F.unix_micros(name).cast("string") if timed else _json_value(rows, name)
+        parts.append(F.coalesce(value, F.lit("null")))
+    return F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))
+
+
+def _json_value(rows: DataFrame, name: str) -> Column:
+    if rows.select(name).schema[0].dataType.typeName() in ("long", "integer", "short", "byte", "double", "float"):
+        return F.col(name).cast("string")
+    # an array of one is the only way to have a bare text encoded
+    return F.regexp_replace(F.to_json(F.array(F.col(name).cast("string"))), r"^\[|\]$", "")
+
 
+def _packed(rows: DataFrame, key: Column, order: list[str], **more: Column) -> DataFrame:
+    fields = [value.alias(name) for name, value in more.items()]
+    row = F.to_json(F.struct(*rows.columns), EXACT)
+    return rows.select(key.alias("_key"), _place(rows, order).alias("_place"), row.alias("_row"), *fields)
 
-def _run(rows: DataFrame, key: Column, processor, output, mode: str, event_time: str = "") -> DataFrame:
-    keyed = rows.withColumn(KEY, key).groupBy(KEY)
-    return keyed.transformWithState(
+
+def _unpacked(found: DataFrame, rows: DataFrame) -> DataFrame:
+    schema = StructType([StructField(field.name, field.dataType) for field in rows.schema])
+    others = [name for name in found.columns if name != "_row"]
+    return found.select(F.from_json("_row", schema, EXACT).alias("_row"), *others).select("_row.*", *others)
+
+
+def _run(packed: DataFrame, processor, output: StructType, mode: str, event_time: str = "") -> DataFrame:
+    return packed.groupBy("_key").transformWithState(
         statefulProcessor=processor,
         outputStructType=output,
         outputMode="Append",
@@ -35,71 +68,66 @@ def _run(rows: DataFrame, key: Column, processor, output, mode: str, event_time:
     )
 
 
-def _with_day(rows: DataFrame, time: str) -> DataFrame:
-    return rows.withColumn("_day", F.date_format(time, "yyyy-MM-dd"))
+def _day(time: str) -> Column:
+    return F.date_format(time, "yyyy-MM-dd")
 
 
 def first_of_day(rows: DataFrame, key: Column, time: str, tie: list[str]) -> DataFrame:
     """The first row of each key and day; the memory of a key ends a day after its last pass."""
-    processor = p.FirstOfDay([time, *tie], rows.columns, millis(DAY))
-    return _run(_with_day(rows, time), key, processor, _schema(rows), "ProcessingTime")
+    packed = _packed(rows, key, [time, *tie], _day=_day(time))
+    return _unpacked(_run(packed, p.FirstOfDay(millis(DAY)), _result(), "ProcessingTime"), rows)
 
 
 def returning_users(rows: DataFrame, user: str, time: str, gap_days: int) -> DataFrame:
     plain = rows.select(user, time)
-    output = _schema(plain, uu=IntegerType(), back=IntegerType())
-    return _run(_with_day(plain, time), F.col(user), p.ReturningUsers(user, time, gap_days), output, "None")
+    packed = _packed(plain, F.col(user), [time], _day=_day(time))
+    output = _result(uu=IntegerType(), back=IntegerType())
+    return _unpacked(_run(packed, p.ReturningUsers(gap_days), output, "None"), plain)
 
 
 def mark_unique_users(rows: DataFrame, user: str, time: str, tie: list[str], only_unique: bool) -> DataFrame:
     """All rows, or only unique ones, with ``unique_user`` and ``new_user`` marks."""
-    output = _schema(rows, unique_user=IntegerType(), new_user=IntegerType())
-    processor = p.MarkUnique([time, *tie], rows.columns, only_unique)
-    return _run(_with_day(rows, time), F.col(user), processor, output, "None")
+    packed = _packed(rows, F.col(user), [time, *tie], _day=_day(time))
+    output = _result(unique_user=IntegerType(), new_user=IntegerType())
+    return _unpacked(_run(packed, p.MarkUnique(only_unique), output, "None"), rows)
 
 
 def repair_is_new(records: DataFrame, tie: list[str]) -> DataFrame:
+    """Records without a device pass by; the state is kept per device."""
+    device = F.col("common.mid")
+    claims = F.coalesce(F.col("common.is_new") == "1", F.lit(False))
     at = times.from_millis("ts")
-    rows = records.withColumns(
-        {
-            "_day": F.date_format(at, "yyyy-MM-dd"),
-            "_before": F.date_format(F.date_sub(F.to_date(at), 1), "yyyy-MM-dd"),
-            "_claims": F.coalesce(F.col("common.is_new") == "1", F.lit(False)) & F.col("common.mid").isNotNull(),
-        }
-    )
-    processor = p.RepairIsNew(["ts", *tie], [*records.columns, "_claims"])
-    output = _schema(records, _claims=BooleanType(), _keep=BooleanType())
-    judged = _run(rows, F.col("common.mid"), processor, output, "None")
-    flag = F.when(F.col("_claims") & ~F.col("_keep"), "0").otherwise(F.col("common.is_new"))
-    return judged.withColumn("common", F.col("common").withField("is_new", flag)).select(*records.columns)
+    known = records.filter(device.isNotNull())
+    before = F.date_format(F.date_sub(F.to_date(at), 1), "yyyy-MM-dd")
+    day = F.date_format(at, "yyyy-MM-dd")
+    packed = _packed(known, device, ["ts", *tie], _day=day, _before=before, _claims=claims)
+    judged = _unpacked(_run(packed, p.RepairIsNew(), _result(_keep=BooleanType()), "None"), known)
+    flag = F.when(claims & ~F.col("_keep"), "0").otherwise(F.col("common.is_new"))
+    repaired = judged.withColumn("common", F.col("common").withField("is_new", flag)).select(*records.columns)
+    return repaired.unionByName(records.filter(device.isNull()))
 
 
-def first_wins(rows: DataFrame, keys: list[str], ttl: str, time: str) -> DataFrame:
-    order = [name for name in rows.columns if name == time] + [name for name in rows.columns if name != time]
-    simple = [name for name in order if not isinstance(rows.schema[name].dataType, StructType)]
-    processor = p.FirstWins(simple, rows.columns, millis(ttl))
-    return _run(rows, F.to_json(F.struct(*keys)), processor, _schema(rows), "ProcessingTime")
+def first_wins(rows: DataFrame, keys: list[str], order: list[str], ttl: str) -> DataFrame:
+    packed = _packed(rows, F.to_json(F.struct(*keys)), order)
+    return _unpacked(_run(packed, p.FirstWins(millis(ttl)), _result(), "ProcessingTime"), rows)
 
 
 def latest_wins(rows: DataFrame, keys: list[str], by: str, tie: list[str], wait: str) -> DataFrame:
-    processor = p.LatestWins([by, *tie], rows.schema, millis(wait))
-    return _run(rows, F.to_json(F.struct(*keys)), processor, _schema(rows), "ProcessingTime")
+    packed = _packed(rows, F.to_json(F.struct(*keys)), [by, *tie])
+    return _unpacked(_run(packed, p.LatestWins(millis(wait)), _result(), "ProcessingTime"), rows)
 
 
 def followed_by_within(
     events: DataFrame, key: str, time: str, tie: list[str], start: str, following: str, within: str
 ) -> DataFrame:
     """``time`` must carry a watermark; a key's last start event comes out once it has timed out."""
-    exact = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
-    whole = F.struct(*events.columns)
-    rows = events.select(
+    rows = events.filter(F.col(key).isNotNull())
+    packed = rows.select(
         time,
-        F.col(key).alias(KEY),
+        F.col(key).alias("_key"),
         F.unix_millis(time).alias("_at"),
-        (encode(*tie) if tie else F.lit("")).alias("_tie"),
+        _place(rows, tie).alias("_place"),
         F.coalesce(F.expr(following), F.lit(False)).alias("_follows"),
-        F.when(F.coalesce(F.expr(start), F.lit(False)), F.to_json(whole, exact)).alias("_event"),
-    ).filter(F.col(KEY).isNotNull())
-    found = _run(rows, F.col(KEY), p.FollowedBy(millis(within)), StructType([StructField("_event", StringType())]), "EventTime")
-    schema = StructType(events.schema.fields)
-    return found.select(F.from_json("_event", schema, exact).alias("_row")).select("_row.*")
+        F.when(F.coalesce(F.expr(start), F.lit(False)), F.to_json(F.struct(*rows.columns), EXACT)).alias("_row"),
+    )
+    return _unpacked(_run(packed, p.FollowedBy(millis(within)), _result(), "EventTime", ""), rows)
