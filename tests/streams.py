@@ -28,12 +28,12 @@ def as_stream(spark, path: str, schema, one_by_one: bool = True) -> DataFrame:
     return reader.parquet(path)
 
 
-def play(stream: DataFrame, folder: str, name: str = "out") -> DataFrame:
+def play(stream: DataFrame, folder: str, name: str = "out", idle_batches: bool = True) -> DataFrame:
     """Run the stream over all files that are there and read back what it wrote."""
 
     def put(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/{name}/part={number}")
 
-    run_available(stream, put, name, f"{folder}/checkpoint-{name}")
+    run_available(stream, put, name, f"{folder}/checkpoint-{name}", idle_batches)
     written = stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/{name}")
     return written.select(*stream.columns)

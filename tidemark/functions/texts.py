@@ -51,5 +51,5 @@ def register_keyword_function(spark: SparkSession, name: str = "keywords") -> No
     )
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(item STRING) RETURNS TABLE (word STRING) "
-        f"RETURN SELECT explode(if(size({words}) > 0, {words}, array(item))) AS word WHERE item IS NOT NULL"
+        f"RETURN SELECT explode(CASE WHEN size({words}) > 0 THEN {words} WHEN item IS NOT NULL THEN array(item) END) AS word"
     )

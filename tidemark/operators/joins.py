@@ -77,8 +77,8 @@ def _tidy(joined: DataFrame, on: list[tuple[str, str]], how: str) -> DataFrame:
 
 
 def _stream_join(left, right, on, how, ttl, time):
-    left = left.withWatermark(time, ttl)
-    right = _prefixed(right, on).withColumnRenamed(time, "_r_time").withWatermark("_r_time", ttl)
+    left = _watermarked(left, time, ttl)
+    right = _watermarked(_prefixed(right, on).withColumnRenamed(time, "_r_time"), "_r_time", ttl)
     span = F.expr(f"INTERVAL {ttl}")
     near = (F.col(time) >= F.col("_r_time") - span) & (F.col(time) <= F.col("_r_time") + span)
     joined = _equi(left, right, on, how, near)
@@ -88,6 +88,11 @@ def _stream_join(left, right, on, how, ttl, time):
     return _tidy(joined, on, how).drop("_r_time")
 
 
+def _watermarked(rows: DataFrame, time: str, ttl: str) -> DataFrame:
+    # the result of a join before keeps that join's watermark; a second one is not allowed
+    return rows if "spark.watermarkDelayMs" in rows.schema[time].metadata else rows.withWatermark(time, ttl)
+
+
 def _slot_join(left, right, on, how, ttl, time):
     span = F.expr(f"INTERVAL {ttl}")
     width = F.unix_micros(F.timestamp_seconds(F.lit(0)) + span)

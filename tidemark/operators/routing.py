@@ -20,7 +20,7 @@ def latest_routes(envelopes: DataFrame) -> DataFrame:
 
 
 def column_list(names: str = "sink_columns"):
-    return F.transform(F.split(names, ","), F.trim)
+    return F.transform(F.split(names, ","), lambda name: F.trim(name))
 
 
 def route_dimensions(changes: DataFrame, routes: DataFrame | Lookup, on_missing: str = "drop") -> DataFrame:

@@ -96,12 +96,13 @@ def page_view_window(pages: DataFrame) -> DataFrame:
 
 
 def keyword_window(pages: DataFrame) -> DataFrame:
-    """Search keywords per window."""
-    searches = pages.filter(
+    """Search keywords per window; the watermark follows all pages, not only searches."""
+    timed = w.with_delay(pages.withColumn("rt", times.from_millis_in_seconds("ts")), "rt")
+    searches = timed.filter(
         (F.col("page.last_page_id") == "search")
         & (F.col("page.item_type") == "keyword")
         & F.col("page.item").isNotNull()
-    ).select(F.col("page.item").alias("item"), times.from_millis_in_seconds("ts").alias("rt"))
-    words = w.with_delay(searches, "rt").select(F.explode(tokenize("item")).alias("keyword"), "rt")
+    )
+    words = searches.select(F.explode(tokenize("page.item")).alias("keyword"), "rt")
     counted = w.tumbling(words, "rt", {"keyword_count": F.count(F.lit(1))}, ["keyword"])
     return counted.select("stt", "edt", F.lit("search").alias("source"), "keyword", "keyword_count")

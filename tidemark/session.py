@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -16,8 +17,6 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    # every column of every input stays readable without a stream restart
-    "spark.sql.streaming.noDataMicroBatches.enabled": "true",
 }
 
 
@@ -50,8 +49,12 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    chosen = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", chosen)
-    return chosen
+    return _local_folder(context.applicationId)
+
+
+@lru_cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")

@@ -74,12 +74,17 @@ def upsert_dim(
         for route in routes:
             table = ensure_dim_table(spark, route, database, root)
             rows = merged(held.filter(F.col("sink_table") == route.sink_table), route, order)
-            placed = rows.select(*columns_of(route), F.lit(batch).cast("bigint").alias(BATCH))
-            placed.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+            _replace_partition(rows, table, columns_of(route), batch)
     finally:
         held.unpersist()
 
 
+def _replace_partition(rows: DataFrame, table: str, columns: list[str], batch: int) -> None:
+    listed = ", ".join(_quoted(name) for name in columns)
+    statement = f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH} = {batch}) SELECT {listed} FROM {{rows}}"
+    rows.sparkSession.sql(statement, rows=rows)
+
+
 def merged(rows: DataFrame, route: Row, order: list[str] | None = None) -> DataFrame:
     """One row per key from payload maps: the last value given for each column.
 
@@ -118,8 +123,7 @@ def compact_dim(spark: SparkSession, route: Row, database: str, scratch: str) ->
         return
     aside = f"{scratch.rstrip('/')}/{route.sink_table}_{numbers[-1]}"
     read_dim(spark, route, database).write.mode("overwrite").parquet(aside)
-    folded = spark.read.parquet(aside).select(*columns_of(route), F.lit(numbers[-1]).cast("bigint").alias(BATCH))
-    folded.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
-    nothing = ", ".join(f"CAST(NULL AS STRING) AS {_quoted(name)}" for name in columns_of(route))
+    folded = spark.read.parquet(aside)
+    _replace_partition(folded, table, columns_of(route), numbers[-1])
     for number in numbers[:-1]:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH} = {number}) SELECT {nothing} WHERE false")
+        _replace_partition(folded.limit(0), table, columns_of(route), number)

@@ -9,6 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.session import shared_dir
 
+IDLE = "spark.sql.streaming.noDataMicroBatches.enabled"
+
 
 def checkpoint_of(rows: DataFrame, name: str, given: str | None = None) -> str:
     return given or f"{shared_dir(rows.sparkSession)}/checkpoints/{name}"
@@ -35,7 +37,23 @@ def start_batches(
 
 
 def run_available(
-    rows: DataFrame, put: Callable[[DataFrame, int], None], name: str, checkpoint: str | None = None
+    rows: DataFrame,
+    put: Callable[[DataFrame, int], None],
+    name: str,
+    checkpoint: str | None = None,
+    idle_batches: bool = True,
 ) -> None:
-    """Process everything that is there and stop."""
-    start_batches(rows, put, name, checkpoint, availableNow=True).awaitTermination()
+    """Process everything that is there and stop.
+
+    ``idle_batches`` allows batches without input, which emit what the last
+    watermark has closed.  Operators with processing-time state ask for such
+    batches without end, so queries with them must turn this off.
+    """
+    conf = rows.sparkSession.conf
+    before = conf.get(IDLE)
+    conf.set(IDLE, str(idle_batches).lower())
+    try:
+        query = start_batches(rows, put, name, checkpoint, availableNow=True)
+    finally:
+        conf.set(IDLE, before)
+    query.awaitTermination()
