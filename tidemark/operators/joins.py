@@ -17,7 +17,9 @@ def lookup_join(
     broadcasts it when its own size estimate is under the threshold and
     shuffles otherwise.
     """
-    known = dictionary.current() if isinstance(dictionary, Lookup) else dictionary
+    known = dictionary
+    if isinstance(dictionary, Lookup):
+        known = dictionary.live() if facts.isStreaming else dictionary.current()
     codes = known.select(F.col(code).alias("_code"), F.col(label).alias(name))
     return facts.join(codes, F.col(on) == F.col("_code"), "inner").drop("_code")
 

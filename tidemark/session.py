@@ -15,6 +15,8 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot key even where two joins in a row share one shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
@@ -32,6 +34,15 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def shuffle_partitions(input_bytes: int, per_task: int = 192 << 20, at_least: int = 8) -> str:
+    """Value for ``spark.sql.shuffle.partitions`` that lets a shuffle of the whole input fit in memory per task.
+
+    Adaptive execution joins partitions that turn out small, so the number may
+    be generous; a stream keeps the number it was first started with.
+    """
+    return str(max(at_least, -(-input_bytes // per_task)))
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the defaults the operators rely on to a session made elsewhere."""
     for key, value in RUNTIME_DEFAULTS.items():

@@ -14,10 +14,14 @@ BROADCAST_ROWS = 200_000
 class Lookup:
     """A dimension table kept in executor memory and reloaded after ``ttl`` seconds.
 
-    ``current()`` is called while a batch or micro-batch is planned, so a
-    running stream sees changes of the table at most ``ttl`` seconds late.  The
-    row count is taken on each load; only a table under ``broadcast_rows`` is
-    hinted for broadcast, a larger one is joined by shuffle.
+    ``current()`` is called while a batch is planned; a job that is planned
+    anew for every micro-batch (``runner.start_job``) sees changes of the table
+    at most ``ttl`` seconds late.  Where a stream itself is joined, ``live()``
+    is used: it is not kept in memory, and Spark reads it again in every
+    micro-batch, a database table as it then is and a folder as listed at the
+    start.  The row count is taken on each load; only a table of at most
+    ``broadcast_rows`` is hinted for broadcast, a larger one is joined by
+    shuffle.
     """
 
     def __init__(self, load: Callable[[], DataFrame], ttl: float = 60.0, broadcast_rows: int = BROADCAST_ROWS):
@@ -39,6 +43,11 @@ class Lookup:
             self._table, self._loaded_at = fresh, time.monotonic()
         return F.broadcast(self._table) if self.small else self._table
 
+    def live(self) -> DataFrame:
+        table = self._load()
+        self.rows = table.count()
+        return F.broadcast(table) if self.small else table
+
     @property
     def small(self) -> bool:
         return self.rows <= self._broadcast_rows

@@ -33,13 +33,18 @@ SPREAD_FROM = 1 << 20
 SPREAD_PER_CORE = 32 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False) -> DataFrame:
     """A sample table; its timestamps carry no zone and are read as session time."""
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if SPREAD_FROM <= size < SPREAD_PER_CORE * cores:
-        rows = rows.repartition(cores)
+    path = f"{sf_dir}/{name}.parquet"
+    rows = spark.read.parquet(path)
+    if streaming:
+        # a pattern, because a stream takes a plain path for a folder, and the table may be a single file
+        rows = spark.readStream.schema(rows.schema).parquet(f"{sf_dir}/{name}.parque[t]")
+    else:
+        cores = spark.sparkContext.defaultParallelism
+        size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        if SPREAD_FROM <= size < SPREAD_PER_CORE * cores:
+            rows = rows.repartition(cores)
     zoned = {f.name: F.col(f.name).cast("timestamp") for f in rows.schema if f.dataType.typeName() == "timestamp_ntz"}
     return rows.withColumns(zoned) if zoned else rows
 
@@ -220,11 +225,16 @@ def _customer_changes(customers: DataFrame) -> DataFrame:
 
 def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page-log records: ``common``, ``page``, ``ts`` and ``seq``, the event number."""
+    return pages_of(table(spark, sf_dir, "events"))
+
+
+def pages_of(events: DataFrame) -> DataFrame:
+    """Events in the shape of page-log records."""
     page_id = (
         "CASE event_type WHEN 'view' THEN 'home' WHEN 'click' THEN 'good_detail' WHEN 'signup' THEN 'login' "
         "WHEN 'purchase' THEN 'trade' ELSE 'mine' END"
     )
-    events = table(spark, sf_dir, "events").selectExpr(
+    events = events.selectExpr(
         "*", "int(get_json_object(props, '$.k')) AS k", f"{page_id} AS page_id"
     )
     return events.selectExpr(

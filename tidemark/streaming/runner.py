@@ -36,6 +36,18 @@ def start_batches(
     )
 
 
+def start_job(
+    rows: DataFrame,
+    job: Callable[[DataFrame], DataFrame],
+    put: Callable[[DataFrame, int], None],
+    name: str,
+    checkpoint: str | None = None,
+    **trigger,
+) -> StreamingQuery:
+    """Run a job without state on every micro-batch, planned anew each time, so that look-ups stay fresh."""
+    return start_batches(rows, lambda batch, number: put(job(batch), number), name, checkpoint, **trigger)
+
+
 def run_available(
     rows: DataFrame,
     put: Callable[[DataFrame, int], None],

@@ -183,13 +183,13 @@ UNION ALL SELECT 'action', cast(sum(id % 3) AS bigint) FROM logs WHERE id % 50 <
 UNION ALL SELECT 'page', count(*) FROM logs WHERE id % 50 <> 0""",
     "dwd_log_page": f"""WITH {LOGS} SELECT mid, is_new, page_id, concat(page_id, ' ', ch) AS item, during_time, ts
 FROM logs WHERE id % 50 <> 0""",
-    "dwd_log_start": f"""WITH {LOGS} SELECT mid, is_new, 'icon' AS "start.entry", ts FROM logs WHERE id % 50 = 0""",
+    "dwd_log_start": f"""WITH {LOGS} SELECT mid, is_new, 'icon' AS entry, ts FROM logs WHERE id % 50 = 0""",
     "dwd_log_display": f"""WITH {LOGS} SELECT mid, page_id, cast(i AS varchar) AS item, ts
 FROM logs JOIN generate_series(1, 3) g(i) ON i <= id % 4 WHERE id % 50 <> 0""",
     "dwd_log_action": f"""WITH {LOGS} SELECT mid, page_id, cast(i AS varchar) AS action_id, ts + i AS ts
 FROM logs JOIN generate_series(1, 2) g(i) ON i <= id % 3 WHERE id % 50 <> 0""",
     "dwd_log_error": f"""WITH {LOGS} SELECT mid, CASE WHEN id % 50 <> 0 THEN page_id END AS page_id,
-  cast(1001 AS bigint) AS "err.error_code", ts FROM logs WHERE page_id = 'mine'""",
+  cast(1001 AS bigint) AS error_code, ts FROM logs WHERE page_id = 'mine'""",
     "dwd_log_dirty": f"WITH {PAGES} SELECT 'not json' AS value FROM pages_in WHERE id % 97 = 0",
     "dwd_cart_add": f"WITH {CART} SELECT {', '.join(s.CART_ADD)} FROM cart",
     "dwd_order_pre_process": f"WITH {PRE} SELECT {', '.join(s.ORDER_PRE)}, old FROM pre",
@@ -355,3 +355,5 @@ FROM orders""",
   cast(rpad(cast(event_id % 1000 AS varchar), 3, '0') AS int) - cast(rpad(cast(user_id % 100 AS varchar), 3, '0') AS int)
   ) AS int) AS sign FROM events""",
 }
+ORACLES["stream_unique_visitor"] = ORACLES["dwd_unique_visitor"]
+ORACLES["stream_log_is_new_fix"] = ORACLES["dwd_log_is_new_fix"]

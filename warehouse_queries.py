@@ -8,20 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import lru_cache
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark import schemas as s
 from tidemark.functions import times
 from tidemark.functions.records import good
 from tidemark.functions.texts import tokenize
 from tidemark.operators import changes as c, firsts, windows as w
 from tidemark.operators.joins import ttl_join
 from tidemark.plans import dim, interaction, tool, trade, traffic, user
-from tidemark.session import prepare
+from tidemark.session import prepare, shared_dir
 from tidemark.sinks.dimensions import merged, routes_as_rows
 from tidemark.sinks.topics import latest_per_key
 from tidemark.sources import sample
+from tidemark.streaming.runner import run_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,8 +89,7 @@ def user_jump_default_limit(spark, sf):
 
 
 def log_is_new_fix(spark, sf):
-    repaired = firsts.repair_is_new(_pages(spark, sf), traffic.TIE)
-    return repaired.select(F.col("seq").alias("id"), F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"))
+    return _marks(firsts.repair_is_new(_pages(spark, sf), traffic.TIE))
 
 
 def _base_log(spark, sf):
@@ -105,7 +105,7 @@ def _log_stream(tag: str, ddl: str, *columns: str) -> Query:
     def run(spark, sf):
         rows = _base_log(spark, sf).filter(F.col("tag") == tag)
         record = rows.select(F.from_json("value", ddl).alias("r"))
-        return record.select(*[F.col(f"r.{column}").alias(column.replace("common.", "").replace("page.", "")) for column in columns])
+        return record.select(*[F.col(f"r.{column}").alias(column.rsplit(".", 1)[-1]) for column in columns])
 
     return run
 
@@ -235,6 +235,33 @@ def stream_join_chain(spark, sf):
     return ttl_join(ttl_join(first, second, [("id", "id")]), third, [("id", "id")], "left")
 
 
+# --- streams -----------------------------------------------------------------
+def _streamed(job: Callable[[DataFrame], DataFrame]) -> Query:
+    """The job on a stream over the whole events file, run until everything is read."""
+
+    def run(spark, sf):
+        static = _pages(spark, sf)
+        source = sample.table(spark, sf, "events", streaming=True)
+        rows = job(sample.pages_of(source))
+        folder = f"{shared_dir(spark)}/{uuid4().hex}"
+
+        def put(batch: DataFrame, number: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
+
+        run_available(rows, put, "stream", f"{folder}/checkpoint", idle_batches=False)
+        return spark.read.schema(rows.schema).parquet(f"{folder}/out").select(*static.columns)
+
+    return run
+
+
+def _then(view: Callable[[DataFrame], DataFrame], query: Query) -> Query:
+    return lambda spark, sf: view(query(spark, sf))
+
+
+def _marks(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("seq").alias("id"), F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"))
+
+
 # --- scalar functions --------------------------------------------------------
 def time_functions(spark, sf):
     orders = sample.table(prepare(spark), sf, "orders")
@@ -319,6 +346,8 @@ QUERIES: dict[str, Query] = {
     "stream_join_right": _stream_join("right"),
     "stream_join_full": _stream_join("full"),
     "stream_join_chain": stream_join_chain,
+    "stream_unique_visitor": _then(_flat_page, _streamed(traffic.unique_visitor)),
+    "stream_log_is_new_fix": _then(_marks, _streamed(lambda rows: firsts.repair_is_new(rows, traffic.TIE))),
     "table_change_counts": table_change_counts,
     "keyword_texts": keyword_texts,
     "time_functions": time_functions,
