@@ -17,7 +17,7 @@ from tidemark.operators import firsts
 from tidemark.operators.joins import ttl_join
 from tidemark.plans import trade, traffic, user
 from tidemark.sources import sample
-from tidemark.streaming.runner import start_batches
+from tidemark.streaming.runner import late_rows, run_available, start_batches
 
 SENTINEL = "sentinel"
 
@@ -151,8 +151,15 @@ def test_late_rows_are_dropped(spark, folder):
     # a batch drops what the watermark known before the batch ahead of it has passed
     times = ["12:00:05", "12:01:00", "12:02:00", "12:00:06"]
     stream = parts(spark, folder, schema, *[[(f"2024-01-10 {at}",)] for at in times])
-    found = play(user.register_window(stream), folder)
-    assert sorted((r.stt[11:], r.registerCt) for r in found.collect()) == [("12:00:00", 1), ("12:01:00", 1)]
+    windows = user.register_window(stream)
+
+    def put(batch, number):
+        batch.write.mode("overwrite").parquet(f"{folder}/out/part={number}")
+
+    query = run_available(windows, put, "late", f"{folder}/cp")
+    found = spark.read.schema(windows.schema).parquet(f"{folder}/out").collect()
+    assert sorted((r.stt[11:], r.registerCt) for r in found) == [("12:00:00", 1), ("12:01:00", 1)]
+    assert late_rows(query) == 1
 
 
 def test_latest_wins_after_its_wait(spark, folder):

@@ -39,6 +39,6 @@ def total(name: str) -> Column:
     return F.sum(name).cast("bigint")
 
 
-def stamped(summary: DataFrame, columns: list[str]) -> DataFrame:
-    """Add the wall clock as ``ts`` and put columns in the store's order."""
-    return summary.withColumn("ts", times.now_millis()).select(*columns)
+def stamped(summary: DataFrame, columns: list[str], clock: Column | None = None) -> DataFrame:
+    """Add the wall clock (or ``clock``) as ``ts`` and put columns in the store's order."""
+    return summary.withColumn("ts", times.now_millis() if clock is None else clock).select(*columns)

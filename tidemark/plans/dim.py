@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import changes as c
@@ -30,7 +30,10 @@ def dim_sink(
 
     def put(batch: DataFrame, number: int) -> None:
         table = routes.current() if isinstance(routes, Lookup) else routes
-        upsert_dim(routed(batch, table), routes_as_rows(table), database, root, number, order)
+        known = routes_as_rows(table)
+        # named outright, the tables can be skipped where records are stored
+        wanted = batch.filter(F.col("table").isin([route.source_table for route in known]))
+        upsert_dim(routed(wanted, table), known, database, root, number, order)
 
     if not changes.isStreaming:
         return put(changes, 0)

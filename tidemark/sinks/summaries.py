@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.windows import stamped
@@ -19,6 +19,7 @@ def write_summary(
     exclude: list[str] | None = None,
     name: str | None = None,
     checkpoint: str | None = None,
+    clock: Column | None = None,
     **trigger,
 ) -> StreamingQuery | None:
     """Stamp rows with the wall clock and append them in the store's column order.
@@ -31,7 +32,7 @@ def write_summary(
     left_out = set(exclude or [])
 
     def put(batch: DataFrame, number: int | None) -> None:
-        rows = stamped(batch, columns).drop(*left_out)
+        rows = stamped(batch, columns, clock).drop(*left_out)
         if jdbc is not None:
             options = {"batchsize": BATCH_ROWS, **jdbc}
             rows.write.format("jdbc").options(**options).mode("append").save()

@@ -21,7 +21,8 @@ from tidemark.topics import Topic
 BATCH = "_batch"
 
 
-def _put(rows: DataFrame, topic: Topic, batch: int | None) -> None:
+def put_batch(rows: DataFrame, topic: Topic, batch: int | None) -> None:
+    """Write one bounded batch; a number makes it replace what an earlier run of the batch wrote."""
     if topic.on_kafka:
         options = {"kafka.bootstrap.servers": topic.servers, "topic": topic.name, **topic.options}
         rows.write.format("kafka").options(**options).save()
@@ -34,8 +35,8 @@ def _put(rows: DataFrame, topic: Topic, batch: int | None) -> None:
 def write_topic(rows: DataFrame, topic: Topic, checkpoint: str | None = None, **trigger) -> StreamingQuery | None:
     """Write the ``value`` column (and ``key``, on Kafka)."""
     if not rows.isStreaming:
-        return _put(rows, topic, None)
-    return start_batches(rows, lambda batch, number: _put(batch, topic, number), topic.name, checkpoint, **trigger)
+        return put_batch(rows, topic, None)
+    return start_batches(rows, lambda batch, number: put_batch(batch, topic, number), topic.name, checkpoint, **trigger)
 
 
 def write_json_topic(rows: DataFrame, topic: Topic, checkpoint: str | None = None, **trigger) -> StreamingQuery | None:
@@ -60,7 +61,7 @@ def write_upsert_topic(
     def put(batch: DataFrame, number: int | None) -> None:
         rows = keyed(batch)
         if topic.on_kafka:
-            _put(rows, topic, number)
+            put_batch(rows, topic, number)
         else:
             rows.write.mode("overwrite").parquet(f"{topic.path}/{BATCH}={number or 0}")
 
@@ -88,7 +89,7 @@ def fan_out(rows: DataFrame, topics: dict[str, Topic], name: str, checkpoint: st
         held = batch.persist()
         try:
             for tag, topic in topics.items():
-                _put(held.filter(F.col("tag") == tag).select("value"), topic, number)
+                put_batch(held.filter(F.col("tag") == tag).select("value"), topic, number)
         finally:
             held.unpersist()
 

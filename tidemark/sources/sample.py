@@ -43,7 +43,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False)
     else:
         cores = spark.sparkContext.defaultParallelism
         size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        if SPREAD_FROM <= size < SPREAD_PER_CORE * cores:
+        if SPREAD_FROM <= size < SPREAD_PER_CORE * cores and len(rows.inputFiles()) < cores:
             rows = rows.repartition(cores)
     zoned = {f.name: F.col(f.name).cast("timestamp") for f in rows.schema if f.dataType.typeName() == "timestamp_ntz"}
     return rows.withColumns(zoned) if zoned else rows

@@ -54,7 +54,7 @@ def run_available(
     name: str,
     checkpoint: str | None = None,
     idle_batches: bool = True,
-) -> None:
+) -> StreamingQuery:
     """Process everything that is there and stop.
 
     ``idle_batches`` allows batches without input, which emit what the last
@@ -69,3 +69,9 @@ def run_available(
     finally:
         conf.set(IDLE, before)
     query.awaitTermination()
+    return query
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows dropped so far because the watermark had passed them, as far back as progress is kept."""
+    return sum(int(state.numRowsDroppedByWatermark) for p in query.recentProgress for state in p.stateOperators)
