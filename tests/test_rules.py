@@ -9,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import texts, times
-from tidemark.functions.records import bad, decode, good
-from tidemark.operators import changes as c, firsts, logsplit, patterns
+from tidemark.functions.records import bad, good
+from tidemark.operators import changes as c, firsts, logsplit
 from tidemark.operators.joins import lookup_join, ttl_join
 from tidemark.operators.routing import latest_routes, route_dimensions
 from tidemark.plans import trade, traffic, user
@@ -45,7 +45,7 @@ def lines(spark, *values):
 
 def changes(spark, *rows):
     """(table, type, data, old) tuples; ts counts up."""
-    built = [("gmall", t, k, str(1700000000 + n), d, o) for n, (t, k, d, o) in enumerate(rows)]
+    built = [("shop", t, k, str(1700000000 + n), d, o) for n, (t, k, d, o) in enumerate(rows)]
     schema = "database STRING, table STRING, type STRING, ts STRING, data MAP<STRING,STRING>, old MAP<STRING,STRING>"
     return spark.createDataFrame(built, schema).withColumn("pt", F.current_timestamp())
 
@@ -234,7 +234,7 @@ def test_cart_adds(spark):
 
 def test_database_filter_is_optional(spark):
     rows = changes(spark, ("cart_info", "insert", {"id": "1"}, None))
-    assert c.cart_adds(rows, "other").count() == 0 and c.cart_adds(rows, "gmall").count() == 1
+    assert c.cart_adds(rows, "other").count() == 0 and c.cart_adds(rows, "shop").count() == 1
 
 
 def test_refund_payments_strict(spark):

@@ -219,7 +219,7 @@ def test_order_lines_meet_their_order_in_a_later_batch(spark, folder):
     base = datetime(2024, 1, 10)
 
     def change(seconds, table, kind="insert", old=None, **data):
-        return ("gmall", table, kind, "1", data, old, base + timedelta(seconds=seconds))
+        return ("shop", table, kind, "1", data, old, base + timedelta(seconds=seconds))
 
     def everything(seconds, key):
         return [
@@ -248,3 +248,18 @@ def test_order_lines_meet_their_order_in_a_later_batch(spark, folder):
         ("1", "insert", "1001", "7", None),
         ("1", "update", "1003", "7", None),
     ]
+
+
+@pytest.mark.parametrize("first_marked", ["1", "0"])
+def test_repair_of_a_new_device_with_days_out_of_order(spark, folder, first_marked):
+    from test_rules import DAY, NOON, PAGE, page
+
+    rows = [
+        page(5, NOON + 2 * DAY, is_new="1"), page(3, NOON + DAY, is_new="1"), page(4, NOON + DAY + 1, is_new="1"),
+        page(1, NOON, is_new=first_marked), page(2, NOON + 1, is_new="1"), page(6, NOON, mid=None, is_new="1"),
+    ]
+    later = [page(7, NOON + 2, is_new="1"), page(8, NOON + 3 * DAY, is_new="1")]
+    stream = parts(spark, folder, PAGE, rows, later)
+    found = play(firsts.repair_is_new(stream, ["seq"]), folder).select("seq", "common.is_new").collect()
+    stays = {1, 2, 6, 7} if first_marked == "1" else {6}
+    assert {r.seq for r in found if r.is_new == "1"} == stays and len(found) == 8

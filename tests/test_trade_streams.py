@@ -21,7 +21,7 @@ BASE = datetime(2024, 1, 10)
 
 
 def change(seconds, table, kind="insert", old=None, **data):
-    return ("gmall", table, kind, str(1700000000 + seconds), data, old, BASE + timedelta(seconds=seconds))
+    return ("shop", table, kind, str(1700000000 + seconds), data, old, BASE + timedelta(seconds=seconds))
 
 
 def refund(seconds, key, payment="1101"):

@@ -72,7 +72,7 @@ def _payload(**fields: str) -> str:
 
 def _change(rows: DataFrame, name: str, kind: str, at: str, data: str, old: str = "NULL") -> DataFrame:
     return rows.selectExpr(
-        "'gmall' AS database",
+        "'shop' AS database",
         f"'{name}' AS table",
         f"{kind} AS type",
         f"string(unix_timestamp({at})) AS ts",

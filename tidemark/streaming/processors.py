@@ -138,8 +138,9 @@ class RepairIsNew(_Daily):
     """Tells on which rows the new-visitor mark may stay: those of the device's first day.
 
     Rows arrive with ``_claims`` (marked new) and ``_before`` (the day before
-    their own).  Only marked rows of a device without state are held, until the
-    device's first row of the batch is known.
+    their own).  Of a device without state only the marked rows of the earliest
+    day so far are held, until its first row of the batch is known; marks of
+    later days cannot stay and are settled at once.
     """
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
@@ -148,8 +149,13 @@ class RepairIsNew(_Daily):
         for row in rows:
             if settled is not None or not row["_claims"]:
                 yield JUDGED(row["_row"], bool(row["_claims"] and row["_day"] == settled))
-            else:
+            elif not waiting or row["_day"] == waiting[0]["_day"]:
                 waiting.append(row)
+            elif row["_day"] > waiting[0]["_day"]:
+                yield JUDGED(row["_row"], False)
+            else:
+                yield from (JUDGED(held["_row"], False) for held in waiting)
+                waiting = [row]
             if settled is None:
                 own = _rank(row["_place"])
                 if first is None or own < rank:

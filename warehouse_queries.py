@@ -13,9 +13,8 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import times
-from tidemark.functions.records import good
 from tidemark.functions.texts import tokenize
-from tidemark.operators import changes as c, firsts, windows as w
+from tidemark.operators import changes as c, firsts
 from tidemark.operators.joins import ttl_join
 from tidemark.plans import dim, interaction, tool, trade, traffic, user
 from tidemark.session import prepare, shared_dir
