@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
 from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -31,7 +33,9 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def shuffle_partitions(input_bytes: int, per_task: int = 192 << 20, at_least: int = 8) -> str:
@@ -47,9 +51,31 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the defaults the operators rely on to a session made elsewhere."""
     for key, value in RUNTIME_DEFAULTS.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors, once per application.
+
+    Processors and Arrow functions name their module; workers can import it
+    from any working folder only if the source has been sent.
+    """
+    _ship(spark.sparkContext.applicationId)
+
+
+@lru_cache
+def _ship(application: str) -> None:
+    from pyspark import SparkContext
+
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="run-")) / f"{package.name}-{application}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    SparkContext._active_spark_context.addPyFile(str(archive))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and written stages.
 
