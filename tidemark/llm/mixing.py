@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.text import WORD
 
 #: Documents that one range of keys holds on average.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 4_000
 #: Bits of a document's random key.
 KEY_BITS = 60
 
