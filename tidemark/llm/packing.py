@@ -10,6 +10,7 @@ sequences' free places finds in logarithmic time.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,14 +19,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import as_bytes, mix64, raw
+from tidemark.llm.text import as_bytes, mix64, raw, slices
 
 LENGTH = 2048
 END = 1
 #: Documents that one group holds on average.
 GROUP_DOCS = 4096
 #: Words whose ids a worker remembers at most; beyond that it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 
 PIECES = "doc_id long, start long, length int, doc_tokens long, ids binary, part int"
 PACKED = "doc_id long, start long, length int, doc_tokens long, ids binary, sequence_id long, offset int"
@@ -55,56 +56,87 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[list[int],
     return bins, places
 
 
-class WordIds(dict):
-    """Ids of each word; in this vocabulary no token reaches over ASCII white space."""
+#: A word that ends in a letter or digit and then in punctuation: no token reaches over that border.
+_TAIL = re.compile(rb"(.*(?:[A-Za-z0-9]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([.,;:!?]+)", re.DOTALL)
 
-    def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
-
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(vocabulary)
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        value = self[word] = np.array(ids, "<u4").tobytes()
-        return value
 
+class WordIds:
+    """Ids of words, little-endian; in this vocabulary no token reaches over ASCII white space.
 
-_known: dict[str, WordIds] = {}
+    Words not known yet are encoded many at a time, with a special token
+    between them.
+    """
 
+    def __init__(self, vocabulary: str):
+        from tokenizers import Tokenizer
 
-def token_ids(text: bytes, vocabulary: str, end: int = END) -> bytes:
-    """Little-endian ids of a text, with the end id."""
-    known = _known.get(vocabulary)
-    if known is None:
-        known = _known[vocabulary] = WordIds(vocabulary)
-    return b"".join([known[word] for word in text.split()] + [np.uint32(end).tobytes()])
+        self.tokenizer = Tokenizer.from_file(vocabulary)
+        special = self.tokenizer.get_added_tokens_decoder()
+        self.border, self.text = next((at, token.content) for at, token in special.items() if token.special)
+        self.known: dict[bytes, bytes] = {}
+
+    def learn(self, words: set[bytes]) -> None:
+        new = words - self.known.keys()
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            new = words
+        cuts = {word: found.groups() for word in new if (found := _TAIL.fullmatch(word))}
+        parts = (new - cuts.keys()).union(*cuts.values()) - self.known.keys()
+        border = self.text.encode()
+        plain = [word for word in parts if border not in word]
+        for word in parts.difference(plain):
+            self.known[word] = self._encode(word).tobytes()
+        if plain:
+            ids = self._encode(border.join(plain))
+            ends = np.flatnonzero(ids == self.border).tolist() + [len(ids)]
+            blob, start = ids.tobytes(), 0
+            for word, end in zip(plain, ends):
+                self.known[word] = blob[4 * start : 4 * end]
+                start = end + 1
+        for word, (stem, tail) in cuts.items():
+            self.known[word] = self.known[stem] + self.known[tail]
+
+    def _encode(self, text: bytes) -> np.ndarray:
+        encoded = self.tokenizer.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)
+        return np.array(encoded[0].ids, "<u4")
+
+    def encode(self, texts: list[bytes], end: int) -> Iterator[bytes]:
+        """Ids of each text, with the end id."""
+        last = np.array([end], "<u4").tobytes()
+        split = [text.split() for text in texts]
+        self.learn(set().union(*split))
+        for words in split:
+            yield b"".join(map(self.known.__getitem__, words)) + last
+
+
+_vocabularies: dict[str, WordIds] = {}
+
+
+def word_ids(vocabulary: str) -> WordIds:
+    """The worker's words of a vocabulary, kept from task to task."""
+    if vocabulary not in _vocabularies:
+        _vocabularies[vocabulary] = WordIds(vocabulary)
+    return _vocabularies[vocabulary]
 
 
 def cut(vocabulary: str, groups: int, length: int, end: int, seed: int):
     """Tasks that turn texts into pieces with a random group."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = word_ids(vocabulary)
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
             offsets, data = raw(batch.column(1))
-            ids_of, blob = batch.column(0), data.tobytes()
-            rows: list[tuple] = []
-            held = 0
-            for k in range(batch.num_rows):
-                ids = token_ids(blob[offsets[k] : offsets[k + 1]], vocabulary, end)
-                total, doc_id = len(ids) // 4, ids_of[k].as_py()
-                for start in range(0, total, length):
-                    piece = ids[4 * start : 4 * (start + length)]
-                    rows.append((doc_id, start, len(piece) // 4, total, piece, number))
-                    number += 1
-                held += len(ids)
-                if held > 1 << 24:
-                    yield piece_batch(rows, groups, seed)
-                    rows, held = [], 0
-            if rows:
+            doc_ids, blob = batch.column(0).to_pylist(), data.tobytes()
+            for first, last in slices(offsets):
+                texts = [blob[offsets[k] : offsets[k + 1]] for k in range(first, last)]
+                rows: list[tuple] = []
+                for doc_id, ids in zip(doc_ids[first:last], known.encode(texts, end)):
+                    total = len(ids) // 4
+                    for start in range(0, total, length):
+                        piece = ids[4 * start : 4 * (start + length)]
+                        rows.append((doc_id, start, len(piece) // 4, total, piece, number))
+                        number += 1
                 yield piece_batch(rows, groups, seed)
 
     return pieces
