@@ -11,6 +11,7 @@ sequences' free places finds in logarithmic time.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,45 +57,78 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[list[int],
     return bins, places
 
 
-#: A word that ends in a letter or digit and then in punctuation: no token reaches over that border.
-_TAIL = re.compile(rb"(.*(?:[A-Za-z0-9]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([.,;:!?]+)", re.DOTALL)
+#: A word of ASCII and Latin-1 letters, then punctuation: no token reaches over that border.
+_LETTERS = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?]*)")
+#: Words on which the short way is tried before it is trusted.
+TRIED = 300
 
 
 class WordIds:
     """Ids of words, little-endian; in this vocabulary no token reaches over ASCII white space.
 
     Words not known yet are encoded many at a time, with a special token
-    between them.
+    between them.  Words of plain letters take a short way, lower case and the
+    merges alone, if that gives the same ids as the whole tokenizer.
     """
 
     def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         special = self.tokenizer.get_added_tokens_decoder()
         self.border, self.text = next((at, token.content) for at, token in special.items() if token.special)
-        self.known: dict[bytes, bytes] = {}
+        self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.known: dict[bytes, bytes] = {b"": b""}
+        self.tried = 0
 
     def learn(self, words: set[bytes]) -> None:
         new = words - self.known.keys()
         if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
+            self.known = {b"": b""}
             new = words
-        cuts = {word: found.groups() for word in new if (found := _TAIL.fullmatch(word))}
-        parts = (new - cuts.keys()).union(*cuts.values()) - self.known.keys()
+        whole, stems, tails, others = [], [], [], []
+        for word in new:
+            found = _LETTERS.fullmatch(word) if self.tried >= 0 else None
+            if found:
+                stem, tail = found.groups()
+                whole.append(word)
+                stems.append(stem.lower())
+                tails.append(tail)
+            else:
+                others.append(word)
+        others.extend(set(tails) - self.known.keys())
+        fresh = list(set(stems) - self.known.keys())
+        known = self.known
+        known.update(zip(fresh, self._short(fresh)))
+        known.update(zip(others, self._whole(others)))
+        known.update(zip(whole, [known[stem] + known[tail] for stem, tail in zip(stems, tails)]))
+
+    def _short(self, stems: list[bytes]) -> list[bytes]:
+        if not stems:
+            return []
+        lines = b"\n".join(stems).decode().lower()
+        newline = self.byte_level.pre_tokenize_str("\n")[0][0]
+        tokenize = self.tokenizer.model.tokenize
+        spelled = self.byte_level.pre_tokenize_str(lines)[0][0].split(newline)
+        ids = [array("I", [token.id for token in tokenize(word)]).tobytes() for word in spelled]
+        if self.tried < TRIED:
+            some = stems[: TRIED - self.tried]
+            if ids[: len(some)] != self._whole(some):
+                self.tried = -1
+                return self._whole(stems)
+            self.tried += len(some)
+        return ids
+
+    def _whole(self, words: list[bytes]) -> list[bytes]:
+        if not words:
+            return []
         border = self.text.encode()
-        plain = [word for word in parts if border not in word]
-        for word in parts.difference(plain):
-            self.known[word] = self._encode(word).tobytes()
-        if plain:
-            ids = self._encode(border.join(plain))
-            ends = np.flatnonzero(ids == self.border).tolist() + [len(ids)]
-            blob, start = ids.tobytes(), 0
-            for word, end in zip(plain, ends):
-                self.known[word] = blob[4 * start : 4 * end]
-                start = end + 1
-        for word, (stem, tail) in cuts.items():
-            self.known[word] = self.known[stem] + self.known[tail]
+        ids = self._encode(border.join(words))
+        ends = np.flatnonzero(ids == self.border).tolist()
+        if len(ends) != len(words) - 1:  # a word holds the border itself
+            return [self._encode(word).tobytes() for word in words]
+        blob = ids.tobytes()
+        return [blob[4 * start : 4 * end] for start, end in zip([0] + [end + 1 for end in ends], ends + [len(ids)])]
 
     def _encode(self, text: bytes) -> np.ndarray:
         encoded = self.tokenizer.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)
