@@ -98,12 +98,18 @@ def token_sets(lines: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def rare_prefixes(sets: DataFrame) -> DataFrame:
-    """(token, key, n, at, place, copies): each line's prefix by the tokens' rarity, tokens that one line has left out."""
-    each = sets.select("key", "n", "place", "copies", F.explode("tokens").alias("token"))
-    counts = each.groupBy("token").agg(F.count("*").alias("df"))
-    by_rarity = Window.partitionBy("key").orderBy("df", "token")
-    ranked = each.join(counts, "token").withColumn("at", F.row_number().over(by_rarity) - 1)
-    return ranked.where((F.col("at") < prefix_length(F.col("n"))) & (F.col("df") > 1)).drop("df")
+    """(token, key, n, at, place, copies): each line's prefix by the tokens' rarity.
+
+    Tokens that one line has come first in the order and are left out: they
+    match nothing and only their number counts.
+    """
+    each = sets.select("key", "n", F.explode("tokens").alias("token"))
+    counted = each.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1")
+    own = Window.partitionBy("key")
+    alone = F.col("n") - F.count("*").over(own)
+    ranked = counted.withColumn("at", (alone + F.row_number().over(own.orderBy("df", "token")) - 1).cast("int"))
+    prefix = ranked.where(F.col("at") < prefix_length(F.col("n"))).drop("df")
+    return prefix.join(sets.select("key", "place", "copies"), "key")
 
 
 def possible() -> Column:

@@ -38,9 +38,11 @@ SIZE = 5
 #: Similarity in hundredths.
 SIMILAR = 75
 #: A token that so many texts of one task share counts towards the frequent classes.
-SHARED = 4
-#: Frequent tokens that the order knows at most (16 bytes each); further ones are ordered as rare ones, which is exact too.
-FREQUENT = 1 << 17
+SHARED = 2
+#: Frequent tokens that the order knows at most (9 bytes each); further ones are ordered as rare ones, which is exact too.
+FREQUENT = 1 << 19
+#: Frequency class, a power of two, from which a token counts as frequent.
+LEAST_LEVEL = 2
 #: Tokens whose counts or index entries a task holds at a time.
 HELD = 1 << 22
 #: Index entries that one task reads on average.
@@ -122,14 +124,14 @@ def frequent_tokens(stage: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray,
     counted = rows.groupBy("token").agg(F.floor(F.log2(F.sum("df"))).cast("int").alias("level"))
     counted = written(counted, "frequent")
     known, least = 0, 64
-    for row in counted.groupBy("level").count().orderBy(F.desc("level")).collect():  # one row per power of two
+    for row in counted.where(F.col("level") >= LEAST_LEVEL).groupBy("level").count().orderBy(F.desc("level")).collect():  # one row per power of two
         if known + row["count"] > most:
             break
         known, least = known + row["count"], row["level"]
     rows = counted.where(F.col("level") >= least).toPandas()  # at most ``most`` rows
     token = rows["token"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(token)
-    return token[order], rows["level"].to_numpy().astype(np.int64)[order]
+    return token[order], rows["level"].to_numpy().astype(np.int8)[order]
 
 
 def prefix_length(n: int) -> int:
