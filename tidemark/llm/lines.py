@@ -69,13 +69,18 @@ def place() -> Column:
 
 
 def may_match(lines: DataFrame) -> DataFrame:
-    """Keys of lines that share a token of their prefix under the hashes' order with another line."""
-    tokens = lines.select("key", tokens_of(words_of(F.col("line"))).alias("tokens"))
-    prefix = F.slice("tokens", 1, prefix_length(F.size("tokens")))
-    entries = tokens.select("key", F.explode(prefix).alias("token"))
-    same = Window.partitionBy("token")
-    shared = entries.withColumn("low", F.min("key").over(same)).withColumn("high", F.max("key").over(same))
-    return written(shared.where("low != high").select("key").distinct(), "may-match")
+    """Keys of lines that share a token of their prefix under the hashes' order with another line of like length."""
+    tokens = lines.select("key", tokens_of(words_of(F.col("line"))).alias("tokens")).withColumn("n", F.size("tokens"))
+    prefix = F.slice("tokens", 1, prefix_length(F.col("n")))
+    entries = tokens.select("key", "n", F.explode(prefix).alias("token"))
+    by_size = Window.partitionBy("token").orderBy("n", "key")
+    # of the lines of a token the next in size is nearest: if it is too long or too short, all are
+    above, below = F.lead(F.struct("n", "key")).over(by_size), F.lag(F.struct("n", "key")).over(by_size)
+    placed = entries.select("key", "n", above.alias("above"), below.alias("below"))
+    near_above = (F.col("above.key") != F.col("key")) & (100 * F.col("n") >= SIMILAR * F.col("above.n"))
+    near_below = (F.col("below.key") != F.col("key")) & (100 * F.col("below.n") >= SIMILAR * F.col("n"))
+    # copies of one line stand side by side, so the first or the last of them sees another
+    return written(placed.where(near_above | near_below).select("key").distinct(), "may-match")
 
 
 def passes(keys: DataFrame) -> Column:
@@ -116,8 +121,8 @@ def possible() -> Column:
     """Length and positional filters of a pair (x, y) that shares the token at x_at and y_at."""
     long_enough = 100 * F.least("x_n", "y_n") >= SIMILAR * F.greatest("x_n", "y_n")
     wanted = F.ceil((F.col("x_n") + F.col("y_n")) * SIMILAR / (100 + SIMILAR))
-    # the shared tokens before this one are at most the smaller place, those from here on the smaller rest
-    most = F.least("x_at", "y_at") + F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
+    # at the first token that they share, all that they share is still ahead on both sides
+    most = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
     return long_enough & (most >= wanted)
 
 

@@ -71,12 +71,28 @@ def class_of(tokens: np.ndarray) -> int:
     return int(mix64(np.array([both], np.uint64))[0] >> np.uint64(1))
 
 
-SKETCH = "doc_id long, text_hash long, class long, n int, tokens binary, counts binary"
+def signature(tokens: np.ndarray) -> bytes:
+    """A bit for each token's low bits, four to eight times as many bits as tokens."""
+    bits = 1 << max(6, (4 * len(tokens)).bit_length())
+    out = np.zeros(bits, bool)
+    out[(tokens & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(out, bitorder="little").tobytes()
+
+
+def most_shared(x: bytes, n_x: int, y: bytes, n_y: int) -> int:
+    """Tokens that two sets share at most: all whose bit the other has."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) != len(b):  # the longer one folded to the low bits of the shorter
+        a, b = (a, b[: len(b) // 2] | b[len(b) // 2 :]) if len(a) < len(b) else (a[: len(a) // 2] | a[len(a) // 2 :], b)
+    return min(n_x - int(np.bitwise_count(a & ~b).sum()), n_y - int(np.bitwise_count(b & ~a).sum()))
+
+
+SKETCH = "doc_id long, text_hash long, class long, n int, bits binary, tokens binary, counts binary"
 
 
 def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's class and size; beside them, now and then, the tokens that many of the task's classes share."""
-    names = ["doc_id", "text_hash", "class", "n", "tokens", "counts"]
+    names = ["doc_id", "text_hash", "class", "n", "bits", "tokens", "counts"]
     known: set[int] = set()
     held: list[np.ndarray] = []
     size = 0
@@ -85,15 +101,16 @@ def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, count = np.unique(np.concatenate(held), return_counts=True)
         often = count >= SHARED
         blob = [pa.array([x.tobytes()], pa.binary()) for x in (token[often], count[often].astype(np.int64))]
-        nothing = [pa.array([None], kind) for kind in (pa.int64(), pa.int64(), pa.int64(), pa.int32())]
+        nothing = [pa.array([None], kind) for kind in (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())]
         return pa.record_batch(nothing + blob, names)
 
     for batch in batches:
-        classes, sizes = [], []
+        classes, sizes, bits = [], [], []
         for tokens in shingle_sets(*raw(batch.column(2))):
             number = class_of(tokens)
             classes.append(number)
             sizes.append(len(tokens))
+            bits.append(signature(tokens))
             if len(tokens) and number not in known:
                 known.add(number)
                 held.append(tokens)
@@ -103,7 +120,7 @@ def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     known, held, size = set(), [], 0
         none = pa.array([None] * batch.num_rows, pa.binary())
         yield pa.record_batch(
-            [batch.column(0), batch.column(1), pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()), none, none],
+            [batch.column(0), batch.column(1), pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary()), none, none],
             names,
         )
     if held:
@@ -232,7 +249,7 @@ def index_entries(parts: int, order):
                 known.add(number)
                 held.append((number, np.unique(index_keys(tokens, frequent, levels))))
                 size += len(held[-1][1])
-                if size >= HELD // 2:
+                if size >= HELD // 4:
                     yield entry_batch(held, parts)
                     known, held, size = set(), [], 0
         if held:
@@ -305,6 +322,14 @@ def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).take(pa.array(links, pa.int64()))
 
 
+def token_sets(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(class, tokens) of the classes in ``pairs``."""
+    needed = written(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "needed")
+    shared = texts.sparkSession.sparkContext.broadcast(needed_filter(needed, needed.count()))
+    found = texts.select("text").mapInArrow(sets_in(shared), "class long, tokens binary")
+    return written(found.join(needed, "class", "left_semi").dropDuplicates(["class"]), "sets")
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     one = sets.selectExpr("class as a", "tokens as x")
     other = sets.selectExpr("class as b", "tokens as y")
@@ -312,12 +337,25 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(similar, "a long, b long")
 
 
-def of_size(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Pairs whose sizes allow the similarity."""
-    one = sizes.selectExpr("class as a", "n as n_a")
-    other = sizes.selectExpr("class as b", "n as n_b")
+def plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) of a batch whose signatures allow the similarity."""
+    for batch in batches:
+        n_a, n_b = batch.column(3).to_pylist(), batch.column(5).to_pylist()
+        links = []
+        for row, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(4).to_pylist())):
+            both = most_shared(x, n_a[row], y, n_b[row])
+            if 100 * both >= SIMILAR * (n_a[row] + n_b[row] - both):
+                links.append(row)
+        yield batch.select([0, 1]).take(pa.array(links, pa.int64()))
+
+
+def possible(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Pairs whose sizes and signatures allow the similarity; no pair that has it is lost."""
+    one = sizes.selectExpr("class as a", "bits as x", "n as n_a")
+    other = sizes.selectExpr("class as b", "bits as y", "n as n_b")
     joined = pairs.join(one, "a").join(other, "b")
-    return joined.where(f"100 * least(n_a, n_b) >= {SIMILAR} * greatest(n_a, n_b)").select("a", "b")
+    joined = joined.where(f"100 * least(n_a, n_b) >= {SIMILAR} * greatest(n_a, n_b)")
+    return joined.select("a", "b", "x", "n_a", "y", "n_b").mapInArrow(plausible, "a long, b long")
 
 
 def leader_pairs(members: DataFrame) -> DataFrame:
@@ -353,7 +391,8 @@ def join(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), as_bytes().alias("text"))
     stage = written(texts.mapInArrow(sketches, SKETCH), "sketches")
     rows = stage.where("tokens is null").select("doc_id", "text_hash", "class", "n")
-    sizes = written(rows.where("n > 0").groupBy("class").agg(F.max("n").alias("n"), F.min("doc_id").alias("first")), "sizes")
+    sizes = stage.where("n > 0").groupBy("class").agg(F.max("n").alias("n"), F.min("doc_id").alias("first"), F.max("bits").alias("bits"))
+    sizes = written(sizes, "sizes")
     roots = components(class_links(texts, stage, sizes))
     named = sizes.join(roots.selectExpr("node as class", "root"), "class", "left")
     named = named.selectExpr("class", "first", "coalesce(root, class) as root")
@@ -371,14 +410,11 @@ def class_links(texts: DataFrame, stage: DataFrame, sizes: DataFrame) -> DataFra
     order = context.broadcast(frequent_tokens(stage))
     entries = texts.select("text").mapInArrow(index_entries(parts, order), ENTRIES)
     members = written(entries.groupBy("part").applyInArrow(shared_keys, "key long, class long"), "members")
-    needed = written(members.select("class").distinct(), "needed")
-    shared = context.broadcast(needed_filter(needed, needed.count()))
-    found = texts.select("text").mapInArrow(sets_in(shared), "class long, tokens binary")
-    sets = written(found.join(needed, "class", "left_semi").dropDuplicates(["class"]), "sets")
-    first = written(of_size(leader_pairs(members), sizes), "first")
-    links = written(verified(first, sets), "links")
-    rest = of_size(rest_pairs(members, components(links)), sizes).join(first, ["a", "b"], "left_anti")
-    return links.union(written(verified(rest, sets), "links"))
+    first = written(possible(leader_pairs(members), sizes), "first")
+    links = written(verified(first, token_sets(texts, first)), "links")
+    rest = rest_pairs(members, components(links)).join(first, ["a", "b"], "left_anti")
+    rest = written(possible(rest, sizes), "rest")
+    return links.union(written(verified(rest, token_sets(texts, rest)), "links"))
 
 
 def representatives(docs: DataFrame, joined: DataFrame) -> DataFrame:
