@@ -10,6 +10,7 @@ sequences' free places finds in logarithmic time.
 
 from __future__ import annotations
 
+import gc
 import re
 from array import array
 from collections.abc import Iterator
@@ -29,6 +30,9 @@ GROUP_DOCS = 4096
 #: Words whose ids a worker remembers at most; beyond that it starts anew.
 REMEMBERED = 500_000
 
+#: Bytes of text whose words are looked up together.
+TOGETHER = 1 << 23
+
 PIECES = "doc_id long, start long, length int, doc_tokens long, ids binary, part int"
 PACKED = "doc_id long, start long, length int, doc_tokens long, ids binary, sequence_id long, offset int"
 
@@ -157,12 +161,13 @@ def cut(vocabulary: str, groups: int, length: int, end: int, seed: int):
     """Tasks that turn texts into pieces with a random group."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # millions of short-lived lists, no cycles
         known = word_ids(vocabulary)
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
             offsets, data = raw(batch.column(1))
             doc_ids, blob = batch.column(0).to_pylist(), data.tobytes()
-            for first, last in slices(offsets):
+            for first, last in slices(offsets, TOGETHER):
                 texts = [blob[offsets[k] : offsets[k + 1]] for k in range(first, last)]
                 rows: list[tuple] = []
                 for doc_id, ids in zip(doc_ids[first:last], known.encode(texts, end)):
