@@ -39,6 +39,12 @@ PAGES = (
     HEAD + '<header class="banner"><p>{m}</p></header><div class="page wrapper"><div class="nav menu">' + LINKS
     + '</div><div class="main text body" data-main="1"><h1>{s}</h1><p>{m}</p><p>{l}</p><dl><dt>{s}</dt><dd>{m}</dd></dl></div>'
     '<div class="aside related">' + LINKS + '</div></div><div class="footer copyright legal"><p>{m}</p></div><form><p>{m}</p><textarea>{s}</textarea></form></body></html>',
+    # other matter inside the article
+    HEAD + '<article data-main="1"><p>{m}</p><section class="comments" data-main="0"><p>{s}</p><p>{m}</p></section></article></body></html>',
+    HEAD + '<article data-main="1"><h1>{s}</h1><p>{l}</p><div class="comments" data-main="0"><p>{s}</p></div><aside data-main="0"><p>{m}</p></aside></article></body></html>',
+    HEAD + '<main data-main="1"><p>{m}</p><nav data-main="0"><p>{s}</p></nav><p>{l}</p><footer data-main="0"><p>{s}</p></footer><ul class="comments" data-main="0"><li>{s}</li><li><p>{m}</p></li></ul></main></body></html>',
+    HEAD + '<article data-main="1"><div class="notice" data-main="0"><p>{m}</p></div><p>{l}</p><form data-main="0"><p>{m}</p></form><div class="ad" data-main="0"><p>{m}</p></div><p>{s}</p></article></body></html>',
+    HEAD + '<article data-main="1"><header><h1>{s}</h1><p>{m}</p></header><p>{l}</p><section class="related" data-main="0"><p>{s}</p></section><section class="comment" data-main="0"><p>{m}</p></section></article></body></html>',
     # little text
     HEAD + "<nav>" + LINKS + '</nav><article data-main="1"><h1>{s}</h1><p>{s}</p></article><footer>{s}</footer></body></html>',
     HEAD + '<div class="ad">{l}</div><article data-main="1"><p>{s}</p></article><div class="advertisement">{m}</div><footer>{m}</footer></body></html>',

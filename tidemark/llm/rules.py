@@ -36,15 +36,15 @@ STOP_WORDS = (
 
 RULES = (
     Rule("words", "n_words", least=50, base=True),
-    Rule("repetition", "100 * n_repeat_words / n_words", most=50, base=True),
+    Rule("repetition", "try_divide(100 * n_repeat_words, n_words)", most=50, base=True),
     Rule("longest_text", "n_words", most=1_000_000),
-    Rule("word_length", "word_chars / n_words", least=2, most=15),
-    Rule("symbols", "100 * n_symbols / n_words", most=20),
+    Rule("word_length", "try_divide(word_chars, n_words)", least=2, most=15),
+    Rule("symbols", "try_divide(100 * n_symbols, n_words)", most=20),
     Rule("stop_words", "n_stop_words", least=2),
-    Rule("alphabetic", "100 * n_alpha_words / n_words", least=60),
-    Rule("duplicate_lines", "100 * n_dup_lines / n_lines", most=50),
-    Rule("ellipses", "100 * n_ellipsis_lines / n_lines", most=30),
-    Rule("bullets", "100 * n_bullet_lines / n_lines", most=90),
+    Rule("alphabetic", "try_divide(100 * n_alpha_words, n_words)", least=60),
+    Rule("duplicate_lines", "try_divide(100 * n_dup_lines, n_lines)", most=50),
+    Rule("ellipses", "try_divide(100 * n_ellipsis_lines, n_lines)", most=30),
+    Rule("bullets", "try_divide(100 * n_bullet_lines, n_lines)", most=90),
 )
 
 
