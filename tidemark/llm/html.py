@@ -200,7 +200,7 @@ def share(pair: tuple[float, float]) -> float:
     return 1 / (1 + math.exp(max(-500.0, min(500.0, pair[0] - pair[1]))))
 
 
-def train(pages: list[str], more: float = 0.1) -> Model:
+def train(pages: list[str], more: float = 0.02) -> Model:
     """Potentials counted on pages with marks, each count raised by ``more``."""
     prior, step, sights, total = [more, more], [[more, more], [more, more]], Counter(), [0, 0]
     for page in pages:
