@@ -28,10 +28,10 @@ END = 1
 #: Documents that one group holds on average.
 GROUP_DOCS = 4096
 #: Words whose ids a worker remembers at most; beyond that it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 
 #: Bytes of text whose words are looked up together.
-TOGETHER = 1 << 23
+TOGETHER = 1 << 22
 
 PIECES = "doc_id long, start long, length int, doc_tokens long, ids binary, part int"
 PACKED = "doc_id long, start long, length int, doc_tokens long, ids binary, sequence_id long, offset int"
@@ -147,40 +147,39 @@ class WordIds:
             yield b"".join(map(self.known.__getitem__, words)) + last
 
 
-_vocabularies: dict[str, WordIds] = {}
-
-
-def word_ids(vocabulary: str) -> WordIds:
-    """The worker's words of a vocabulary, kept from task to task."""
-    if vocabulary not in _vocabularies:
-        _vocabularies[vocabulary] = WordIds(vocabulary)
-    return _vocabularies[vocabulary]
-
-
 def cut(vocabulary: str, groups: int, length: int, end: int, seed: int):
     """Tasks that turn texts into pieces with a random group."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # millions of short-lived lists, no cycles
-        known = word_ids(vocabulary)
-        number = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            offsets, data = raw(batch.column(1))
-            doc_ids, blob = batch.column(0).to_pylist(), data.tobytes()
-            for first, last in slices(offsets, TOGETHER):
-                texts = [blob[offsets[k] : offsets[k + 1]] for k in range(first, last)]
-                rows: list[tuple] = []
-                for doc_id, ids in zip(doc_ids[first:last], known.encode(texts, end)):
-                    total = len(ids) // 4
-                    for start in range(0, total, length):
-                        piece = ids[4 * start : 4 * (start + length)]
-                        rows.append((doc_id, start, len(piece) // 4, total, piece, number))
-                        number += 1
-                yield piece_batch(rows, groups, seed)
+        try:
+            # the words are forgotten with the task, so a worker that goes on to other work is small again
+            yield from piece_batches(batches, WordIds(vocabulary), groups, length, end, seed)
+        finally:
+            gc.enable()
 
     return pieces
 
 
+def piece_batches(
+    batches: Iterator[pa.RecordBatch], known: WordIds, groups: int, length: int, end: int, seed: int
+) -> Iterator[pa.RecordBatch]:
+    number = TaskContext.get().partitionId() << 40
+    for batch in batches:
+        offsets, data = raw(batch.column(1))
+        doc_ids, blob = batch.column(0).to_pylist(), data.tobytes()
+        for first, last in slices(offsets, TOGETHER):
+            texts = [blob[offsets[k] : offsets[k + 1]] for k in range(first, last)]
+            rows: list[tuple] = []
+            for doc_id, ids in zip(doc_ids[first:last], known.encode(texts, end)):
+                total = len(ids) // 4
+                for start in range(0, total, length):
+                    piece = ids[4 * start : 4 * (start + length)]
+                    rows.append((doc_id, start, len(piece) // 4, total, piece, number))
+                    number += 1
+            yield piece_batch(rows, groups, seed)
+
+
 def piece_batch(rows: list[tuple], groups: int, seed: int) -> pa.RecordBatch:
     doc, start, size, total, ids, number = zip(*rows)
     scattered = mix64(np.array(number, np.uint64) ^ mix64(np.array([seed], np.uint64)))
