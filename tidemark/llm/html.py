@@ -2,7 +2,7 @@
 
 Each element is main text or not.  Potentials connect an element's state to
 its parent's and to what can be seen of it: its tag, the words of its class
-and id, how much text it holds and how much of that is in links.  Messages go
+and id and of its parent's, how much text it holds and how much of that is in links.  Messages go
 up from the leaves and down from the root (sum-product), which on a tree gives
 exact marginals.  The potentials are counted on labelled pages.  A page is
 parsed, judged and joined again in its own row.
@@ -147,7 +147,8 @@ def seen(nodes: list[Node]) -> list[list[str]]:
         share = linked[at] / chars[at] if chars[at] else 0
         size = min(5, int(math.log10(chars[at] + 1) * 2)) if chars[at] else -1
         here = [f"tag={node.tag}", f"links={min(3, int(share * 4))}", f"size={size}"]
-        out.append(here + [f"word={word}" for word in sorted(set(node.words))])
+        above = nodes[node.parent].words if at else ()
+        out.append(here + [f"word={word}" for word in sorted(set(node.words))] + [f"under={word}" for word in sorted(set(above))])
     return out
 
 
