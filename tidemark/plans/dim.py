@@ -28,7 +28,7 @@ def dim_sink(
 ) -> StreamingQuery | None:
     """Fill the dimension tables; a stream looks at the configuration again in every batch."""
 
-    def put(batch: DataFrame, number: int) -> None:
+    def put(batch: DataFrame, number: int | None) -> None:
         table = routes.current() if isinstance(routes, Lookup) else routes
         known = routes_as_rows(table)
         # named outright, the tables can be skipped where records are stored
@@ -36,5 +36,5 @@ def dim_sink(
         upsert_dim(routed(wanted, table), known, database, root, number, order)
 
     if not changes.isStreaming:
-        return put(changes, 0)
+        return put(changes, None)  # a bounded load follows what is there
     return start_batches(changes, put, "dim_sink", checkpoint, **trigger)

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from tidemark.operators.routing import ROUTE_FIELDS
 
 BATCH = "_batch"
+# The partition of folded rows comes before all numbered batches.
+FOLDED = -1
 DEFAULT_KEY = "id"
 
 
@@ -64,21 +66,27 @@ def upsert_dim(
     routes: Iterable[Row],
     database: str,
     root: str,
-    batch: int = 0,
+    batch: int | None = 0,
     order: list[str] | None = None,
 ) -> None:
-    """Write a batch of routed change records to their tables."""
+    """Write a batch of routed change records to their tables; without a number it comes after all others."""
     spark = routed.sparkSession
     held = routed.persist()
     try:
         for route in routes:
             table = ensure_dim_table(spark, route, database, root)
             rows = merged(held.filter(F.col("sink_table") == route.sink_table), route, order)
-            _replace_partition(rows, table, columns_of(route), batch)
+            number = _next_number(spark, table) if batch is None else batch
+            _replace_partition(rows, table, columns_of(route), number)
     finally:
         held.unpersist()
 
 
+def _next_number(spark: SparkSession, table: str) -> int:
+    last = spark.table(table).agg(F.max(BATCH)).first()[0]
+    return 0 if last is None else max(int(last), FOLDED) + 1
+
+
 def _replace_partition(rows: DataFrame, table: str, columns: list[str], batch: int) -> None:
     listed = ", ".join(_quoted(name) for name in columns)
     statement = f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH} = {batch}) SELECT {listed} FROM {{rows}}"
@@ -112,10 +120,11 @@ def read_dim(spark: SparkSession, route: Row, database: str) -> DataFrame:
 
 
 def compact_dim(spark: SparkSession, route: Row, database: str, scratch: str) -> None:
-    """Fold all partitions into the last one.
+    """Fold all partitions into one before all batches.
 
     The folded rows are written aside first.  Whatever step a failure comes
-    after, readers still see the same rows, because the last partition decides.
+    after, readers still see the same rows, because later partitions give the
+    same values again; a batch that is repeated replaces only its own partition.
     """
     table = table_name(route, database)
     numbers = sorted(row[0] for row in spark.table(table).select(BATCH).distinct().collect())
@@ -124,6 +133,7 @@ def compact_dim(spark: SparkSession, route: Row, database: str, scratch: str) ->
     aside = f"{scratch.rstrip('/')}/{route.sink_table}_{numbers[-1]}"
     read_dim(spark, route, database).write.mode("overwrite").parquet(aside)
     folded = spark.read.parquet(aside)
-    _replace_partition(folded, table, columns_of(route), numbers[-1])
-    for number in numbers[:-1]:
-        _replace_partition(folded.limit(0), table, columns_of(route), number)
+    _replace_partition(folded, table, columns_of(route), FOLDED)
+    for number in numbers:
+        if number != FOLDED:
+            _replace_partition(folded.limit(0), table, columns_of(route), number)
