@@ -8,8 +8,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import schemas as s
 from tidemark.functions import texts, times
-from tidemark.functions.records import bad, good
+from tidemark.functions.records import bad, decode, good
 from tidemark.operators import changes as c, firsts, logsplit
 from tidemark.operators.joins import lookup_join, ttl_join
 from tidemark.operators.routing import latest_routes, route_dimensions
@@ -68,6 +69,19 @@ def test_a_line_is_parsed_once(spark):
     assert plan.count("from_json") == 1
 
 
+def test_a_mistyped_value_costs_only_itself(spark):
+    rows = lines(spark, '{"ts": 1, "page": {"during_time": 1.5, "page_id": "p"}}', "[1]", '"text"', "5")
+    records = decode(rows, s.PAGE_LOG, keep=["seq"])
+    assert [(r.ts, r.page.during_time, r.page.page_id) for r in good(records).collect()] == [(1, None, "p")]
+    assert bad(records).count() == 3
+
+
+def test_log_lines_without_a_time_are_dirty(spark):
+    rows = lines(spark, '{"ts": "12"}', '{"ts": 13.0}', '{"ts": null}', '{"common": {}}', '{"ts": "soon"}')
+    assert sorted(r.ts for r in good(traffic.parsed_log(rows)).collect()) == [12, 13]
+    assert traffic.dirty_log(rows).count() == 3
+
+
 # --- log split ---------------------------------------------------------------
 def split(spark, record, **options):
     rows = good(traffic.parsed_log(lines(spark, json.dumps(record))))
@@ -110,7 +124,32 @@ def test_common_as_text(spark):
     assert found[0][1]["common"] == '{"mid":"m"}'
 
 
+def test_fields_of_any_name_and_type_go_along(spark):
+    more = {"sid": 7, "deep": {"a": [1, {"b": None}]}}
+    record = {"common": {"mid": "m", **more}, "page": {"page_id": 3, "during_time": 1.5, **more}, "ts": 5, "extra": more,
+              "err": more, "displays": [{"item": 1, **more}, 8], "actions": [{"ts": 6, **more}]}
+    found = dict(split(spark, record)[:1] + split(spark, record)[2:])
+    rest = {"common": record["common"], "page": record["page"], "ts": 5, "extra": more}
+    assert found["page"] == rest and found["error"] == record
+    assert found["display"] == {"item": 1, **more, "common": record["common"], "page_id": 3, "ts": 5}
+    assert found["action"] == {"ts": 6, **more, "common": record["common"], "page_id": 3}
+
+
+def test_a_mark_that_is_taken_back_changes_nothing_else(spark):
+    first = {"common": {"mid": "m", "is_new": "0", "x": 1}, "ts": 5}
+    later = {"common": {"mid": "m", "is_new": "1", "x": 1}, "ts": 6, "more": [2]}
+    found = traffic.base_log(lines(spark, json.dumps(first), json.dumps(later))).collect()
+    assert [json.loads(r.value) for r in found if "more" in r.value] == [
+        {"common": {"mid": "m", "is_new": "0", "x": 1}, "ts": 6, "more": [2]}
+    ]
+
+
 # --- new-visitor repair ------------------------------------------------------
+def test_records_without_a_time_pass_and_settle_nothing(spark):
+    rows = [page(1, None, is_new="1"), page(2, NOON, is_new="1"), page(3, NOON + DAY, is_new="1")]
+    assert repaired(spark, *rows) == {1: "1", 2: "1", 3: "0"}
+
+
 def repaired(spark, *rows):
     found = firsts.repair_is_new(pages(spark, *rows), ["seq"])
     return {r.seq: r.is_new for r in found.select("seq", "common.is_new").collect()}

@@ -78,6 +78,14 @@ def test_upsert_topic_keeps_the_last_row_per_key(spark, folder):
     assert sorted((r.id, r.v) for r in out.read_upsert_topic(spark, topic, schema).collect()) == [("1", "b"), ("2", "c")]
 
 
+def test_bounded_upserts_follow_each_other(spark, folder):
+    topic, schema = Topic("up", root=folder), "id STRING, n INT, v STRING"
+    for rows in ([("1", 1, "a"), ("2", 1, "x")], [("1", 2, "b")], [("3", 1, "y")]):
+        out.write_upsert_topic(spark.createDataFrame(rows, schema), topic, ["id"], ["n"])
+    found = out.read_upsert_topic(spark, topic, s.record("id v")).collect()
+    assert sorted((r.id, r.v) for r in found) == [("1", "b"), ("2", "x"), ("3", "y")]
+
+
 def test_upsert_stream_and_restart(spark, folder):
     """A second run with the same checkpoint reads only what is new."""
     topic, schema = Topic("up", root=f"{folder}/out"), "id STRING, n INT, v STRING"

@@ -12,7 +12,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from streams import as_stream, play, write_parts
+from tests.streams import as_stream, play, write_parts
 from tidemark.operators import firsts
 from tidemark.operators.joins import ttl_join
 from tidemark.plans import trade, traffic, user
@@ -252,7 +252,7 @@ def test_order_lines_meet_their_order_in_a_later_batch(spark, folder):
 
 @pytest.mark.parametrize("first_marked", ["1", "0"])
 def test_repair_of_a_new_device_with_days_out_of_order(spark, folder, first_marked):
-    from test_rules import DAY, NOON, PAGE, page
+    from tests.test_rules import DAY, NOON, PAGE, page
 
     rows = [
         page(5, NOON + 2 * DAY, is_new="1"), page(3, NOON + DAY, is_new="1"), page(4, NOON + DAY + 1, is_new="1"),
@@ -263,3 +263,25 @@ def test_repair_of_a_new_device_with_days_out_of_order(spark, folder, first_mark
     found = play(firsts.repair_is_new(stream, ["seq"]), folder).select("seq", "common.is_new").collect()
     stays = {1, 2, 6, 7} if first_marked == "1" else {6}
     assert {r.seq for r in found if r.is_new == "1"} == stays and len(found) == 8
+
+
+@pytest.mark.parametrize(
+    "job, idle",
+    [
+        (traffic.unique_visitor, False),
+        (traffic.user_jump, True),
+        (lambda rows: firsts.repair_is_new(rows, ["seq"]), True),
+        (lambda rows: firsts.returning_users(rows.selectExpr("common.mid AS mid", "timestamp_millis(ts) AS at"), "mid", "at"), True),
+    ],
+)
+def test_rows_without_a_time_do_not_stop_a_stream(spark, folder, job, idle):
+    from tests.test_rules import DAY, NOON, PAGE, page
+
+    rows = [page(1, None, is_new="1"), page(2, NOON, is_new="1"), page(3, None, mid=None)]
+    later = [page(4, None), page(5, NOON + 5 * DAY, is_new="1")]
+    last = [page(6, NOON + 10 * DAY)]
+    stream = parts(spark, folder, PAGE, rows, later, last)
+    found = play(job(stream), folder, idle_batches=idle).collect()
+    expected = job(spark.createDataFrame(rows + later + last, PAGE)).collect()
+    held = {5, 6} if job is traffic.user_jump else set()  # the last start events wait for the watermark
+    assert sorted(map(str, found)) == sorted(str(r) for r in expected if getattr(r, "seq", None) not in held)

@@ -6,8 +6,8 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from streams import play
-from test_streams import parts
+from tests.streams import play
+from tests.test_streams import parts
 from tidemark.plans import interaction, trade
 from tidemark.sources import sample
 from tidemark.sources.lookup import Lookup

@@ -9,17 +9,27 @@ BAD = "_corrupt_record"
 
 
 def decode(lines: DataFrame, schema: StructType, value: str = "value", keep: list[str] | None = None) -> DataFrame:
-    """Parse JSON lines; unreadable ones keep their text in ``_corrupt_record``."""
+    """Parse JSON lines; those that are no JSON objects keep their text in ``_corrupt_record``.
+
+    A value of another type than its field's is NULL; the rest of the record stays.
+    """
     wide = StructType([*schema.fields, StructField(BAD, StringType())])
     record = F.from_json(F.col(value), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD})
     kept = [F.col(name) for name in (keep or []) if name in lines.columns]
     # a generator keeps the parse apart: filters on its fields do not pull a second parse below it
     parsed = lines.select(*kept, F.col(value).alias("_text"), F.explode(F.array(record)).alias("_record"))
-    unread = F.col("_record").isNull() | F.col(f"_record.{BAD}").isNotNull()
+    # the parse also complains of single values, so what it complains of is looked at again
+    suspect = F.col("_record").isNull() | F.col(f"_record.{BAD}").isNotNull()
+    unread = suspect & fields_of(F.col("_text")).isNull()
     fields = [F.col(f"_record.`{field.name}`").alias(field.name) for field in schema.fields]
     return parsed.select(*kept, *fields, F.when(unread, F.coalesce("_text", F.lit(""))).alias(BAD))
 
 
+def fields_of(text: Column) -> Column:
+    """The fields of a JSON object as they are, by name; NULL for all other text."""
+    return F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>")
+
+
 def good(records: DataFrame) -> DataFrame:
     """Records that could be parsed."""
     return records.filter(F.col(BAD).isNull()).drop(BAD)
@@ -33,8 +43,3 @@ def bad(records: DataFrame) -> DataFrame:
 def encode(*columns: Column | str) -> Column:
     """Row to JSON text, keeping NULL fields."""
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-
-
-def encode_set(*columns: Column | str) -> Column:
-    """Row to JSON text, leaving NULL fields out."""
-    return F.to_json(F.struct(*columns))

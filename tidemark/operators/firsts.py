@@ -25,9 +25,14 @@ def first_rows(rows: DataFrame, keys: list[str], order: list[Column | str]) -> D
     return rows.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") == 1).drop("_rank")
 
 
+def _timed(rows: DataFrame, time: str) -> DataFrame:
+    """Rows without a time belong to no day."""
+    return rows.filter(F.col(time).isNotNull())
+
+
 def first_of_day(rows: DataFrame, key: str, time: str, tie: list[str]) -> DataFrame:
     """The first row of each key and calendar day."""
-    known = rows.filter(F.col(key).isNotNull())
+    known = _timed(rows, time).filter(F.col(key).isNotNull())
     if rows.isStreaming:
         return stateful.first_of_day(known, F.col(key), time, tie)
     marked = known.withColumns({"_key": F.col(key), "_day": F.to_date(time)})
@@ -36,6 +41,7 @@ def first_of_day(rows: DataFrame, key: str, time: str, tie: list[str]) -> DataFr
 
 def daily_starts(rows: DataFrame, keys: list[str], time: str) -> DataFrame:
     """One row per key and calendar day: the keys and the earliest ``time`` of that day."""
+    rows = _timed(rows, time)
     if rows.isStreaming:
         return stateful.first_of_day(rows.select(*keys, time), F.to_json(F.struct(*keys)), time, [])
     return _days(rows, keys, time).drop("_day")
@@ -47,6 +53,7 @@ def _days(rows: DataFrame, keys: list[str], time: str) -> DataFrame:
 
 def returning_users(rows: DataFrame, user: str, time: str, gap_days: int = 8) -> DataFrame:
     """One row per user and day: ``uu`` = 1 and ``back`` = 1 after ``gap_days`` or more without a login."""
+    rows = _timed(rows, time)
     if rows.isStreaming:
         return stateful.returning_users(rows, user, time, gap_days)
     days = _days(rows, [user], time)
@@ -57,6 +64,7 @@ def returning_users(rows: DataFrame, user: str, time: str, gap_days: int = 8) ->
 
 def unique_users(rows: DataFrame, user: str, time: str, tie: list[str]) -> DataFrame:
     """One row per user and day with ``unique_user`` = 1, and ``new_user`` = 1 on the user's first day."""
+    rows = _timed(rows, time)
     if rows.isStreaming:
         return stateful.mark_unique_users(rows, user, time, tie, only_unique=True)
     earliest = F.min(time).over(Window.partitionBy(user))
@@ -78,6 +86,7 @@ def mark_unique_users(
     what a user then has is bounded by time, not by the number of rows, and the
     marks come from that without going back to the input.
     """
+    rows = _timed(rows, time)
     if rows.isStreaming:
         kept = rows.select(*dict.fromkeys([user, time, *tie, *amounts]))
         marked = stateful.mark_unique_users(kept, user, time, tie, only_unique=False)
@@ -100,14 +109,15 @@ def repair_is_new(records: DataFrame, tie: list[str], flag: str = "common.is_new
 
     The first record of a device settles it: marked new, its day is the only
     day on which the mark may stay; not marked, the mark never holds.  Records
-    without a device or without the mark pass as they are.
+    without a device, a time or the mark pass as they are and settle nothing.
     """
     if records.isStreaming:
         return stateful.repair_is_new(records, tie)
-    claims = F.coalesce(F.col(flag) == "1", F.lit(False)) & F.col(device).isNotNull()
+    known = F.col(device).isNotNull() & F.col("ts").isNotNull()
+    claims = F.coalesce(F.col(flag) == "1", F.lit(False)) & known
     first = F.min_by(F.struct(F.col(flag).alias("flag"), F.col("ts").alias("ts")), F.struct("ts", *tie))
     truly_new = (
-        records.filter(F.col(device).isNotNull())
+        records.filter(known)
         .groupBy(F.col(device).alias("_mid"))
         .agg(first.alias("_first"))
         .filter(F.col("_first.flag") == "1")

@@ -4,48 +4,74 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.records import encode_set
+from tidemark.functions.records import fields_of
 
 TAGS = ("page", "start", "display", "action", "error")
 
 
+def _part(value: Column, kind: str, path: str = "$") -> Column:
+    return F.try_variant_get(value, path, kind)
+
+
+def _without(fields: Column, *names: str) -> Column:
+    return F.map_filter(fields, lambda name, _: ~name.isin(*names))
+
+
+def _with(fields: Column, **more: Column) -> Column:
+    """``fields`` with others put in their place; NULL ones are left out."""
+    put = F.create_map(*[part for name, value in more.items() for part in (F.lit(name), value)])
+    return F.map_concat(_without(fields, *more), F.map_filter(put, lambda _, value: value.isNotNull()))
+
+
+def _marked(record: Column, mark: Column) -> Column:
+    """The record with this new-visitor mark, if it has one."""
+    common = _part(record["common"], "map<string,variant>")
+    put = _with(common, is_new=mark.cast("variant"))
+    differs = _part(record["common"], "string", "$.is_new") != mark
+    return F.when(differs, _with(record, common=F.to_variant_object(put))).otherwise(record)
+
+
 def tagged(records: DataFrame, common_as_string: bool = False) -> DataFrame:
     """(tag, value) rows: one pass over the log, one output row per derived record.
 
-    A record with ``err`` goes to *error* as a whole, then goes on without it.
-    A record with ``start`` goes to *start* and nowhere else.  Every other one
-    gives its displays (with the page's time), its actions (with their own
-    time) and the page itself without both.  ``common_as_string`` embeds the
-    common fields in displays and actions as JSON text, not as an object.
+    Records are texts (``value``) and the new-visitor mark they shall have
+    (``common.is_new``).  A record with ``err`` goes to *error* as a whole,
+    then goes on without it.  A record with ``start`` goes to *start* and
+    nowhere else.  Every other one gives its displays (with the page's time),
+    its actions (with their own time) and the page itself without both.  All
+    other fields go along as they are.  ``common_as_string`` embeds the common
+    fields in displays and actions as JSON text, not as an object.
     """
-    launch = F.col("start").isNotNull()
-    common = encode_set("common.*") if common_as_string else F.col("common")
-    page_id = F.col("page.page_id")
-
-    def extended(item: Column, fields: list[str], *more: Column) -> Column:
-        kept = [item[field].alias(field) for field in fields if field != "ts"]
-        return encode_set(*kept, common.alias("common"), page_id.alias("page_id"), *more)
+    given = F.map_filter(fields_of(F.col("value")), lambda _, value: ~F.is_variant_null(value))
+    # a generator keeps the parse apart: it is used many times below
+    read = records.select(F.col("common.is_new").alias("_mark"), F.explode(F.array(given)).alias("_given"))
+    whole = read.select(F.explode(F.array(_marked(F.col("_given"), F.col("_mark")))).alias("_record"))
 
-    shows = [field.name for field in records.schema["displays"].dataType.elementType]
-    acts = [field.name for field in records.schema["actions"].dataType.elementType]
-    whole = ["common", "start", "page", "displays", "actions", "ts"]
+    record = F.col("_record")
+    launch = record["start"].isNotNull()
+    common = F.to_json(record["common"]).cast("variant") if common_as_string else record["common"]
+    page_id = _part(record["page"], "variant", "$.page_id")
+    none = F.array().cast("array<struct<tag: string, value: string>>")
 
-    def one(tag: str, value: Column) -> Column:
-        return F.struct(F.lit(tag).alias("tag"), value.alias("value"))
+    def one(tag: str, fields: Column) -> Column:
+        return F.struct(F.lit(tag).alias("tag"), F.to_json(fields).alias("value"))
 
-    def many(tag: str, items: str, build) -> Column:
-        made = F.transform(F.col(items), lambda item: one(tag, build(item)))
+    def many(tag: str, items: str, **more: Column) -> Column:
+        # an item that is no object has no fields of its own
+        listed = _part(record[items], "array<map<string,variant>>")
+        own = F.transform(listed, lambda item: F.coalesce(item, F.create_map().cast("map<string,variant>")))
+        made = F.transform(own, lambda item: one(tag, _with(item, common=common, page_id=page_id, **more)))
         return F.when(~launch, F.coalesce(made, none)).otherwise(none)
 
-    none = F.array().cast("array<struct<tag: string, value: string>>")
     parts = F.concat(
-        F.when(F.col("err").isNotNull(), F.array(one("error", encode_set(*whole, "err")))).otherwise(none),
-        F.when(launch, F.array(one("start", encode_set(*whole)))).otherwise(none),
-        many("display", "displays", lambda item: extended(item, shows, F.col("ts").alias("ts"))),
-        many("action", "actions", lambda item: extended(item, acts, item["ts"].alias("ts"))),
-        F.when(~launch, F.array(one("page", encode_set("common", "page", "ts")))).otherwise(none),
+        F.when(record["err"].isNotNull(), F.array(one("error", record))).otherwise(none),
+        F.when(launch, F.array(one("start", _without(record, "err")))).otherwise(none),
+        many("display", "displays", ts=record["ts"]),
+        many("action", "actions"),
+        F.when(~launch, F.array(one("page", _without(record, "err", "displays", "actions")))).otherwise(none),
     )
-    return records.select(F.explode(parts).alias("_part")).select("_part.tag", "_part.value")
+    # never empty; the outer form, because the plain one is tested for emptiness first, which makes the parts twice
+    return whole.select(F.explode_outer(parts).alias("_part")).select("_part.tag", "_part.value")
 
 
 def split_log(records: DataFrame, common_as_string: bool = False) -> dict[str, DataFrame]:

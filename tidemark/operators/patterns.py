@@ -35,8 +35,8 @@ def followed_by_within(
     follows = F.coalesce(F.expr(following), F.lit(False))
     peeked = F.when(at - slot * width < limit, F.array(slot, slot - 1)).otherwise(F.array(slot))
     order = [name for name in tie if name != time]
-    # as in the stream, events without a key belong to nobody
-    rows = events.filter(F.col(key).isNotNull()).select(
+    # as in the stream, events without a key or a time belong to nobody
+    rows = events.filter(F.col(key).isNotNull() & F.col(time).isNotNull()).select(
         F.col(key).alias("_key"),
         at.alias("_at"),
         *[F.col(name).alias(f"_tie{n}") for n, name in enumerate(order)],

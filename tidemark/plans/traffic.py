@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import schemas as s
 from tidemark.functions import times
-from tidemark.functions.records import bad, decode, good
+from tidemark.functions.records import BAD, bad, decode, good
 from tidemark.functions.texts import tokenize
 from tidemark.operators import firsts, logsplit, patterns, windows as w
 
@@ -20,12 +20,18 @@ JUMP_LIMIT = "10 seconds"
 
 
 def parsed_log(lines: DataFrame) -> DataFrame:
-    """Raw lines (``value``, ``seq``) to log records; ``_corrupt_record`` holds unreadable text."""
-    return decode(lines, s.LOG, keep=TIE)
+    """Raw lines (``value``, ``seq``) with the device, its mark and the time of their record.
+
+    ``_corrupt_record`` holds the text of lines that are no JSON objects or have no time.
+    """
+    records = decode(lines, s.LOG_KEYS, keep=[*TIE, "value"])
+    ts = F.col("ts").try_cast("decimal(38, 6)").try_cast("bigint")
+    # the repair orders a device's records by time
+    return records.withColumn("ts", ts).withColumn(BAD, F.when(F.col("ts").isNull(), F.coalesce(BAD, "value")).otherwise(F.col(BAD)))
 
 
 def dirty_log(lines: DataFrame) -> DataFrame:
-    """Lines that are not JSON objects."""
+    """Lines that are not JSON objects or have no time."""
     return bad(parsed_log(lines))
 
 

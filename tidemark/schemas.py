@@ -35,20 +35,8 @@ def record(names: str, **nested: DataType) -> StructType:
 # --- raw log -----------------------------------------------------------------
 COMMON = record("ar ba ch is_new md mid os uid vc")
 PAGE = record("during_time:long item item_type last_page_id page_id source_type")
-START = record("entry loading_time:long open_ad_id:long open_ad_ms:long open_ad_skip_ms:long")
-ERR = record("error_code:long msg")
-DISPLAY = record("display_type item item_type order:long pos_id:long")
-ACTION = record("action_id item item_type ts:long")
-
-LOG = record(
-    "ts:long",
-    common=COMMON,
-    start=START,
-    page=PAGE,
-    displays=ArrayType(DISPLAY),
-    actions=ArrayType(ACTION),
-    err=ERR,
-)
+#: What the log split looks at; records go on whole.
+LOG_KEYS = record("ts", common=record("is_new mid"))
 PAGE_LOG = record("ts:long", common=COMMON, page=PAGE)
 
 # --- change records ----------------------------------------------------------

@@ -19,6 +19,8 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot key even where two joins in a row share one shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # of a JSON name that is given twice the last value counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }

@@ -9,6 +9,7 @@ it wrote before (folders) or is delivered again (Kafka, at least once).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -52,7 +53,10 @@ def latest_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFr
 def write_upsert_topic(
     rows: DataFrame, topic: Topic, keys: list[str], order: list[str], checkpoint: str | None = None, **trigger
 ) -> StreamingQuery | None:
-    """Write rows under their key; within a batch only the last row of a key is written."""
+    """Write rows under their key; within a batch only the last row of a key is written.
+
+    In folders a bounded write comes after all that is there.
+    """
 
     def keyed(batch: DataFrame) -> DataFrame:
         last = latest_per_key(batch, keys, order)
@@ -63,13 +67,24 @@ def write_upsert_topic(
         if topic.on_kafka:
             put_batch(rows, topic, number)
         else:
-            rows.write.mode("overwrite").parquet(f"{topic.path}/{BATCH}={number or 0}")
+            place = _next_number(rows.sparkSession, topic) if number is None else number
+            rows.write.mode("overwrite").parquet(f"{topic.path}/{BATCH}={place}")
 
     if not rows.isStreaming:
         return put(rows, None)
     return start_batches(rows, put, topic.name, checkpoint, **trigger)
 
 
+def _next_number(spark: SparkSession, topic: Topic) -> int:
+    try:
+        last = spark.read.parquet(topic.path).agg(F.max(BATCH)).first()[0]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    return 0 if last is None else int(last) + 1
+
+
 def read_upsert_topic(spark: SparkSession, topic: Topic, schema: StructType) -> DataFrame:
     """The current row of each key of an upsert topic."""
     if topic.on_kafka:

@@ -93,18 +93,19 @@ def mark_unique_users(rows: DataFrame, user: str, time: str, tie: list[str], onl
 
 
 def repair_is_new(records: DataFrame, tie: list[str]) -> DataFrame:
-    """Records without a device pass by; the state is kept per device."""
+    """Records without a device or a time pass by; the state is kept per device."""
     device = F.col("common.mid")
+    judgeable = device.isNotNull() & F.col("ts").isNotNull()
     claims = F.coalesce(F.col("common.is_new") == "1", F.lit(False))
     at = times.from_millis("ts")
-    known = records.filter(device.isNotNull())
+    known = records.filter(judgeable)
     before = F.date_format(F.date_sub(F.to_date(at), 1), "yyyy-MM-dd")
     day = F.date_format(at, "yyyy-MM-dd")
     packed = _packed(known, device, ["ts", *tie], _day=day, _before=before, _claims=claims)
     judged = _unpacked(_run(packed, p.RepairIsNew(), _result(_keep=BooleanType()), "None"), known)
     flag = F.when(claims & ~F.col("_keep"), "0").otherwise(F.col("common.is_new"))
     repaired = judged.withColumn("common", F.col("common").withField("is_new", flag)).select(*records.columns)
-    return repaired.unionByName(records.filter(device.isNull()))
+    return repaired.unionByName(records.filter(~judgeable))
 
 
 def first_wins(rows: DataFrame, keys: list[str], order: list[str], ttl: str) -> DataFrame:
@@ -121,7 +122,7 @@ def followed_by_within(
     events: DataFrame, key: str, time: str, tie: list[str], start: str, following: str, within: str
 ) -> DataFrame:
     """``time`` must carry a watermark; a key's last start event comes out once it has timed out."""
-    rows = events.filter(F.col(key).isNotNull())
+    rows = events.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
     packed = rows.select(
         time,
         F.col(key).alias("_key"),
