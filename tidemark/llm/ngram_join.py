@@ -16,9 +16,10 @@ most and the longer side indexes the next smaller ``g`` as well.
 
 Candidates of a key are not paired with each other.  First every class of a key
 is verified against a few leaders of the key; what links is one component.
-Only classes of a key that are still in different components are then paired
-and verified, so no link between components is lost and a large group of near
-copies costs a few comparisons per class.
+Only classes of a key that are still in different components are then paired,
+block by block where their signatures lie together, and verified, so no link
+between components is lost and a large group of near copies costs a few
+comparisons per class.
 """
 
 from __future__ import annotations
@@ -49,6 +50,12 @@ HELD = 1 << 22
 PART_ENTRIES = 2_000_000
 #: Leaders that a key's classes are first compared with.
 LEADERS = 3
+#: Classes of a key that are paired with each other, or with another block, in one piece.
+BLOCK = 512
+#: Bytes of classes to be paired that one task reads on average.
+TILE_BYTES = 8 << 20
+#: Bytes of signatures that are compared at a time.
+PAIR_BYTES = 1 << 24
 #: Bits of the filter for the sets that are needed, at most.
 FILTER_BITS = 1 << 26
 
@@ -366,17 +373,85 @@ def leader_pairs(members: DataFrame) -> DataFrame:
     return pairs.selectExpr("least(class, leader) as a", "greatest(class, leader) as b").distinct()
 
 
-def rest_pairs(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Classes that share a key and are in different components."""
+def folded(bits: list[bytes], width: int) -> np.ndarray:
+    """Signatures of at least ``width`` bytes, a multiple of 8, as rows of that width; shorter ones stay empty."""
+    out = np.zeros((len(bits), width), np.uint8)
+    for row, value in enumerate(bits):
+        if len(value) >= width:
+            out[row] = np.bitwise_or.reduce(np.frombuffer(value, np.uint8).reshape(-1, width), axis=0)
+    return out.view(np.uint64)
+
+
+def tile_pairs(n: np.ndarray, root: np.ndarray, side: np.ndarray, bits: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a tile that may link: of different components and, if the tile has two sides, of both."""
+    wanted = np.triu(root[:, None] != root, 1)
+    if side[0] != side[-1]:
+        wanted &= side[:, None] != side
+    wanted &= 100 * np.minimum(n[:, None], n) >= SIMILAR * np.maximum(n[:, None], n)
+    one, other = np.nonzero(wanted)
+    kept = np.zeros(len(one), bool)
+    length = np.array([len(value) for value in bits])
+    shorter = np.minimum(length[one], length[other])
+    for width in np.unique(shorter).tolist():
+        rows = folded(bits, width)
+        at = np.flatnonzero(shorter == width)
+        step = max(1, PAIR_BYTES // width)
+        for first in range(0, len(at), step):
+            here = at[first : first + step]
+            a, b = one[here], other[here]
+            x, y = rows[a], rows[b]
+            both = np.minimum(
+                n[a] - np.bitwise_count(x & ~y).sum(1, dtype=np.int64), n[b] - np.bitwise_count(y & ~x).sum(1, dtype=np.int64)
+            )
+            kept[here] = 100 * both >= SIMILAR * (n[a] + n[b] - both)
+    return one[kept], other[kept]
+
+
+def tiles_paired(table: pa.Table) -> pa.Table:
+    """The possible pairs (a, b) of all tiles of a part, each once."""
+    names = ("key", "low", "high", "side", "class", "root", "n")
+    key, low, high, side, number, root, n = (table[name].to_numpy().astype(np.int64) for name in names)
+    order = np.lexsort((side, high, low, key))
+    key, low, high, side, number, root, n = (x[order] for x in (key, low, high, side, number, root, n))
+    bits = table["bits"].take(pa.array(order)).to_pylist()
+    new = (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+    edges = [0, *(np.flatnonzero(new) + 1).tolist(), len(key)]
+    found = []
+    for first, last in zip(edges, edges[1:]):
+        if low[first] != high[first] and side[first] == side[last - 1]:
+            continue  # nothing on the other side
+        here = slice(first, last)
+        one, other = tile_pairs(n[here], root[here], side[here], bits[here])
+        if len(one):
+            both = np.stack([number[here][one], number[here][other]])
+            found.append(np.sort(both, axis=0))
+    pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
+    return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
+
+
+def rest_pairs(members: DataFrame, roots: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Classes that share a key, are in different components and whose sizes and signatures allow the similarity.
+
+    A key's classes are dealt into blocks; every two blocks are a tile, and so
+    is every block with itself.  Classes travel with their signature, once for
+    each tile, and only pairs that pass leave the task that holds a tile.
+    """
     known = roots.selectExpr("node as class", "root")
     placed = members.join(known, "class", "left").selectExpr("key", "class", "coalesce(root, class) as root")
-    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
-    placed = written(placed.join(mixed.select("key"), "key"), "mixed")
-    inside = placed.select("key", "root").distinct()
-    across = inside.selectExpr("key", "root as r").join(inside.selectExpr("key", "root as q"), "key").where("r < q")
-    one, other = placed.selectExpr("key", "root as r", "class as a"), placed.selectExpr("key", "root as q", "class as b")
-    pairs = across.join(one, ["key", "r"]).join(other, ["key", "q"])
-    return pairs.selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct()
+    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m"))
+    mixed = mixed.where("low != high").selectExpr("key", f"int(ceil(m / {BLOCK})) as blocks")
+    signed = sizes.select("class", "n", "bits")
+    placed = written(placed.join(mixed, "key").join(signed.select("class", "n"), "class"), "mixed")
+    # a signature has n bytes at most
+    volume = placed.agg(F.sum(F.col("blocks") * (F.col("n") + 64))).first()[0] or 0
+    parts = max(1, -(-int(volume) // TILE_BYTES))
+    side = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
+    tiles = placed.join(signed.select("class", "bits"), "class").withColumn("side", side)
+    tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tiles = tiles.withColumns({"low": F.least("side", "other"), "high": F.greatest("side", "other")})
+    tiles = tiles.withColumn("part", F.pmod(F.xxhash64("key", "low", "high"), F.lit(parts)).cast("int"))
+    tiles = tiles.select("part", "key", "low", "high", "side", "class", "root", "n", "bits")
+    return tiles.groupBy("part").applyInArrow(tiles_paired, "a long, b long").distinct()
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -412,8 +487,8 @@ def class_links(texts: DataFrame, stage: DataFrame, sizes: DataFrame) -> DataFra
     members = written(entries.groupBy("part").applyInArrow(shared_keys, "key long, class long"), "members")
     first = written(possible(leader_pairs(members), sizes), "first")
     links = written(verified(first, token_sets(texts, first)), "links")
-    rest = rest_pairs(members, components(links)).join(first, ["a", "b"], "left_anti")
-    rest = written(possible(rest, sizes), "rest")
+    rest = rest_pairs(members, components(links), sizes).join(first, ["a", "b"], "left_anti")
+    rest = written(rest, "rest")
     return links.union(written(verified(rest, token_sets(texts, rest)), "links"))
 
 
