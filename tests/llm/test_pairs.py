@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from tidemark.llm import lines, ngram_join
@@ -57,6 +58,29 @@ def test_frequent_tokens_keep_every_link(documents, monkeypatch):
     assert sorted(map(tuple, got), key=str) == by_brute_force(rows)
 
 
+@pytest.mark.parametrize("block", [1, 3])
+def test_blocks_of_a_key_lose_no_link(documents, monkeypatch, block):
+    rows = list(enumerate(near_copies(80, 40)))
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "TILE_BYTES", 2_000)
+    got = ngram_join.join(documents(rows)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == by_brute_force(rows)
+
+
+def test_tiles_pair_what_may_link():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 63, 400).astype(np.uint64)
+    sets = [base[np.sort(rng.choice(400, size, replace=False))] for size in rng.integers(200, 400, 60)] + [base[:3], base[:2]]
+    n, bits = np.array([len(x) for x in sets]), [ngram_join.signature(x) for x in sets]
+    root, side = np.arange(len(sets)) // 2, np.repeat([0, 1], len(sets) // 2)
+    for sides in (side, np.zeros(len(sets), int)):
+        got = set(zip(*(x.tolist() for x in ngram_join.tile_pairs(n, root, sides, bits))))
+        every = [(a, b) for b in range(len(sets)) for a in range(b) if root[a] != root[b] and (sides[a] != sides[b] or not sides.any())]
+        shared = {(a, b): ngram_join.most_shared(bits[a], n[a], bits[b], n[b]) for a, b in every}
+        assert got == {(a, b) for (a, b), s in shared.items() if 100 * s >= 75 * (n[a] + n[b] - s) and 100 * min(n[a], n[b]) >= 75 * max(n[a], n[b])}
+        assert got
+
+
 def test_one_of_each_group_stays(documents):
     docs = documents(ODD)
     kept = ngram_join.representatives(docs, ngram_join.join(docs)).select("doc_id", "text").collect()
