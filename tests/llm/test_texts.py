@@ -57,6 +57,27 @@ def test_licences(documents):
     assert licenses.scan(documents([])).count() == 0
 
 
+def test_licences_beside_each_other(documents):
+    """Rare words of one notice, or of the prose around it, hide no other notice."""
+    notices = [t.text for t in licenses.TEMPLATES]
+    labels = {t.label for t in licenses.TEMPLATES} | {label for p, label in licenses.BASE_PHRASES if any(p in n for n in notices)}
+    apart = " filler" * 40
+    prose = "released forms person domain binary universal source charge software mozilla affero dedicated " * 3
+    rows = [
+        (1, (apart + "\n").join(notices)),
+        (2, prose + "word " * 20_000 + "MIT License\n" + "word " * 50 + prose),
+        (3, notices[1] + apart + " Licensed under the Apache License, Version 2.0"),
+        (4, "Licensed under the GNU General Public License, in its version 3"),
+        (5, "mit" + apart + " license version 2 0 apache"),
+    ]
+    got = {r.doc_id: r for r in licenses.scan(documents(rows)).collect()}
+    assert set(got[1].labels) == labels and got[1].score == 1
+    assert got[2].labels == ["mit"]
+    assert got[3].labels == ["apache-2.0", "bsd"]
+    assert got[4].labels == ["gpl", "gpl-3.0"]
+    assert got[5].labels == [] and got[5].score == 0
+
+
 def test_mixing(documents):
     rows = [(k, "w " * (1 + k % 7), None, f"s{k % 4}" if k % 3 else "s0") for k in range(200)]
     rows += [(300, None, None, "s0"), (301, "a b", None, None), (7, "a b c", None, "s1"), (7, "a b c", None, "s1")]

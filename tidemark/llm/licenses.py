@@ -1,13 +1,15 @@
 """Licence scans: a positional index of rare words over licence templates.
 
 A template is a short licence notice with mandatory key phrases.  The index
-holds each word's places in each template and its document frequency in the
-corpus.  For a file, its highest-IDF licence words are looked up; each pair of
-a place in the file and a place in a template votes for where the template
-would begin, and the beginnings on which postings agree are kept.  A template
-is found where its key phrases stand whole, at most ``SLACK`` words around
-their place.  Everything is an expression of the file's own row, but for the
-document frequencies: one small sum over the whole corpus.
+holds the places of each template's ``RAREST`` highest-IDF words, taken from
+the key phrase that has the rarest word of all: where the template is found,
+this phrase stands whole, so both words stand at their places.  In a file that
+holds all words of a template's phrases, each place of such a word votes for
+where the template would begin, and the beginnings on which all its postings
+agree are kept, so none is lost.  A template is found where its key phrases
+stand whole, at most ``SLACK`` words around their place.  Everything is an
+expression of the file's own row, but for the document frequencies: one small
+sum over the whole corpus.
 """
 
 from __future__ import annotations
@@ -21,8 +23,8 @@ from tidemark.llm.rules import bound
 
 #: Words of a licence text: letters and digits of ASCII, and all else beyond ASCII.
 LICENSE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Rarest licence words that are looked up for each file.
-RAREST = 6
+#: Rarest words of each template that are looked up in a file.
+RAREST = 2
 #: Words that an edited notice may be longer or shorter before a key phrase.
 SLACK = 3
 
@@ -52,7 +54,8 @@ TEMPLATES = (
 #: The phrases that count as places, with their labels.
 BASE_PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
-LEXICON = sorted({word for t in TEMPLATES for word in t.text.split()} | {w for p, _ in BASE_PHRASES for w in p.split()})
+#: The words of all phrases: what is looked up, and what must be there for it.
+LEXICON = sorted({w for p in [*(p for t in TEMPLATES for p in t.phrases), *(p for p, _ in BASE_PHRASES)] for w in p.split()})
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -66,23 +69,20 @@ def strings(values) -> Column:
     return F.array(*[F.lit(value) for value in values])
 
 
-def postings() -> Column:
-    """The index: each word's places in each template."""
-    return F.array(
-        *[
-            F.struct(F.lit(word).alias("word"), F.lit(t).alias("template"), F.lit(at).alias("at"))
-            for t, template in enumerate(TEMPLATES)
-            for at, word in enumerate(template.text.split())
-        ]
-    )
+def place(template: Template, phrase: str) -> int:
+    """Words of the template before the phrase."""
+    return f" {template.text} ".split(f" {phrase} ")[0].strip().count(" ") + (not template.text.startswith(phrase))
 
 
-def templates() -> Column:
-    """For each template its label, its words, and its key phrases with their places."""
+def looked_up(template: Template, order: list[str]) -> list[tuple[str, int]]:
+    """The rarest words, with their places in the template, of the phrase that has the rarest word."""
+    phrase = min(template.phrases, key=lambda p: min(map(order.index, p.split())))
+    rarest = sorted(set(phrase.split()), key=order.index)[:RAREST]
+    return [(word, place(template, phrase) + phrase.split().index(word)) for word in rarest]
 
-    def place(template: Template, phrase: str) -> int:
-        return f" {template.text} ".split(f" {phrase} ")[0].strip().count(" ") + (not template.text.startswith(phrase))
 
+def templates(order: list[str]) -> Column:
+    """For each template its label, words, key phrases with their places, the phrases' words and the postings."""
     return F.array(
         *[
             F.struct(
@@ -91,6 +91,10 @@ def templates() -> Column:
                 F.array(
                     *[F.struct(strings(p.split()).alias("words"), F.lit(place(t, p)).alias("at")) for p in t.phrases]
                 ).alias("phrases"),
+                strings(sorted({w for p in t.phrases for w in p.split()})).alias("needs"),
+                F.array(
+                    *[F.struct(F.lit(w).alias("word"), F.lit(at).alias("at")) for w, at in looked_up(t, order)]
+                ).alias("postings"),
             )
             for t in TEMPLATES
         ]
@@ -125,8 +129,7 @@ def scan(docs: DataFrame) -> DataFrame:
     the same names are replaced.
     """
     order = rarity_order(docs)
-    words, present, index, known = F.col("_words"), F.col("_present"), postings(), templates()
-    keys = sorted({w for t in TEMPLATES for p in t.phrases for w in p.split()[:1]} | {p.split()[0] for p, _ in BASE_PHRASES})
+    words, present, known = F.col("_words"), F.col("_present"), templates(order)
     none = F.array().cast("array<struct<label:string,score:double>>")
 
     def starts(phrase: str) -> Column:
@@ -135,65 +138,52 @@ def scan(docs: DataFrame) -> DataFrame:
         found = F.filter(at, lambda at: stands(words, strings(phrase.split()), at))
         return F.when(F.array_contains(present, first), found).otherwise(F.array().cast("array<int>"))
 
-    def beginnings(hits: Column) -> Column:
-        """Where templates would begin, by every hit and every posting of its word."""
-        each = F.transform(
-            hits,
-            lambda hit: F.transform(
-                F.filter(index, lambda p: p["word"] == hit["word"]),
-                lambda p: F.struct(p["template"].alias("template"), (hit["at"] - p["at"]).alias("begin")),
-            ),
-        )
-        return F.flatten(each)
-
-    def agreeing(all_begins: Column) -> Column:
-        """Beginnings that two postings agree on at least (one, if the template has no more among the hits)."""
-        return F.filter(
-            F.array_distinct(all_begins),
-            lambda one: F.size(
-                F.filter(
-                    all_begins,
-                    lambda other: (other["template"] == one["template"])
-                    & (F.abs(other["begin"] - one["begin"]) <= SLACK),
-                )
-            )
-            >= 2,
+    def beginnings(template: Column) -> Column:
+        """Where the template would begin, at most ``SLACK`` words off, by what all its postings agree on."""
+        votes = F.transform(
+            template["postings"],
+            lambda p: F.transform(F.filter(F.col("_hits"), lambda hit: hit["word"] == p["word"]), lambda hit: hit["at"] - p["at"]),
         )
+        agreed = F.array_intersect(*[F.get(votes, F.lit(k)) for k in range(RAREST)])
+        around = F.transform(agreed, lambda begin: F.sequence(begin - SLACK, begin + SLACK))
+        return F.array_distinct(F.flatten(around))
 
-    def verified(one: Column) -> Column:
-        template = F.get(known, one["template"])
+    def verified(template: Column, begin: Column) -> Column:
         return F.forall(
             template["phrases"],
             lambda phrase: F.exists(
                 F.sequence(F.lit(-SLACK), F.lit(SLACK)),
-                lambda shift: stands(words, phrase["words"], one["begin"] + phrase["at"] + shift),
+                lambda shift: stands(words, phrase["words"], begin + phrase["at"] + shift),
             ),
         )
 
-    def scored(one: Column) -> Column:
-        template = F.get(known, one["template"])
+    def scored(template: Column, begin: Column) -> Column:
         same = F.filter(
             template["words"],
             lambda word, at: F.exists(
                 F.sequence(F.lit(-SLACK), F.lit(SLACK)),
-                lambda shift: F.coalesce(F.get(words, one["begin"] + at + shift) == word, F.lit(False)),
+                lambda shift: F.coalesce(F.get(words, begin + at + shift) == word, F.lit(False)),
             ),
         )
         score = F.size(same).cast("double") / F.size(template["words"])
         return F.struct(template["label"].alias("label"), score.alias("score"))
 
-    rarest = F.slice(F.array_intersect(strings(order), present), 1, RAREST)
+    def found(template: Column) -> Column:
+        begins = F.filter(beginnings(template), lambda begin: verified(template, begin))
+        return F.transform(begins, lambda begin: scored(template, begin))
+
+    likely = F.filter(known, lambda t: F.size(F.array_except(t["needs"], present)) == 0)
+    wanted = F.flatten(F.transform("_likely", lambda t: F.transform(t["postings"], lambda p: p["word"])))
     spots = F.transform(words, lambda word, at: F.struct(word.alias("word"), at.alias("at")))
-    hits = F.filter(spots, lambda spot: F.array_contains(F.col("_rarest"), spot["word"]))
-    likely = F.arrays_overlap(present, strings(keys))
-    matches = bound(beginnings(F.col("_hits")), lambda b: F.transform(F.filter(agreeing(b), verified), scored))
+    hits = bound(wanted, lambda wanted: F.filter(spots, lambda spot: F.array_contains(wanted, spot["word"])))
+    matches = F.flatten(F.transform("_likely", found))
     base = F.array_compact(
         F.array(*[F.when(F.size(F.col(f"_base{k}")) > 0, F.lit(label)) for k, (_, label) in enumerate(BASE_PHRASES)])
     )
     wide = docs.withColumn("_words", license_words(F.col("text"))).withColumn(
         "_present", F.array_intersect(words, strings(LEXICON))
     )
-    wide = wide.withColumn("_rarest", rarest).withColumn("_hits", F.when(likely, hits))
+    wide = wide.withColumn("_likely", likely).withColumn("_hits", F.when(F.size("_likely") > 0, hits))
     for k, (phrase, _) in enumerate(BASE_PHRASES):
         wide = wide.withColumn(f"_base{k}", starts(phrase))
     wide = wide.withColumn("_matches", F.when(F.size("_hits") > 0, matches).otherwise(none))
@@ -214,4 +204,4 @@ def scan(docs: DataFrame) -> DataFrame:
             ),
         )
     )
-    return wide.drop("_words", "_present", "_rarest", "_hits", "_matches", *[f"_base{k}" for k in range(len(BASE_PHRASES))])
+    return wide.drop("_words", "_present", "_likely", "_hits", "_matches", *[f"_base{k}" for k in range(len(BASE_PHRASES))])
