@@ -78,6 +78,26 @@ def test_licences_beside_each_other(documents):
     assert got[5].labels == [] and got[5].score == 0
 
 
+def test_licences_by_standard_headers(documents):
+    """Name and version stand apart in the usual headers; the lesser and Affero licences have no version's label."""
+    header = (
+        "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU {} as published"
+        " by\nthe Free Software Foundation{} version {}.\n"
+    )
+    rows = [
+        (1, header.format("General Public License", ", either", "3 of the License, or\n(at your option) any later")),
+        (2, header.format("General Public License", "; either", "2 of the License, or (at your option) any later")),
+        (3, header.format("General Public License", ";", "2")),
+        (4, header.format("Lesser General Public License", ", either", "3 of the License, or (at your option) any later")),
+        (5, header.format("Affero General Public License", ", either", "3 of the License, or (at your option) any later")),
+        (6, header.format("General Public License", "; either", "4")),
+    ]
+    got = {r.doc_id: r for r in licenses.scan(documents(rows)).collect()}
+    found = {k: [label for label in row.labels if label != "gpl"] for k, row in got.items()}
+    assert found == {1: ["gpl-3.0"], 2: ["gpl-2.0"], 3: ["gpl-2.0"], 4: ["lgpl"], 5: ["agpl"], 6: []}
+    assert [got[k].score for k in (1, 2, 4, 5)] == [1] * 4
+
+
 def test_mixing(documents):
     rows = [(k, "w " * (1 + k % 7), None, f"s{k % 4}" if k % 3 else "s0") for k in range(200)]
     rows += [(300, None, None, "s0"), (301, "a b", None, None), (7, "a b c", None, "s1"), (7, "a b c", None, "s1")]

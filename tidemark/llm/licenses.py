@@ -36,6 +36,8 @@ class Template:
     phrases: tuple[str, ...]
 
 
+#: Between the name and the version in the headers that the licences themselves ask for.
+PUBLISHED = "as published by the free software foundation either"
 #: Notices as they are commonly written, with the phrases that must stand in them.
 TEMPLATES = (
     Template("apache-2.0", "licensed under the apache license version 2 0", ("apache license", "version 2 0")),
@@ -45,8 +47,12 @@ TEMPLATES = (
     Template("cc0", "dedicated to the public domain under cc0 1 0 universal", ("cc0 1 0",)),
     Template("gpl-2.0", "licensed under the gnu general public license version 2", ("general public license", "version 2")),
     Template("gpl-3.0", "licensed under the gnu general public license version 3", ("general public license", "version 3")),
+    Template("gpl-2.0", f"under the terms of the gnu general public license {PUBLISHED} version 2 of the license", ("gnu general public license", "version 2")),
+    Template("gpl-3.0", f"under the terms of the gnu general public license {PUBLISHED} version 3 of the license", ("gnu general public license", "version 3")),
     Template("lgpl", "licensed under the gnu lesser general public license", ("lesser general public license",)),
+    Template("lgpl", f"under the terms of the gnu lesser general public license {PUBLISHED} version", ("lesser general public license",)),
     Template("agpl", "licensed under the gnu affero general public license", ("affero general public license",)),
+    Template("agpl", f"under the terms of the gnu affero general public license {PUBLISHED} version", ("affero general public license",)),
     Template("mit", "released under the mit license", ("mit license",)),
     Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", ("permission is hereby granted free of charge",)),
     Template("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
