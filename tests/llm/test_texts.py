@@ -244,6 +244,19 @@ def test_extraction(spark):
     assert got[6] == "main text of the page that goes on"
 
 
+def test_extraction_with_omitted_tags(spark):
+    """The end tag of a head, and those of body and html, may be left out."""
+    article = "<article><h1>A</h1><p>main text of the page that goes on</p></article>"
+    head = "<head><meta charset=utf-8><title>T</title><style>p {}</style><script>x</script><noscript><img src=x></noscript>"
+    heads = (f"{head}</head><body>", f"{head}<body>", head, f"{head}</head>", f"<head>{head}<body>", "<title>T</title>", "<head><body>")
+    pages = [f"<!doctype html><html>{h}{article}{end}" for h in heads for end in ("</body></html>", "</body>", "")]
+    rows = [(k, "u", page) for k, page in enumerate(pages)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: "A\nmain text of the page that goes on" for k in range(len(pages))}
+    loose = html.parse(f"{head}words <b>of</b> the body<img src=x></head>").blocks
+    assert [" ".join("".join(runs).split()) for _, runs in loose] == ["words of the body"]
+
+
 def test_marginals_are_exact():
     model = html.train(html.labelled_pages())
     nodes = html.parse('<div class="content"><p>some text here</p><div class="ad"><p>x</p></div></div>').nodes

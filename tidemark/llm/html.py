@@ -26,6 +26,8 @@ MARK = "data-main"
 #: Fixed values of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = set("script style head title template noscript iframe object svg math canvas select textarea button datalist".split())
+#: What may stand in a head; all else ends it, as its end tag may be left out.
+HEAD = set("head html base basefont bgsound link meta title noscript noframes script style template".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split()
@@ -64,6 +66,12 @@ class Dom(HTMLParser):
         self.unseen = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag == "body":
+            self._end({"head"}, {"template"})
+        elif tag not in HEAD:
+            self._end_head()
+        elif tag == "head" and any(self.nodes[at].tag == "head" for at in self.open):
+            return
         if tag in VOID:
             if tag == "br":
                 self.handle_data(" ")
@@ -108,12 +116,20 @@ class Dom(HTMLParser):
             if tag in scope:
                 return
 
+    def _end_head(self) -> None:
+        """Close a head that stands open, unless something in it is open too."""
+        if self.nodes[self.open[-1]].tag == "head":
+            self._close()
+            self.fresh = True
+
     def _close(self) -> str:
         tag = self.nodes[self.open.pop()].tag
         self.unseen -= tag in UNSEEN
         return tag
 
     def handle_data(self, data: str) -> None:
+        if data.strip():
+            self._end_head()
         if self.unseen:
             return
         owner = next((at for at in reversed(self.open) if self.nodes[at].tag not in INLINE), 0)
