@@ -257,6 +257,20 @@ def test_extraction_with_omitted_tags(spark):
     assert [" ".join("".join(runs).split()) for _, runs in loose] == ["words of the body"]
 
 
+def test_extraction_of_formulas(spark):
+    """Formulas and the text that stands for an object belong to the text around them; a formula's source is not shown."""
+    formula = (
+        "<math><semantics><mrow><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></mrow>"
+        '<annotation encoding="application/x-tex">E=mc^2</annotation></semantics></math>'
+    )
+    table = "<math><mtable><mtr><mtd><mn>1</mn></mtd><mtd><mn>0</mn></mtd></mtr><mtr><mtd><mn>0</mn></mtd></mtr></mtable></math>"
+    page = f'<article><p>We know that {formula} holds, see <object data="x.svg">a drawing of it</object> and {table} here.</p></article>'
+    got = html.extract(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")).first().text
+    assert got == "We know that E=mc2 holds, see a drawing of it and 1 0 0 here."
+    cut = html.parse("<p>a <math><semantics><mi>x</mi><annotation>y<p>b <b>c</b></p>").blocks
+    assert [" ".join("".join(runs).split()) for _, runs in cut] == ["a x", "b c"]
+
+
 def test_marginals_are_exact():
     model = html.train(html.labelled_pages())
     nodes = html.parse('<div class="content"><p>some text here</p><div class="ad"><p>x</p></div></div>').nodes

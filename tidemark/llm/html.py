@@ -25,13 +25,22 @@ from tidemark.llm.labelled_pages import pages as labelled_pages
 MARK = "data-main"
 #: Fixed values of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = set("script style head title template noscript iframe object svg math canvas select textarea button datalist".split())
+UNSEEN = set("script style head title template noscript iframe svg canvas select textarea button datalist".split())
 #: What may stand in a head; all else ends it, as its end tag may be left out.
 HEAD = set("head html base basefont bgsound link meta title noscript noframes script style template".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split()
 )
+#: Formulas and what stands for an object are text of the element around them, and no nodes of their own.
+FORMULA = set(
+    "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace "
+    "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics object".split()
+)
+#: Cells of formulas, apart from what is before them.
+APART = {"mtr", "mtd"}
+#: A formula's source, which is not shown beside it.
+SOURCE = {"annotation", "annotation-xml"}
 #: An element of these tags ends an open element of the given ones.
 ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -39,6 +48,8 @@ ENDS = {
 }
 #: Open elements of these tags are not ended from inside.
 SCOPES = set("table ul ol dl select article section aside nav main div body html td th li".split())
+#: Elements that end a formula left open.
+BLOCKS = SCOPES | set("p h1 h2 h3 h4 h5 h6 pre blockquote header footer figure form dd dt tr hr".split())
 
 
 @dataclass
@@ -64,6 +75,7 @@ class Dom(HTMLParser):
         self.blocks: list[tuple[int, list[str]]] = []
         self.fresh = True
         self.unseen = 0
+        self.source = False
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "body":
@@ -72,6 +84,14 @@ class Dom(HTMLParser):
             self._end_head()
         elif tag == "head" and any(self.nodes[at].tag == "head" for at in self.open):
             return
+        if tag in SOURCE or tag in FORMULA:
+            self.source |= tag in SOURCE
+            if tag in APART:
+                self.handle_data(" ")
+            return
+        if self.source and tag not in BLOCKS:
+            return
+        self.source = False
         if tag in VOID:
             if tag == "br":
                 self.handle_data(" ")
@@ -99,6 +119,9 @@ class Dom(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
+        if tag in SOURCE or tag in FORMULA:
+            self.source &= tag not in SOURCE | {"semantics", "math"}
+            return
         if tag not in INLINE:
             self.fresh = True
         if any(self.nodes[at].tag == tag for at in self.open[1:]):
@@ -130,7 +153,7 @@ class Dom(HTMLParser):
     def handle_data(self, data: str) -> None:
         if data.strip():
             self._end_head()
-        if self.unseen:
+        if self.unseen or self.source:
             return
         owner = next((at for at in reversed(self.open) if self.nodes[at].tag not in INLINE), 0)
         if self.fresh or not self.blocks or self.blocks[-1][0] != owner:
