@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import html, language, licenses, mixing, packing, quality, queries, rules
 from tests.llm.conftest import ODD
@@ -130,6 +131,26 @@ def test_mixing(documents):
     assert mixing.mix(documents([])).count() == 0
 
 
+def test_mixing_of_many_copies(documents):
+    """Copies of one document are neither gathered in one row nor written out in one task, at any cut."""
+    n = 2 * mixing.BLOCK + 5
+    rows = [(7, "a b c", None, "s0")] * n + [(k, f"w{k} x", None, f"s{k % 3}") for k in range(20, 60)]
+    docs = documents(rows)
+    mix = mixing.mix(docs)
+    mixed = mixing.mixed_documents(docs, mix)
+    assert "collect_list" not in mixed._jdf.queryExecution().toString()
+    got = Counter(mixed.groupBy("doc_id", "text").count().rdd.map(tuple).map(lambda r: ((r[0], r[1]), r[2])).collectAsMap())
+    want = Counter()
+    for row in mix.collect():
+        text = "a b c" if row.doc_id == 7 else f"w{row.doc_id} x"
+        want[row.doc_id, text] += row.taken // row.size
+        if row.taken % row.size:
+            want[row.doc_id, " ".join(text.split()[: row.taken % row.size])] += 1
+    assert got == +want
+    spread = mixed.where("doc_id = 7").groupBy(F.spark_partition_id()).count().collect()
+    assert len(spread) > 1 and max(row["count"] for row in spread) < sum(row["count"] for row in spread)
+
+
 def test_packing(documents):
     tokenizer = packing.WordIds(queries.vocabulary_path()).tokenizer
     rows = TEXTS + [(30, "a<|endoftext|>b. Été, x\x1cy H̱. 12.5 Σ. İ! 'll re. 漢字。")]

@@ -21,6 +21,8 @@ from tidemark.llm.text import WORD
 
 #: Documents that one range of keys holds on average.
 RANGE_ROWS = 4_000
+#: Copies of one document that are written out in one place.
+BLOCK = 4_096
 #: Bits of a document's random key.
 KEY_BITS = 60
 
@@ -115,19 +117,30 @@ def mixed_documents(docs: DataFrame, mixed: DataFrame) -> DataFrame:
 
     Columns are those of ``docs``; ``n_chars``, if there, is that of the cut
     text.  Of rows that agree in source, doc_id and text one stands for all.
-    Documents without words are in no mix.
+    Documents without words are in no mix.  Copies that are taken alike are
+    counted before they meet the document; what is above ``BLOCK`` copies is
+    dealt out block by block.
     """
-    takes = mixed.where("taken > 0").groupBy("source", "doc_id", "key", "size").agg(F.collect_list("taken").alias("_takes"))
+    takes = mixed.where("taken > 0").groupBy("source", "doc_id", "key", "size", "taken").agg(F.count("*").alias("copies"))
     keyed = docs.withColumn("_key", random_key()).dropDuplicates(["source", "doc_id", "_key"])
     on = (
         F.col("d.source").eqNullSafe(F.col("t.source"))
         & F.col("d.doc_id").eqNullSafe(F.col("t.doc_id"))
         & (F.col("d._key") == F.col("t.key"))
     )
-    joined = keyed.alias("d").join(takes.alias("t"), on).select("d.*", F.col("t.size").alias("_size"), "t._takes")
+
+    def met(takes: DataFrame) -> DataFrame:
+        columns = [F.col(f"t.{c}").alias(f"_{c}") for c in ("size", "taken", "copies")]
+        return keyed.alias("d").join(takes.alias("t"), on).select("d.*", *columns)
+
+    first = met(takes).withColumn("_block", F.lit(0).cast("long"))
+    further = met(takes.where(F.col("copies") > BLOCK)).withColumn("_block", F.explode(F.expr(f"sequence(1L, (_copies - 1) div {BLOCK})")))
+    dealt = further.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_key", "_block")
+    here = F.least(F.lit(BLOCK), F.col("_copies") - F.col("_block") * BLOCK)
+    joined = first.unionByName(dealt).withColumn("_copy", F.explode(F.sequence(F.lit(1), here.cast("int"))))
     epochs = F.expr(
-        "flatten(transform(_takes, t -> concat(array_repeat(_size, cast(t div _size as int)),"
-        " if(t % _size > 0, array(t % _size), cast(array() as array<bigint>)))))"
+        "concat(array_repeat(_size, cast(_taken div _size as int)),"
+        " if(_taken % _size > 0, array(_taken % _size), cast(array() as array<bigint>)))"
     )
     pieces = F.slice(F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), 1, F.col("_words").cast("int"))
     text = F.when(F.col("_words") == F.col("_size"), F.col("text")).otherwise(F.array_join(pieces, ""))
