@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemark.llm import chat
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 OP1 = rf"""
@@ -82,4 +84,24 @@ final AS (
 SELECT doc_id, n_lines, n_removed, length(text)::BIGINT AS n_chars, md5(text) AS text_md5 FROM final
 """
 
-ORACLES = {"op1_mixing": OP1, "op3_ngram_join": OP3, "op7_line_dedup": OP7}
+_BROKEN = rf"regexp_replace(%s, '([<\[])(\\*)({chat._rests(chat.CONTROL)})', '\1\\\2\3', 'g')"
+
+OP12 = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, unnest([0, 1]), unnest(['user', '{chat.REPLY}']), '</s>[INST] ok [/INST]'),
+formatted AS (
+  SELECT *, '{chat.START}' || {_BROKEN % "replace(replace(role, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n')"}
+    || chr(10) || {_BROKEN % "text"} || '{chat.END}' || chr(10) AS segment FROM turns),
+placed AS (
+  SELECT *, row_number() OVER w AS position, sum(len(segment)) OVER (w ROWS UNBOUNDED PRECEDING) AS ends_at,
+    count(*) OVER (PARTITION BY conv_id) AS n FROM formatted WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, segment))
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY position)) AS turns_sha256,
+  coalesce(sum(len(text)) FILTER (role = '{chat.REPLY}'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY position) FILTER (role = '{chat.REPLY}'), '')) AS loss_sha256,
+  coalesce(sum(ends_at) FILTER (role = '{chat.REPLY}' OR position = n), 0)::BIGINT AS formatted_chars
+FROM placed GROUP BY conv_id
+"""
+
+ORACLES = {"op1_mixing": OP1, "op3_ngram_join": OP3, "op7_line_dedup": OP7, "op12_chat_format": OP12}
