@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import pathlib
+from uuid import uuid4
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from tidemark.functions.records import good
 from tidemark.operators import windows as w
 from tidemark.plans import dim, traffic, user
 from tidemark.session import shared_dir
-from tidemark.sinks import dimensions as d, summaries, topics as out
+from tidemark.sinks import dimensions as d, loads, summaries, topics as out
 from tidemark.sources import sample, topics as src
 from tidemark.topics import Topic
 
@@ -159,16 +161,16 @@ def test_dimension_upserts_column_by_column(spark, folder):
     properties = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES dims.dim_a").collect()}
     assert properties["primary.key"] == "id" and properties["extend"] == "SALT_BUCKETS = 3"
     types = {f.name: f.dataType.typeName() for f in spark.table("dims.dim_a").schema}
-    assert types == {"id": "string", "x": "string", "y": "string", "_batch": "long"}
+    assert types == {"id": "string", "x": "string", "y": "string", "_place": "long", "_load": "string", "_batch": "long"}
     # later batches, one of them run twice
     for _ in range(2):
         later = dim.routed(change(spark, ("update", "20", {"id": "2", "x": "k"})), routes)
-        d.upsert_dim(later, [route], "dims", folder, 1)
+        d.upsert_dim(later, [route], "dims", folder, 1, load="later")
     assert sorted(map(tuple, d.read_dim(spark, route, "dims").collect())) == [("1", "new", "p"), ("2", "k", 'q"')]
-    d.compact_dim(spark, route, "dims", f"{folder}/aside")
-    # folded rows stand before all batches, so a batch that is repeated loses none of them
-    assert [r[0] for r in spark.table("dims.dim_a").select("_batch").distinct().collect()] == [d.FOLDED]
-    d.upsert_dim(later, [route], "dims", folder, 1)
+    d.compact_dim(spark, route, "dims", folder, f"{folder}/aside")
+    # the batch that may be repeated keeps its place, so a repetition replaces only itself
+    assert [(r._load, r["count"]) for r in spark.table("dims.dim_a").groupBy("_load").count().collect()] == [("folded", 2)]
+    d.upsert_dim(later, [route], "dims", folder, 1, load="later")
     assert sorted(map(tuple, d.read_dim(spark, route, "dims").collect())) == [("1", "new", "p"), ("2", "k", 'q"')]
     # two bounded loads, the second after the first
     dim.dim_sink(change(spark, ("insert", "30", {"id": "3", "x": "a"})), routes, "dims", folder)
@@ -178,6 +180,140 @@ def test_dimension_upserts_column_by_column(spark, folder):
     spark.sql("DROP DATABASE dims CASCADE")
 
 
+class DimRuns:
+    """Loads of one dimension table: bounded ones, and streams with one change a batch."""
+
+    def __init__(self, spark, folder, database):
+        self.spark, self.folder, self.database = spark, folder, database
+        self.routes = spark.sql(ROUTES)
+        self.route = d.routes_as_rows(self.routes)[0]
+
+    def load(self, key, value, ts="1", **named):
+        dim.dim_sink(change(self.spark, ("insert", ts, {"id": key, "x": value})), self.routes, self.database, f"{self.folder}/dims", **named)
+
+    def stream(self, name, *changes):
+        """Goes on with the stream of this name: one batch for each change."""
+        for key, value in changes:
+            row = change(self.spark, ("insert", "1", {"id": key, "x": value})).coalesce(1)
+            row.write.mode("append").parquet(f"{self.folder}/{name}")
+        rows = self.spark.readStream.schema(CHANGE).option("maxFilesPerTrigger", 1).parquet(f"{self.folder}/{name}")
+        drain(dim.dim_sink(rows, self.routes, self.database, f"{self.folder}/dims", checkpoint=f"{self.folder}/cp-{name}", **once()))
+
+    def again(self, name):
+        """The last batch of a stream is run again, as after a failure before its commit."""
+        last = max(int(f.name) for f in pathlib.Path(f"{self.folder}/cp-{name}/commits").iterdir() if f.name.isdigit())
+        for file in pathlib.Path(f"{self.folder}/cp-{name}/commits").glob(f"*{last}*"):
+            if file.name in (str(last), f".{last}.crc"):
+                file.unlink()
+        self.stream(name)
+
+    def fold(self):
+        d.compact_dim(self.spark, self.route, self.database, f"{self.folder}/dims", f"{self.folder}/aside")
+
+    def rows(self):
+        return {r.id: r.x for r in d.read_dim(self.spark, self.route, self.database).collect()}
+
+
+@pytest.fixture
+def runs(spark, folder):
+    database = f"runs_{uuid4().hex}"
+    yield DimRuns(spark, folder, database)
+    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
+def test_a_stream_follows_a_bounded_load(runs):
+    runs.load("1", "a")
+    runs.stream("s", ("2", "b"))
+    assert runs.rows() == {"1": "a", "2": "b"}
+
+
+def test_a_bounded_load_between_batches_of_a_stream(runs):
+    runs.stream("s", ("0", "a"), ("1", "b"), ("2", "c"))
+    runs.load("9", "z")
+    runs.load("2", "y")
+    runs.stream("s", ("3", "d"), ("0", "e"))
+    assert runs.rows() == {"0": "e", "1": "b", "2": "y", "3": "d", "9": "z"}
+
+
+def test_a_new_checkpoint_comes_after_the_old_stream(runs):
+    runs.stream("s", *[("1", f"old{n}") for n in range(3)])
+    runs.stream("t", ("1", "new"))
+    assert runs.rows() == {"1": "new"}
+
+
+def test_a_repeated_batch_replaces_itself_only(runs):
+    runs.stream("s", ("1", "a"), ("2", "b"))
+    runs.load("2", "later")
+    runs.again("s")
+    assert runs.rows() == {"1": "a", "2": "later"}
+
+
+def test_a_batch_repeated_after_folding_keeps_its_place(runs):
+    runs.stream("s", ("7", "a"), ("8", "b"))
+    runs.fold()
+    runs.load("7", "x")
+    runs.load("8", "y")
+    runs.again("s")
+    assert runs.rows() == {"7": "x", "8": "y"}
+    runs.fold()
+    runs.again("s")
+    runs.stream("s", ("7", "last"))
+    runs.fold()
+    runs.fold()
+    assert runs.rows() == {"7": "last", "8": "y"}
+    parts = loads.parts_under(runs.spark, f"{runs.folder}/dims/dim_a")
+    assert len(parts) == 2 and {part.load == loads.FOLDED for part in parts} == {True, False}
+
+
+def test_a_named_load_replaces_itself(runs):
+    runs.load("1", "a", load="monday")
+    runs.load("1", "b", load="tuesday")
+    runs.load("1", "c", load="monday")
+    assert runs.rows() == {"1": "b"}
+    with pytest.raises(ValueError):
+        runs.load("1", "c", load="no/name")
+
+
+def test_a_table_unknown_to_the_catalog_takes_its_files_over(runs, spark):
+    runs.load("1", "a")
+    spark.sql(f"DROP TABLE {runs.database}.dim_a")
+    runs.load("2", "b")
+    assert runs.rows() == {"1": "a", "2": "b"}
+    runs.stream("s", ("1", "c"))
+    runs.fold()
+    spark.sql(f"DROP TABLE {runs.database}.dim_a")
+    runs.load("1", "d")
+    runs.again("s")
+    assert runs.rows() == {"1": "d", "2": "b"}
+
+
+def test_upsert_loads_and_streams_follow_each_other(spark, folder):
+    topic, schema = Topic("up", root=f"{folder}/out"), "id STRING, n INT, v STRING"
+
+    def load(*rows, **named):
+        out.write_upsert_topic(spark.createDataFrame(list(rows), schema), topic, ["id"], ["n"], **named)
+
+    def stream(name, *rows):
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(f"{folder}/{name}")
+        source = spark.readStream.schema(schema).parquet(f"{folder}/{name}")
+        drain(out.write_upsert_topic(source, topic, ["id"], ["n"], f"{folder}/cp-{name}", **once()))
+
+    def held():
+        return {r.id: r.v for r in out.read_upsert_topic(spark, topic, s.record("id v")).collect()}
+
+    assert out.read_upsert_topic(spark, topic, s.record("id v")).count() == 0
+    load(("1", 1, "a"))
+    stream("s", ("2", 1, "b"))
+    assert held() == {"1": "a", "2": "b"}
+    load(("2", 2, "c"), load="fix")
+    stream("s", ("3", 1, "d"))
+    out.compact_upsert_topic(spark, topic, f"{folder}/aside")
+    load(("3", 2, "e"))
+    load(("2", 3, "again"), load="fix")
+    stream("t", ("1", 2, "f"))
+    assert held() == {"1": "f", "2": "c", "3": "e"}
+
+
 def test_dimension_stream_sees_a_new_route(spark, folder):
     """The configuration is looked at in every batch."""
     from tidemark.sources.lookup import Lookup

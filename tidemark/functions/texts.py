@@ -49,7 +49,11 @@ def register_keyword_function(spark: SparkSession, name: str = "keywords") -> No
         f"flatten(transform({runs}, run -> CASE WHEN rlike(run, r'^[{PAIRED}]') AND length(run) > 2 "
         f"THEN transform(sequence(1, length(run) - 1), i -> substr(run, i, 2)) ELSE array(run) END))"
     )
+    # through a one-element array, so that the words are computed once
+    known = (
+        f"transform(array({words}), found -> CASE WHEN size(found) > 0 THEN found WHEN item IS NOT NULL THEN array(item) END)"
+    )
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(item STRING) RETURNS TABLE (word STRING) "
-        f"RETURN SELECT explode(CASE WHEN size({words}) > 0 THEN {words} WHEN item IS NOT NULL THEN array(item) END) AS word"
+        f"RETURN SELECT explode(element_at({known}, 1)) AS word"
     )

@@ -21,6 +21,7 @@ from tidemark.functions.records import encode
 from tidemark.plans import dim, interaction, tool, trade, traffic, user
 from tidemark.session import build_session, shared_dir
 from tidemark.sinks import topics as out
+from tidemark.sinks.loads import stream_load
 from tidemark.sinks.summaries import write_summary
 from tidemark.sources import topics as src
 from tidemark.sources.lookup import Lookup, read_lookup
@@ -103,7 +104,7 @@ def _per_batch(job: Callable[[DataFrame], DataFrame], name: str) -> Callable[[Wa
             return w.write(job(changes), name)
 
         def put(batch: DataFrame, number: int) -> None:
-            out.put_batch(batch.select(encode("*").alias("value")), w.topic(name), number)
+            out.put_batch(batch.select(encode("*").alias("value")), w.topic(name), number, stream_load(batch))
 
         return [start_job(changes, job, put, name, **w.options(name))]
 

@@ -5,19 +5,30 @@ from __future__ import annotations
 from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.sources.lookup import Lookup
+from tidemark.sources.lookup import KeyedLookup, Lookup
+
 
 def lookup_join(
-    facts: DataFrame, dictionary: DataFrame | Lookup, on: str, name: str, code: str = "dic_code", label: str = "dic_name"
+    facts: DataFrame,
+    dictionary: DataFrame | Lookup | KeyedLookup,
+    on: str,
+    name: str,
+    code: str = "dic_code",
+    label: str = "dic_name",
 ) -> DataFrame:
     """Add ``name``, the label of the code in column ``on``; facts with an unknown code go.
 
     A ``Lookup`` has counted its rows and asks for a broadcast only while it is
     small.  A plain DataFrame carries no such promise and gets no hint: Spark
     broadcasts it when its own size estimate is under the threshold and
-    shuffles otherwise.
+    shuffles otherwise.  A ``KeyedLookup`` reads the codes of these facts only;
+    it needs a bounded batch (``runner.start_job``).
     """
     known = dictionary
+    if isinstance(dictionary, KeyedLookup):
+        if facts.isStreaming:
+            raise ValueError("a keyed look-up is made batch by batch: run the job through start_job")
+        known = dictionary.needed(facts, on)
     if isinstance(dictionary, Lookup):
         known = dictionary.live() if facts.isStreaming else dictionary.current()
     codes = known.select(F.col(code).alias("_code"), F.col(label).alias(name))

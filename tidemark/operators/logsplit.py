@@ -42,9 +42,20 @@ def tagged(records: DataFrame, common_as_string: bool = False) -> DataFrame:
     other fields go along as they are.  ``common_as_string`` embeds the common
     fields in displays and actions as JSON text, not as an object.
     """
-    given = F.map_filter(fields_of(F.col("value")), lambda _, value: ~F.is_variant_null(value))
     # a generator keeps the parse apart: it is used many times below
-    read = records.select(F.col("common.is_new").alias("_mark"), F.explode(F.array(given)).alias("_given"))
+    return tagged_fields(
+        records.select(F.col("common.is_new").alias("_mark"), F.explode(F.array(known_fields("value"))).alias("_given")),
+        common_as_string,
+    )
+
+
+def known_fields(value: str) -> Column:
+    """The fields of a JSON object that have a value; NULL for all other text."""
+    return F.map_filter(fields_of(F.col(value)), lambda _, field: ~F.is_variant_null(field))
+
+
+def tagged_fields(read: DataFrame, common_as_string: bool = False) -> DataFrame:
+    """The same for records that are parsed: their fields (``_given``) and their mark (``_mark``)."""
     whole = read.select(F.explode(F.array(_marked(F.col("_given"), F.col("_mark")))).alias("_record"))
 
     record = F.col("_record")

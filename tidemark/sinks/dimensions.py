@@ -1,22 +1,20 @@
 """Dimension tables: created from the configuration, filled by upserts.
 
-A table holds what each batch wrote in a partition of its own.  A batch that is
-run again replaces its partition, and no batch rewrites what is there; readers
-take, per key and column, the last value that was given.  ``compact_dim``
-folds old partitions into one.
+A table keeps what each batch of each load wrote in a partition of its own (see
+``loads``).  No batch rewrites what is there; readers take, per key and
+column, the last value that was given.  ``compact_dim`` folds partitions into
+one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from tidemark.operators.routing import ROUTE_FIELDS
+from tidemark.sinks import loads
 
-BATCH = "_batch"
-# The partition of folded rows comes before all numbered batches.
-FOLDED = -1
 DEFAULT_KEY = "id"
 
 
@@ -45,20 +43,69 @@ def table_name(route: Row, database: str) -> str:
     return f"{_quoted(database)}.{_quoted(route.sink_table)}"
 
 
-def ensure_dim_table(spark: SparkSession, route: Row, database: str, root: str) -> str:
-    """Create the table unless it exists: text columns, the key and the extension clause as properties."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
-    table = table_name(route, database)
+class DimStore:
+    """The partitions of one dimension table."""
+
+    def __init__(self, spark: SparkSession, table: str, path: str):
+        self.spark, self.table, self.path = spark, table, path
+
+    def read(self) -> DataFrame:
+        # another session, such as that of a stream's batches, may have replaced files
+        self.spark.catalog.refreshTable(self.table)
+        return self.spark.table(self.table)
+
+    def parts(self) -> list[loads.Part]:
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.table}").collect()
+        return sorted(part for part in (loads.parse(row[0]) for row in listed) if part)
+
+    def put(self, rows: DataFrame, part: loads.Part) -> None:
+        # columns the table has from other versions of the route stay without a value
+        names = [name for name in self.read().columns if name not in loads.PART_COLUMNS]
+        given = [_quoted(name) if name in rows.columns else f"CAST(NULL AS STRING) AS {_quoted(name)}" for name in names]
+        self.spark.sql(f"INSERT OVERWRITE TABLE {self.table} {part.clause} SELECT {', '.join(given)} FROM {{rows}}", rows=rows)
+        # a part without rows has no files, but another catalog has to find it too
+        loads.make_folder(self.spark, f"{self.path}/{part.folder}")
+
+    def remove(self, part: loads.Part) -> None:
+        self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS {part.clause}")
+        # the table is only named by the catalog, so its files are removed apart from it
+        loads.remove_folder(self.spark, f"{self.path}/{part.folder}")
+
+
+    def complete(self, part: loads.Part) -> bool:
+        return loads.is_complete(self.spark, f"{self.path}/{part.folder}")
+
+
+def dim_path(route: Row, root: str) -> str:
+    return f"{root.rstrip('/')}/{route.sink_table}"
+
+
+def ensure_dim_table(spark: SparkSession, route: Row, database: str, root: str) -> DimStore:
+    """Create the table unless it exists: text columns, the key and the extension clause as properties.
+
+    An existing table gets the columns that a new version of the route adds; a
+    table that the catalog does not know yet takes over the files in its folder.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)} LOCATION {_text(root)}")
+    table, path = table_name(route, database), dim_path(route, root)
+    store = DimStore(spark, table, path)
     columns = ", ".join(f"{_quoted(name)} STRING" for name in columns_of(route))
-    properties = {"primary.key": key_of(route)}
-    if (route.sink_extend or "").strip():
-        properties["extend"] = route.sink_extend.strip()
-    listed = ", ".join(f"{_text(key)} = {_text(value)}" for key, value in properties.items())
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {BATCH} BIGINT) USING parquet PARTITIONED BY ({BATCH}) "
-        f"LOCATION {_text(root.rstrip('/') + '/' + route.sink_table)} TBLPROPERTIES ({listed})"
-    )
-    return table
+    if not spark.catalog.tableExists(table):
+        properties = {"primary.key": key_of(route)}
+        if (route.sink_extend or "").strip():
+            properties["extend"] = route.sink_extend.strip()
+        listed = ", ".join(f"{_text(key)} = {_text(value)}" for key, value in properties.items())
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {loads.PART_DDL}) USING parquet "
+            f"PARTITIONED BY ({', '.join(loads.PART_COLUMNS)}) LOCATION {_text(path)} TBLPROPERTIES ({listed})"
+        )
+        if loads.parts_under(spark, path):
+            spark.sql(f"MSCK REPAIR TABLE {table}")
+    known = {name.lower() for name in spark.table(table).columns}
+    missing = [f"{_quoted(name)} STRING" for name in columns_of(route) if name.lower() not in known]
+    if missing:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(missing)})")
+    return store
 
 
 def upsert_dim(
@@ -66,34 +113,31 @@ def upsert_dim(
     routes: Iterable[Row],
     database: str,
     root: str,
-    batch: int | None = 0,
-    order: list[str] | None = None,
+    batch: int = 0,
+    order: list[str | Column] | None = None,
+    load: str | None = None,
 ) -> None:
-    """Write a batch of routed change records to their tables; without a number it comes after all others."""
-    spark = routed.sparkSession
+    """Write a batch of routed change records to their tables.
+
+    ``load`` and ``batch`` name the batch: written again, it replaces itself.
+    Without a load it comes after all that is there.
+    """
     held = routed.persist()
+    load = load or loads.fresh_load()
     try:
+        # at most one name for each route
+        present = {row[0] for row in held.select("sink_table").distinct().collect()}
         for route in routes:
-            table = ensure_dim_table(spark, route, database, root)
+            store = ensure_dim_table(routed.sparkSession, route, database, root)
+            if route.sink_table not in present:
+                continue
             rows = merged(held.filter(F.col("sink_table") == route.sink_table), route, order)
-            number = _next_number(spark, table) if batch is None else batch
-            _replace_partition(rows, table, columns_of(route), number)
+            loads.add(store, rows, load, batch)
     finally:
         held.unpersist()
 
 
-def _next_number(spark: SparkSession, table: str) -> int:
-    last = spark.table(table).agg(F.max(BATCH)).first()[0]
-    return 0 if last is None else max(int(last), FOLDED) + 1
-
-
-def _replace_partition(rows: DataFrame, table: str, columns: list[str], batch: int) -> None:
-    listed = ", ".join(_quoted(name) for name in columns)
-    statement = f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH} = {batch}) SELECT {listed} FROM {{rows}}"
-    rows.sparkSession.sql(statement, rows=rows)
-
-
-def merged(rows: DataFrame, route: Row, order: list[str] | None = None) -> DataFrame:
+def merged(rows: DataFrame, route: Row, order: list[str | Column] | None = None) -> DataFrame:
     """One row per key from payload maps: the last value given for each column.
 
     ``order`` is the order of changes, by default their time and read position.
@@ -101,14 +145,12 @@ def merged(rows: DataFrame, route: Row, order: list[str] | None = None) -> DataF
     key, columns = key_of(route), columns_of(route)
     usual = [F.col("ts").try_cast("bigint").alias("at"), *[name for name in ("seq",) if name in rows.columns]]
     flat = rows.select(F.struct(*(order or usual)).alias("_at"), *[F.col("data")[name].alias(name) for name in columns])
-    return _last_values(flat, key, columns, "_at")
+    return _last_values(flat, key, columns, F.col("_at"))
 
 
-def _last_values(rows: DataFrame, key: str, columns: list[str], at: str) -> DataFrame:
+def _last_values(rows: DataFrame, key: str, columns: list[str], at: Column) -> DataFrame:
     known = rows.filter(F.col(key).isNotNull())
-    values = [
-        F.max_by(name, F.when(F.col(name).isNotNull(), F.col(at))).alias(name) for name in columns if name != key
-    ]
+    values = [F.max_by(name, F.when(F.col(name).isNotNull(), at)).alias(name) for name in columns if name != key]
     if not values:
         return known.select(key).distinct()
     return known.groupBy(key).agg(*values).select(*columns)
@@ -116,24 +158,12 @@ def _last_values(rows: DataFrame, key: str, columns: list[str], at: str) -> Data
 
 def read_dim(spark: SparkSession, route: Row, database: str) -> DataFrame:
     """The current rows of a dimension table."""
-    return _last_values(spark.table(table_name(route, database)), key_of(route), columns_of(route), BATCH)
+    rows = DimStore(spark, table_name(route, database), "").read()
+    return _last_values(rows, key_of(route), columns_of(route), loads.at())
 
 
-def compact_dim(spark: SparkSession, route: Row, database: str, scratch: str) -> None:
-    """Fold all partitions into one before all batches.
-
-    The folded rows are written aside first.  Whatever step a failure comes
-    after, readers still see the same rows, because later partitions give the
-    same values again; a batch that is repeated replaces only its own partition.
-    """
-    table = table_name(route, database)
-    numbers = sorted(row[0] for row in spark.table(table).select(BATCH).distinct().collect())
-    if len(numbers) < 2:
-        return
-    aside = f"{scratch.rstrip('/')}/{route.sink_table}_{numbers[-1]}"
-    read_dim(spark, route, database).write.mode("overwrite").parquet(aside)
-    folded = spark.read.parquet(aside)
-    _replace_partition(folded, table, columns_of(route), FOLDED)
-    for number in numbers:
-        if number != FOLDED:
-            _replace_partition(folded.limit(0), table, columns_of(route), number)
+def compact_dim(spark: SparkSession, route: Row, database: str, root: str, scratch: str) -> None:
+    """Fold the partitions of a dimension table into one, with all columns that the table has."""
+    store = ensure_dim_table(spark, route, database, root)
+    columns = [name for name in store.read().columns if name not in loads.PART_COLUMNS]
+    loads.fold(store, lambda rows: _last_values(rows, key_of(route), columns, loads.at()), scratch)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.windows import stamped
+from tidemark.sinks.loads import BATCH, LOAD, stream_load
 from tidemark.streaming.runner import start_batches
 
 BATCH_ROWS = "10000"
@@ -31,7 +32,7 @@ def write_summary(
         raise ValueError("give either a path or jdbc options")
     left_out = set(exclude or [])
 
-    def put(batch: DataFrame, number: int | None) -> None:
+    def put(batch: DataFrame, number: int | None, load: str | None = None) -> None:
         rows = stamped(batch, columns, clock).drop(*left_out)
         if jdbc is not None:
             options = {"batchsize": BATCH_ROWS, **jdbc}
@@ -39,9 +40,9 @@ def write_summary(
         elif number is None:
             rows.write.mode("append").parquet(path)
         else:
-            rows.write.mode("overwrite").parquet(f"{path}/_batch={number}")
+            rows.write.mode("overwrite").parquet(f"{path}/{LOAD}={load}/{BATCH}={number}")
 
     if not summary.isStreaming:
         return put(summary, None)
     label = name or (path or jdbc["dbtable"]).rstrip("/").rsplit("/", 1)[-1]
-    return start_batches(summary, put, label, checkpoint, **trigger)
+    return start_batches(summary, lambda batch, number: put(batch, number, stream_load(batch)), label, checkpoint, **trigger)

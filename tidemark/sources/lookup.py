@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections import OrderedDict
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -53,14 +54,77 @@ class Lookup:
         return self.rows <= self._broadcast_rows
 
 
+class KeyedLookup:
+    """A dimension table of which only the codes a batch needs are read, and kept for ``ttl`` seconds.
+
+    The codes of a batch are looked at first.  Those that are not known, or
+    too old, are fetched with a filter on the code, which reaches the files or
+    the database.  Nothing is broadcast but fetched rows: at most ``most_rows``
+    and ``most_bytes`` of them.  A batch that needs more is joined by shuffle
+    with the table as it is, without any hint.
+    """
+
+    def __init__(
+        self,
+        load: Callable[[], DataFrame],
+        code: str = "dic_code",
+        ttl: float = 60.0,
+        most_rows: int = 10_000,
+        most_bytes: int = 8 << 20,
+    ):
+        self._load, self.code, self.ttl = load, code, ttl
+        self.most_rows, self.most_bytes = most_rows, most_bytes
+        self._known: OrderedDict[object, tuple[float, list]] = OrderedDict()
+        self.fetches = 0
+
+    def needed(self, facts: DataFrame, on: str) -> DataFrame:
+        """The rows of the codes in column ``on`` of a bounded batch."""
+        codes = [row[0] for row in facts.select(on).filter(F.col(on).isNotNull()).distinct().limit(self.most_rows + 1).collect()]
+        table = self._load()
+        if len(codes) > self.most_rows or not self._fetch(table, codes):
+            return table
+        rows = [row for code in codes for row in self._known[code][1]]
+        if sum(len(str(value)) + 16 for row in rows for value in row) > self.most_bytes:
+            return table.filter(F.col(self.code).isin(codes))
+        return F.broadcast(facts.sparkSession.createDataFrame(rows, table.schema))
+
+    def _fetch(self, table: DataFrame, codes: list) -> bool:
+        """Make the codes known; not if they have too many rows."""
+        now = time.monotonic()
+        missing = [code for code in codes if code not in self._known or now - self._known[code][0] >= self.ttl]
+        if missing:
+            rows = self.wanted(table, missing).limit(self.most_rows + 1).collect()
+            self.fetches += 1
+            if len(rows) > self.most_rows:
+                return False
+            found: dict[object, list] = {code: [] for code in missing}
+            for row in rows:
+                found[row[self.code]].append(row)
+            for code, its_rows in found.items():
+                self._known[code] = (now, its_rows)
+                self._known.move_to_end(code)
+            needed = set(codes)
+            while len(self._known) > self.most_rows and next(iter(self._known)) not in needed:
+                self._known.popitem(last=False)
+        return True
+
+    def wanted(self, table: DataFrame, codes: list) -> DataFrame:
+        """The rows of some codes only."""
+        return table.filter(F.col(self.code).isin(codes))
+
+
 def read_lookup(
     spark: SparkSession,
     path: str | None = None,
     jdbc: dict[str, str] | None = None,
     ttl: float = 60.0,
     columns: tuple[str, ...] = ("dic_code", "dic_name"),
-) -> Lookup:
-    """Dictionary from a parquet folder or, with ``jdbc`` options, from a database table."""
+    keyed: str | None = None,
+) -> Lookup | KeyedLookup:
+    """Dictionary from a parquet folder or, with ``jdbc`` options, from a database table.
+
+    ``keyed`` names the code column of a table of which only needed codes are read.
+    """
     if (path is None) == (jdbc is None):
         raise ValueError("give either a path or jdbc options")
 
@@ -68,4 +132,4 @@ def read_lookup(
         reader = spark.read.format("jdbc").options(**jdbc) if jdbc else spark.read.format("parquet").option("path", path)
         return reader.load().select(*columns)
 
-    return Lookup(load, ttl)
+    return KeyedLookup(load, keyed, ttl) if keyed else Lookup(load, ttl)

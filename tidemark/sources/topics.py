@@ -7,13 +7,16 @@ Kafka, a hash of the text in files, so that a rerun orders them alike.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from tidemark import schemas as s
 from tidemark.functions import times
 from tidemark.functions.records import decode, good
 from tidemark.topics import Topic
 
+#: What a line of a topic is to its readers.
+TEXT = StructType().add("value", StringType())
+
 FILE_OPTIONS = {"maxFilesPerTrigger", "maxBytesPerTrigger", "latestFirst", "maxFileAge", "recursiveFileLookup"}
 
 

@@ -357,3 +357,51 @@ FROM orders""",
 }
 ORACLES["stream_unique_visitor"] = ORACLES["dwd_unique_visitor"]
 ORACLES["stream_log_is_new_fix"] = ORACLES["dwd_log_is_new_fix"]
+# Streams, split stores and loads give what the bounded forms give.
+ORACLES |= {
+    "split_log_counts": ORACLES["dwd_log_split_counts"],
+    "split_log_page": ORACLES["dwd_log_page"],
+    "split_table_counts": ORACLES["table_change_counts"],
+    "split_cart_add": ORACLES["dwd_cart_add"],
+    "split_order_refund": ORACLES["dwd_order_refund"],
+    "split_refund_pay": ORACLES["dwd_refund_pay"],
+    "dim_order_loads": ORACLES["dim_order_info"],
+    "batched_join_inner": ORACLES["stream_join_inner"],
+    "batched_join_left": ORACLES["stream_join_left"],
+    "batched_join_right": ORACLES["stream_join_right"],
+    "batched_join_full": ORACLES["stream_join_full"],
+    "batched_user_jump": ORACLES["dwd_user_jump"],
+    "batched_first_wins": ORACLES["dwd_order_detail_first_wins"],
+    "batched_latest_wins": ORACLES["dwd_pay_detail_latest_wins"],
+}
+# Until June 1997 the route has no status, from September 1998 to 1999 there is none, then it has no user.
+ORACLES["dim_live_routes"] = f"""WITH {ORDER_CHANGES}, routed AS (
+  SELECT cast(o_orderkey AS varchar) AS id, changed, status,
+    CASE WHEN changed < DATE '1998-09-01' THEN cast(o_custkey AS varchar) END AS user_id,
+    CASE WHEN changed >= DATE '1997-06-01' THEN status END AS order_status,
+    CASE WHEN changed >= DATE '2000-01-01' THEN cast(cast(o_totalprice AS decimal(18, 2)) AS varchar) END AS total_amount
+  FROM order_changes WHERE changed < DATE '1998-09-01' OR changed >= DATE '2000-01-01')
+SELECT id, max(user_id) AS user_id, arg_max(order_status, (changed, status)) FILTER (order_status IS NOT NULL) AS order_status,
+  max(total_amount) AS total_amount FROM routed GROUP BY id"""
+
+
+def _in_scripts() -> str:
+    from stream_queries import LATIN, SCRIPTS
+    from tidemark.functions.texts import PAIRED
+
+    paired = PAIRED.replace("\\x{20000}-\\x{3FFFF}", "")
+    paired = "".join("\\x{" + part[:4] + "}" + part[4:] for part in paired.split("\\u")[1:])
+    cases = " ".join(f"WHEN {n} THEN translate(text, '{LATIN}', '{letters}')" for n, letters in enumerate(SCRIPTS, 1))
+    return f"""WITH texts AS (SELECT lang, CASE doc_id % 4 {cases} ELSE text END AS item FROM documents),
+runs AS (
+  SELECT lang, item, regexp_extract_all(regexp_replace(lower(item), '([{paired}]+)', ' \\1 ', 'g'), '[\\p{{L}}\\p{{N}}]+') AS found
+  FROM texts WHERE item IS NOT NULL),
+cut AS (
+  SELECT lang, CASE WHEN len(found) = 0 THEN [item] ELSE flatten(list_transform(found, lambda w:
+    CASE WHEN regexp_matches(w, '^[{paired}]') AND len(w) > 2 THEN list_transform(range(1, len(w)), lambda i: substr(w, i, 2)) ELSE [w] END))
+    END AS words FROM runs)
+SELECT lang AS source, keyword, count(*) AS keyword_count FROM (SELECT lang, unnest(words) AS keyword FROM cut) w GROUP BY ALL"""
+
+
+ORACLES["keyword_scripts"] = _in_scripts()
+ORACLES["lookup_needed"] = "SELECT l_orderkey, l_partkey, p_name AS part FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber = 7"
