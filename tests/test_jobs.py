@@ -5,7 +5,8 @@ from __future__ import annotations
 import warehouse_queries as q
 from tidemark import schemas as s, topics as t
 from tidemark.functions.records import encode
-from tidemark.jobs import JOBS, Warehouse
+from tidemark.jobs import JOBS, Warehouse, parser, warehouse
+from tidemark.plans import dim
 from tidemark.sinks import dimensions as d
 from tidemark.sources import sample, topics as src
 from tidemark.topics import Topic
@@ -25,7 +26,7 @@ def feed(spark, sf, root):
 
 
 def test_all_jobs_in_the_order_of_their_links(spark, sf, folder):
-    assert sorted(ORDER) == sorted(JOBS) and len(JOBS) == 25
+    assert sorted([*ORDER, "split_changes"]) == sorted(JOBS) and len(ORDER) == 25
     feed(spark, sf, folder)
     house = Warehouse(
         spark, root=folder, dictionary=sample.dictionary(spark), routes=sample.routes(spark), database="alljobs",
@@ -67,3 +68,29 @@ def test_streaming_jobs_over_folders(spark, sf, folder):
         assert src.read_topic(spark, Topic(topic, root=folder)).count() == q.QUERIES[query](spark, sf).count()
     registered = spark.read.parquet(f"{folder}/store/dws_user_user_register_window")
     assert 0 < registered.count() <= q.register_window(spark, sf).count()
+
+
+def test_streaming_jobs_from_the_command_line(spark, sf, folder):
+    """Changes are split once, jobs read their tables from there, a few files a batch; the configuration is a topic."""
+    feed(spark, sf, folder)
+    route = '{"source_table":"user_info","sink_table":"dim_user","sink_columns":"id,name","sink_pk":"id","sink_extend":""}'
+    spark.createDataFrame([(f'{{"op":"r","ts_ms":0,"before":null,"after":{route}}}',)], "value STRING").write.text(f"{folder}/routes")
+    spark.sql("SELECT * FROM {d}", d=sample.dictionary(spark)).write.parquet(f"{folder}/dictionary")
+
+    def run(job, *more):
+        given = ["--root", folder, "--store", f"{folder}/store", "--checkpoints", f"{folder}/cp", "--once", "--database", "fromline",
+                 "--limit", "maxFilesPerTrigger=4", "--dictionary", f"{folder}/dictionary", "--split", f"{folder}/split", *more]
+        queries = JOBS[job](warehouse(spark, parser().parse_args([job, *given])))
+        for query in queries:
+            query.awaitTermination()
+        return queries
+
+    (split,) = run("split_changes")
+    files = [path for path in split.recentProgress[0].sources if "topic_db" in path.description]
+    assert files and len(split.recentProgress) > 1
+    run("cart_add")
+    assert src.read_topic(spark, Topic(t.CART_ADD, root=folder)).count() == q.QUERIES["dwd_cart_add"](spark, sf).count()
+    run("dim_sink", "--route-topic", "routes")
+    (found,) = dim.live_routes(spark, f"{folder}/store/fromline")
+    assert d.read_dim(spark, found, "fromline").count() == q.QUERIES["dim_user_info"](spark, sf).count()
+    spark.sql("DROP DATABASE fromline CASCADE")

@@ -18,12 +18,14 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark import schemas as s, topics as t
 from tidemark.functions import times
 from tidemark.functions.records import encode
+from tidemark.operators.routing import ROUTE_FIELDS
 from tidemark.plans import dim, interaction, tool, trade, traffic, user
 from tidemark.session import build_session, shared_dir
-from tidemark.sinks import topics as out
+from tidemark.sinks import split, topics as out
 from tidemark.sinks.loads import stream_load
 from tidemark.sinks.summaries import write_summary
 from tidemark.sources import topics as src
+from tidemark.sources.cdc import read_debezium
 from tidemark.sources.lookup import Lookup, read_lookup
 from tidemark.streaming.runner import start_job
 from tidemark.topics import Topic
@@ -33,7 +35,15 @@ Started = list[StreamingQuery]
 
 @dataclass
 class Warehouse:
-    """Where topics, look-ups and stores are."""
+    """Where topics, look-ups and stores are.
+
+    ``limits`` are options of topics that are read, such as
+    ``maxFilesPerTrigger`` or ``maxOffsetsPerTrigger``: without them the first
+    run takes the whole history as one batch.  With ``split``, a folder that the
+    job ``split_changes`` fills, jobs read the changes of their tables from there
+    instead of the topic of all changes.  With ``route_topic`` the dimension job follows
+    the configuration's change envelopes of that topic instead of a table.
+    """
 
     spark: SparkSession
     servers: str | None = None
@@ -46,21 +56,36 @@ class Warehouse:
     checkpoints: str | None = None
     streaming: bool = False
     trigger: dict = field(default_factory=lambda: {"processingTime": "1 second"})
+    limits: dict[str, str] = field(default_factory=dict)
+    split: str | None = None
+    route_topic: str | None = None
+    on_missing: str = "drop"
 
     def topic(self, name: str) -> Topic:
+        """A topic to be written."""
         return Topic(name, servers=self.servers, root=self.root)
 
+    def source(self, name: str) -> Topic:
+        """A topic to be read, within the limits."""
+        return Topic(name, servers=self.servers, root=self.root, options=self.limits)
+
     def lines(self, name: str) -> DataFrame:
-        return src.read_topic(self.spark, self.topic(name), self.streaming)
+        return src.read_topic(self.spark, self.source(name), self.streaming)
 
     def rows(self, name: str, schema) -> DataFrame:
-        return src.read_json_topic(self.spark, self.topic(name), schema, self.streaming)
+        return src.read_json_topic(self.spark, self.source(name), schema, self.streaming)
 
     def pages(self, name: str = t.PAGE) -> DataFrame:
-        return src.read_page_log(self.spark, self.topic(name), self.streaming)
+        return src.read_page_log(self.spark, self.source(name), self.streaming)
 
     def changes(self) -> DataFrame:
-        return src.read_changelog(self.spark, self.topic(t.CHANGES), self.streaming)
+        if self.split:
+            limits = {name: value for name, value in self.limits.items() if name in src.FILE_OPTIONS}
+            return split.read_changes(self.change_store(), streaming=self.streaming, options=limits)
+        return src.read_changelog(self.spark, self.source(t.CHANGES), self.streaming)
+
+    def change_store(self) -> split.loads.FolderStore:
+        return split.change_store(self.spark, self.split)
 
     def options(self, name: str) -> dict:
         if not self.streaming:
@@ -89,8 +114,20 @@ def base_log(w: Warehouse) -> Started:
     return [query for query in queries if query]
 
 
+def split_changes(w: Warehouse) -> Started:
+    if not w.split:
+        raise ValueError("name the folder of the split store")
+    query = split.split_changes(w.lines(t.CHANGES), w.change_store(), **w.options("split_changes"))
+    return [query] if query else []
+
+
 def dim_sink(w: Warehouse) -> Started:
     root = f"{w.store}/{w.database}"
+    if w.route_topic:
+        if not w.streaming:
+            raise ValueError("a configuration that changes is followed by a stream")
+        envelopes = read_debezium(w.lines(w.route_topic))
+        return [dim.live_dim_sink(envelopes, w.changes(), w.database, root, w.on_missing, **w.options("dim_sink"))]
     query = dim.dim_sink(w.changes(), w.routes, w.database, root, **w.options("dim_sink"))
     return [query] if query else []
 
@@ -116,15 +153,15 @@ def _with_names(job: Callable, name: str) -> Callable[[Warehouse], Started]:
 
 
 def _pre(w: Warehouse) -> DataFrame:
-    return src.read_order_pre(w.spark, w.topic(t.ORDER_PRE), w.streaming)
+    return src.read_order_pre(w.spark, w.source(t.ORDER_PRE), w.streaming)
 
 
 def _details(w: Warehouse) -> DataFrame:
-    return src.read_order_detail(w.spark, w.topic(t.ORDER_DETAIL), w.streaming)
+    return src.read_order_detail(w.spark, w.source(t.ORDER_DETAIL), w.streaming)
 
 
 def _paid(w: Warehouse) -> DataFrame:
-    return src.read_pay_order_detail(w.spark, w.topic(t.PAY_DETAIL), w.streaming)
+    return src.read_pay_order_detail(w.spark, w.source(t.PAY_DETAIL), w.streaming)
 
 
 def _pay(w: Warehouse) -> DataFrame:
@@ -132,6 +169,7 @@ def _pay(w: Warehouse) -> DataFrame:
 
 
 JOBS: dict[str, Callable[[Warehouse], Started]] = {
+    "split_changes": split_changes,
     "dim_sink": dim_sink,
     "base_log": base_log,
     "unique_visitor": lambda w: w.write(traffic.unique_visitor(w.pages()).drop("seq"), t.VISITOR),
@@ -178,27 +216,54 @@ JOBS: dict[str, Callable[[Warehouse], Started]] = {
 }
 
 
-def main() -> None:
-    parser = argparse.ArgumentParser(description="Run one job of the warehouse as a stream.")
-    parser.add_argument("job", choices=sorted(JOBS))
-    parser.add_argument("--servers", help="message servers; or")
-    parser.add_argument("--root", help="folder of topics")
-    parser.add_argument("--dictionary", help="parquet folder of the code dictionary")
-    parser.add_argument("--routes", help="parquet folder of the dimension routes")
-    parser.add_argument("--store", help="folder of summaries and dimension tables")
-    given = parser.parse_args()
-    spark = build_session(given.job)
-    names = ("source_table", "sink_table", "sink_columns", "sink_pk", "sink_extend")
-    house = Warehouse(
+def parser() -> argparse.ArgumentParser:
+    made = argparse.ArgumentParser(description="Run one job of the warehouse as a stream.")
+    made.add_argument("job", choices=sorted(JOBS))
+    made.add_argument("--servers", help="message servers; or")
+    made.add_argument("--root", help="folder of topics")
+    made.add_argument("--limit", action="append", default=[], metavar="NAME=VALUE", help="option of topics that are read, such as maxFilesPerTrigger=100")
+    made.add_argument("--split", help="folder of the split store of changes")
+    made.add_argument("--dictionary", help="parquet folder of the code dictionary")
+    made.add_argument("--routes", help="parquet folder of the dimension routes; or")
+    made.add_argument("--route-topic", help="topic of the routes' change envelopes")
+    made.add_argument("--on-missing", choices=("drop", "replay"), default="drop", help="what becomes of changes without a route")
+    made.add_argument("--store", help="folder of summaries and dimension tables")
+    made.add_argument("--database", default="dims", help="database of the dimension tables")
+    made.add_argument("--jdbc", action="append", default=[], metavar="NAME=VALUE", help="option of the summaries' database, such as url=...")
+    made.add_argument("--checkpoints", help="folder of checkpoints")
+    made.add_argument("--clock", default="1 second", help="time between batches")
+    made.add_argument("--once", action="store_true", help="read what is there and stop")
+    return made
+
+
+def _pairs(given: list[str]) -> dict[str, str]:
+    return dict(pair.split("=", 1) for pair in given)
+
+
+def warehouse(spark: SparkSession, given: argparse.Namespace) -> Warehouse:
+    """The warehouse that the command line names."""
+    return Warehouse(
         spark,
         servers=given.servers,
         root=given.root,
         dictionary=read_lookup(spark, given.dictionary) if given.dictionary else None,
-        routes=read_lookup(spark, given.routes, columns=names) if given.routes else None,
+        routes=read_lookup(spark, given.routes, columns=tuple(ROUTE_FIELDS)) if given.routes else None,
+        database=given.database,
         store=given.store,
+        jdbc=_pairs(given.jdbc) or None,
+        checkpoints=given.checkpoints,
         streaming=True,
+        trigger={"availableNow": True} if given.once else {"processingTime": given.clock},
+        limits=_pairs(given.limit),
+        split=given.split,
+        route_topic=given.route_topic,
+        on_missing=given.on_missing,
     )
-    for query in JOBS[given.job](house):
+
+
+def main() -> None:
+    given = parser().parse_args()
+    for query in JOBS[given.job](warehouse(build_session(given.job), given)):
         query.awaitTermination()
 
 
