@@ -18,6 +18,7 @@ from tidemark.sinks import dimensions as d, loads, split, topics as out
 from tidemark.sources import sample, topics as src
 from tidemark.sources.cdc import read_debezium
 from tidemark.sources.replay import played, read_splits, split_of, write_splits
+from tidemark.streaming import stateful
 from tidemark.streaming.runner import LateRows, run_available, run_clocked, start_batches
 from tidemark.topics import Topic
 
@@ -286,3 +287,23 @@ def test_a_stream_knows_its_load(spark, folder):
     spark.createDataFrame([("2",)], "id STRING").write.mode("append").parquet(f"{folder}/in")
     assert run(f"{folder}/cp") == first and run(f"{folder}/cp2") != first
     assert seen[:2] == [first, first] and len(set(seen)) == 2
+
+
+def test_a_hot_key_sends_its_earliest_rows_to_the_processor(spark, folder):
+    """Each task keeps one row of a key and day before the shuffle; what the rules give stays the same."""
+    start = datetime(2024, 1, 10)
+    rows = [("hot", start + timedelta(minutes=(n * 37) % 2880), n) for n in range(3000)] + [("cold", start, 1), ("cold", start, 2), (None, start, 3)]
+    frame = spark.createDataFrame(rows, "mid STRING, at TIMESTAMP, n INT").repartition(4)
+    packed = stateful._earliest(frame, F.col("mid"), "at", ["n"])
+    counts = {(r._key, r._day): r["count"] for r in packed.groupBy("_key", "_day").count().collect()}
+    assert counts.pop(("cold", "2024-01-10")) == 2 and counts.pop((None, "2024-01-10")) == 1
+    assert set(counts) == {("hot", "2024-01-10"), ("hot", "2024-01-11")} and max(counts.values()) <= 4 * 2
+    write_splits(frame, F.col("n") % 3, 3, f"{folder}/in")
+    stream = read_splits(spark, f"{folder}/in", frame.schema)
+    for job in (lambda r: firsts.daily_starts(r, ["mid"], "at"), lambda r: firsts.returning_users(r, "mid", "at", 1), lambda r: firsts.unique_users(r, "mid", "at", ["n"])):
+        query = job(stream)
+        plan = query._jdf.queryExecution().analyzed().toString()
+        assert plan.index("TransformWithState") < plan.index("MapInArrow")
+    found = played(firsts.first_of_day(stream, "mid", "at", ["n"]), f"{folder}/first", idle_batches=False)
+    days = {(r.mid, r.at.day) for r in found.collect()}
+    assert days == {("hot", 10), ("hot", 11), ("cold", 10)}

@@ -7,6 +7,9 @@ in the JVM.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
@@ -68,26 +71,49 @@ def _run(packed: DataFrame, processor, output: StructType, mode: str, event_time
     )
 
 
+def _earliest(rows: DataFrame, key: Column, time: str, tie: list[str]) -> DataFrame:
+    """Packed rows of which each task sends on only a key's earliest of a day.
+
+    Rules that look at nothing but the first row of a day need no others, so a
+    key with very many rows costs the shuffle and its processor one row (or
+    those of one instant) for each day and Arrow batch.
+    """
+    packed = _packed(rows, key, [time, *tie], _day=_day(time), _time=F.unix_micros(time))
+    return packed.mapInArrow(earliest_of_day, packed.schema).drop("_time")
+
+
+def earliest_of_day(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose ``_time`` is the least of their ``_key`` and ``_day`` in the batch."""
+    for batch in batches:
+        if batch.num_rows:
+            frame = batch.select(["_key", "_day", "_time"]).to_pandas()
+            least = frame.groupby(["_key", "_day"], dropna=False, sort=False)["_time"].transform("min")
+            yield batch.filter(pa.array(frame["_time"].eq(least)))
+
+
 def _day(time: str) -> Column:
     return F.date_format(time, "yyyy-MM-dd")
 
 
 def first_of_day(rows: DataFrame, key: Column, time: str, tie: list[str]) -> DataFrame:
     """The first row of each key and day; the memory of a key ends a day after its last pass."""
-    packed = _packed(rows, key, [time, *tie], _day=_day(time))
+    packed = _earliest(rows, key, time, tie)
     return _unpacked(_run(packed, p.FirstOfDay(millis(DAY)), _result(), "ProcessingTime"), rows)
 
 
 def returning_users(rows: DataFrame, user: str, time: str, gap_days: int) -> DataFrame:
     plain = rows.select(user, time)
-    packed = _packed(plain, F.col(user), [time], _day=_day(time))
+    packed = _earliest(plain, F.col(user), time, [])
     output = _result(uu=IntegerType(), back=IntegerType())
     return _unpacked(_run(packed, p.ReturningUsers(gap_days), output, "None"), plain)
 
 
 def mark_unique_users(rows: DataFrame, user: str, time: str, tie: list[str], only_unique: bool) -> DataFrame:
     """All rows, or only unique ones, with ``unique_user`` and ``new_user`` marks."""
-    packed = _packed(rows, F.col(user), [time, *tie], _day=_day(time))
+    if only_unique:
+        packed = _earliest(rows, F.col(user), time, tie)
+    else:
+        packed = _packed(rows, F.col(user), [time, *tie], _day=_day(time))
     output = _result(unique_user=IntegerType(), new_user=IntegerType())
     return _unpacked(_run(packed, p.MarkUnique(only_unique), output, "None"), rows)
 
