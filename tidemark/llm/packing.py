@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import gc
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,12 +20,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import as_bytes, mix64, raw, slices
+from tidemark.llm.bpe import Merges
+from tidemark.llm.text import as_bytes, give_back, mix64, raw, slices
 
 LENGTH = 2048
 END = 1
-#: Documents that one group holds on average.
+#: Documents, and bytes of text, that one group holds on average.
 GROUP_DOCS = 4096
+GROUP_BYTES = 16 << 20
 #: Words whose ids a worker remembers at most; beyond that it starts anew.
 REMEMBERED = 400_000
 
@@ -61,67 +62,56 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[list[int],
     return bins, places
 
 
-#: A word of ASCII and Latin-1 letters, then punctuation: no token reaches over that border.
-_LETTERS = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?]*)")
-#: Words on which the short way is tried before it is trusted.
-TRIED = 300
+_LATIN = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"
+_LETTER = rb"(?:[A-Za-z]|" + _LATIN + rb")"
+_MARK = rb"[.,;:!?]"
+#: Punctuation between a letter and white space: a piece of its own, so it may stand apart.  (Marks are
+#: looked for first, because they are rarer than letters.)
+_TAIL = re.compile(
+    rb"(" + _MARK + rb"(?:(?<=[A-Za-z]" + _MARK + rb")|(?<=" + _LATIN + _MARK + rb"))" + _MARK + rb"*)(?=[\x20\x09-\x0D]|\Z)"
+)
+#: Words of ASCII and Latin-1 letters alone.
+_LETTERS = re.compile(rb"^" + _LETTER + rb"+$", re.MULTILINE)
 
 
 class WordIds:
     """Ids of words, little-endian; in this vocabulary no token reaches over ASCII white space.
 
-    Words not known yet are encoded many at a time, with a special token
-    between them.  Words of plain letters take a short way, lower case and the
-    merges alone, if that gives the same ids as the whole tokenizer.
+    Words not known yet are encoded many at a time.  By the vocabulary's
+    definition, punctuation behind letters is a piece of its own, case does not
+    matter, and the ids of plain letters follow from the merges; other words
+    go through the tokenizer, with a special token between them.  A vocabulary
+    of another definition sends all words as they are through the tokenizer.
     """
 
     def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         special = self.tokenizer.get_added_tokens_decoder()
         self.border, self.text = next((at, token.content) for at, token in special.items() if token.special)
-        self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.merges = Merges.of_file(vocabulary)
         self.known: dict[bytes, bytes] = {b"": b""}
-        self.tried = 0
+
+    def words(self, text: bytes) -> list[bytes]:
+        if self.merges is None:
+            return text.split()
+        # a combining mark may join a small letter where it joins no capital
+        low = text if b"\xcc" in text or b"\xcd" in text else text.lower()
+        return _TAIL.sub(rb" \1", low).split()
 
     def learn(self, words: set[bytes]) -> None:
         new = words - self.known.keys()
         if len(self.known) + len(new) > REMEMBERED:
             self.known = {b"": b""}
             new = words
-        whole, stems, tails, others = [], [], [], []
-        for word in new:
-            found = _LETTERS.fullmatch(word) if self.tried >= 0 else None
-            if found:
-                stem, tail = found.groups()
-                whole.append(word)
-                stems.append(stem.lower())
-                tails.append(tail)
-            else:
-                others.append(word)
-        others.extend(set(tails) - self.known.keys())
-        fresh = list(set(stems) - self.known.keys())
-        known = self.known
-        known.update(zip(fresh, self._short(fresh)))
-        known.update(zip(others, self._whole(others)))
-        known.update(zip(whole, [known[stem] + known[tail] for stem, tail in zip(stems, tails)]))
-
-    def _short(self, stems: list[bytes]) -> list[bytes]:
-        if not stems:
-            return []
-        lines = b"\n".join(stems).decode().lower()
-        newline = self.byte_level.pre_tokenize_str("\n")[0][0]
-        tokenize = self.tokenizer.model.tokenize
-        spelled = self.byte_level.pre_tokenize_str(lines)[0][0].split(newline)
-        ids = [array("I", [token.id for token in tokenize(word)]).tobytes() for word in spelled]
-        if self.tried < TRIED:
-            some = stems[: TRIED - self.tried]
-            if ids[: len(some)] != self._whole(some):
-                self.tried = -1
-                return self._whole(stems)
-            self.tried += len(some)
-        return ids
+        if self.merges is not None:
+            plain = _LETTERS.findall(b"\n".join(new))
+            lower = b"\n".join(plain).decode().lower().encode().split(b"\n") if plain else []
+            self.known.update(zip(plain, self.merges.encode(lower)))
+            new = new.difference(plain)
+        others = list(new)
+        self.known.update(zip(others, self._whole(others)))
 
     def _whole(self, words: list[bytes]) -> list[bytes]:
         if not words:
@@ -141,7 +131,7 @@ class WordIds:
     def encode(self, texts: list[bytes], end: int) -> Iterator[bytes]:
         """Ids of each text, with the end id."""
         last = np.array([end], "<u4").tobytes()
-        split = [text.split() for text in texts]
+        split = [self.words(text) for text in texts]
         self.learn(set().union(*split))
         for words in split:
             yield b"".join(map(self.known.__getitem__, words)) + last
@@ -157,6 +147,7 @@ def cut(vocabulary: str, groups: int, length: int, end: int, seed: int):
             yield from piece_batches(batches, WordIds(vocabulary), groups, length, end, seed)
         finally:
             gc.enable()
+            give_back()
 
     return pieces
 
@@ -222,7 +213,8 @@ def pack(
     give no sequences.  Sequences hold at most ``length`` ids; what is left
     free is padding.
     """
-    groups = max(1, -(-docs.count() // group_docs))
+    size = docs.agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    groups = max(1, -(-size["rows"] // group_docs), -(-(size["bytes"] or 0) // GROUP_BYTES))
     pieces = docs.select("doc_id", as_bytes().alias("text")).mapInArrow(cut(vocabulary, groups, length, end, seed), PIECES)
     return pieces.groupBy("part").applyInArrow(packed_group(length), PACKED)
 

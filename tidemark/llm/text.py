@@ -8,6 +8,7 @@ segments of a few megabytes, so memory does not depend on the text's length.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -132,3 +133,20 @@ def slices(offsets: np.ndarray, limit: int = SEGMENT) -> Iterator[tuple[int, int
         last = max(int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1, first + 1)
         yield first, last
         first = last
+
+
+def give_back() -> None:
+    """Return memory that is no longer used to the system: workers live on and share an executor with others."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task that needs much memory, which is given back at its end."""
+    try:
+        yield from batches
+    finally:
+        give_back()
