@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -20,6 +20,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidemark.llm.columns import carries_columns
 from tidemark.llm.labelled_pages import pages as labelled_pages
 
 MARK = "data-main"
@@ -72,6 +73,8 @@ class Dom(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes = [Node("#root")]
         self.open = [0]
+        self.owners = [0]  # open elements that are not inline
+        self.depths: dict[str, list[int]] = defaultdict(list)  # where open elements of a tag stand
         self.blocks: list[tuple[int, list[str]]] = []
         self.fresh = True
         self.unseen = 0
@@ -82,7 +85,7 @@ class Dom(HTMLParser):
             self._end({"head"}, {"template"})
         elif tag not in HEAD:
             self._end_head()
-        elif tag == "head" and any(self.nodes[at].tag == "head" for at in self.open):
+        elif tag == "head" and self.depths["head"]:
             return
         if tag in SOURCE or tag in FORMULA:
             self.source |= tag in SOURCE
@@ -109,13 +112,18 @@ class Dom(HTMLParser):
         if MARK in given:
             node.label = int(given[MARK] == "1")
         self.nodes[self.open[-1]].children.append(len(self.nodes))
+        self.depths[tag].append(len(self.open))
         self.open.append(len(self.nodes))
+        if tag not in INLINE:
+            self.owners.append(len(self.nodes))
         self.nodes.append(node)
         self.unseen += tag in UNSEEN
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self.handle_starttag(tag, attrs)
-        if tag not in VOID:
+        if tag in self.CDATA_CONTENT_ELEMENTS and self.depths["svg"] == []:
+            self.set_cdata_mode(tag)  # the slash does not end it
+        elif tag not in VOID:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
@@ -124,20 +132,16 @@ class Dom(HTMLParser):
             return
         if tag not in INLINE:
             self.fresh = True
-        if any(self.nodes[at].tag == tag for at in self.open[1:]):
+        if self.depths[tag]:
             while self._close() != tag:
                 pass
 
     def _end(self, tags: set[str], scope: set[str]) -> None:
         """Close the innermost open element of ``tags``, unless one of ``scope`` is in between."""
-        for depth in range(len(self.open) - 1, 0, -1):
-            tag = self.nodes[self.open[depth]].tag
-            if tag in tags:
-                while len(self.open) > depth:
-                    self._close()
-                return
-            if tag in scope:
-                return
+        depth = max((self.depths[tag][-1] for tag in tags if self.depths[tag]), default=0)
+        if depth and depth >= max((self.depths[tag][-1] for tag in scope if self.depths[tag]), default=0):
+            while len(self.open) > depth:
+                self._close()
 
     def _end_head(self) -> None:
         """Close a head that stands open, unless something in it is open too."""
@@ -147,6 +151,9 @@ class Dom(HTMLParser):
 
     def _close(self) -> str:
         tag = self.nodes[self.open.pop()].tag
+        self.depths[tag].pop()
+        if tag not in INLINE:
+            self.owners.pop()
         self.unseen -= tag in UNSEEN
         return tag
 
@@ -155,7 +162,7 @@ class Dom(HTMLParser):
             self._end_head()
         if self.unseen or self.source:
             return
-        owner = next((at for at in reversed(self.open) if self.nodes[at].tag not in INLINE), 0)
+        owner = self.owners[-1]
         if self.fresh or not self.blocks or self.blocks[-1][0] != owner:
             if not data.strip():
                 return
@@ -164,7 +171,7 @@ class Dom(HTMLParser):
         self.blocks[-1][1].append(data)
         size = len(data.strip())
         self.nodes[owner].chars += size
-        if any(self.nodes[at].tag == "a" for at in self.open):
+        if self.depths["a"]:
             self.nodes[owner].linked += size
 
 
@@ -185,7 +192,12 @@ def seen(nodes: list[Node]) -> list[list[str]]:
     for at, node in enumerate(nodes):
         share = linked[at] / chars[at] if chars[at] else 0
         size = min(5, int(math.log10(chars[at] + 1) * 2)) if chars[at] else -1
-        here = [f"tag={node.tag}", f"links={min(3, int(share * 4))}", f"size={size}"]
+        own = min(5, int(math.log10(node.chars + 1) * 2))
+        here = [f"links={min(3, int(share * 4))}", f"size={size}", f"own={own}"]
+        if node.tag not in INLINE:  # what an inline element holds is seen at the one around it
+            here += [f"tag={node.tag}", f"place={node.tag}<{nodes[node.parent].tag if at else ''}"]
+        else:
+            here = []
         above = nodes[node.parent].words if at else ()
         out.append(here + [f"word={word}" for word in sorted(set(node.words))] + [f"under={word}" for word in sorted(set(above))])
     return out
@@ -204,9 +216,11 @@ class Model:
         own = []
         for sights in seen(nodes):
             pair = [0.0, 0.0]
+            placed = any(sight.startswith("place=") and sight in self.sights for sight in sights)
             for sight in sights:
                 known = self.sights.get(sight)
-                if known:
+                # the tag says no more than the pair of tags
+                if known and not (placed and sight.startswith("tag=")):
                     pair[0] += known[0]
                     pair[1] += known[1]
             own.append(pair)
@@ -278,6 +292,7 @@ def main_text(html: str | None, model: Model) -> str:
     return "\n".join(block for block in blocks if block)
 
 
+@carries_columns
 def extract(pages: DataFrame, model: Model | None = None, keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of ``pages`` (all, if not given) beside the page's main text.
 

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.columns import carries_columns
 from tidemark.llm.quality import held_out
 from tidemark.llm.text import as_bytes, raw, slices
 
@@ -131,7 +132,7 @@ def grow(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Trees:
             np.add.at(own, np.searchsorted(every, gram & mask), n)
             total = np.bincount(context[known], own[known], len(above))
             kinds = np.bincount(context[known], own[known] > 0, len(above))
-            escape[:, at] = np.where(total > 0, np.log2((total + kinds) / np.maximum(kinds, 1)), 0)
+            escape[:, at] = np.where(total > 0, np.log2(np.maximum(total + kinds, 1) / np.maximum(kinds, 1)), 0)
             shorter = np.full(len(every), 8.0 + (0 if level else escape[0, at]))
             if level:
                 shorter = escape[context, at] * known + costs[level - 1][
@@ -163,6 +164,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Trees:
     return grow(counts) if counts else Trees([], [], [], [])
 
 
+@carries_columns
 def identify(docs: DataFrame, trees: Trees, keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of ``docs`` (all, if not given) beside lang_pred and score, the language's posterior share.
 

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.columns import carries_columns
 from tidemark.llm.rules import bound
 
 #: Words of a licence text: letters and digits of ASCII, and all else beyond ASCII.
@@ -124,6 +125,7 @@ def rarity_order(docs: DataFrame) -> list[str]:
     return sorted(LEXICON, key=lambda word: (df.get(word, 0), word))
 
 
+@carries_columns
 def scan(docs: DataFrame) -> DataFrame:
     """All columns of ``docs`` (doc_id, text) beside what the scan finds.
 

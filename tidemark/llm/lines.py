@@ -19,6 +19,7 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.columns import carries_columns
 from tidemark.llm.rules import bound
 from tidemark.llm.store import written
 
@@ -173,6 +174,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     return found.where("near or own > place").select("doc_id", "text_hash", "number").distinct()
 
 
+@carries_columns
 def dedup(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with the text's later matches removed, beside n_lines and n_removed.
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.columns import carries_columns
 from tidemark.llm.text import WORD
 
 #: Documents that one range of keys holds on average.
@@ -112,6 +113,7 @@ def mix(
     return each.select("doc_id", "source", "key", "size", "source_size", "target", taken, "copy")
 
 
+@carries_columns
 def mixed_documents(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The mix itself: each document as often as it is taken, at the cut only its first words.
 

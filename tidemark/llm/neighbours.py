@@ -37,7 +37,7 @@ EF = 160
 BLOCK = 512
 
 INDEX = (
-    "dims int, shard int, vectors binary, owner binary, ids binary, "
+    "dims int, shard int, vectors binary, width int, owner binary, ids binary, "
     "levels array<struct<nodes:binary,links:binary>>"
 )
 HITS = "query_id long, vec_id long, score double"
@@ -185,14 +185,16 @@ def build_shard(table: pa.Table) -> pa.Table:
     rows = table["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
     ids = table["vec_id"].to_numpy()
     order = np.argsort(ids, kind="stable")  # the order of arrival may differ in a second attempt
-    rows, ids = np.ascontiguousarray(rows[order], np.float32), ids[order]
+    rows, ids = np.ascontiguousarray(rows[order]), ids[order]
     vectors, owner = np.unique(rows, axis=0, return_inverse=True)
-    levels = build_graph(vectors, int(shard))
+    with np.errstate(over="ignore"):
+        levels = build_graph(vectors.astype(np.float32), int(shard))
     return pa.table(
         {
             "dims": pa.array([dims], pa.int32()),
             "shard": pa.array([shard], pa.int32()),
             "vectors": pa.array([vectors.tobytes()], pa.binary()),
+            "width": pa.array([vectors.dtype.itemsize], pa.int32()),
             "owner": pa.array([owner.astype(np.int32).tobytes()], pa.binary()),
             "ids": pa.array([ids.astype(np.int64).tobytes()], pa.binary()),
             "levels": pa.array(
@@ -204,12 +206,17 @@ def build_shard(table: pa.Table) -> pa.Table:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """Distinct (vec_id, embedding) that take part: no null, zero or non-finite vectors, no null ids."""
+    """Distinct (vec_id, embedding) that take part: no null, zero or non-finite vectors, no null ids.
+
+    Vectors of floats stay so, all others are taken in double precision.
+    """
     values = F.col("embedding")
     finite = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists(values, lambda x: x != 0)
     rows = vectors.where(F.col("vec_id").isNotNull() & values.isNotNull() & finite & some)
-    return rows.select(F.col("vec_id").cast("long"), values.cast("array<float>").alias("embedding")).distinct()
+    single = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
+    kind = "array<float>" if single else "array<double>"
+    return rows.select(F.col("vec_id").cast("long"), values.cast(kind).alias("embedding")).distinct()
 
 
 def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -227,18 +234,20 @@ def search_shards(k: int, ef: int):
             for row in range(batch.num_rows):
                 get = {name: batch.column(name)[row].as_py() for name in batch.schema.names}
                 dims = get["dims"]
-                vectors = np.frombuffer(get["vectors"], np.float32).reshape(-1, dims)
+                vectors = np.frombuffer(get["vectors"], f"<f{get['width']}").reshape(-1, dims)
                 ids = np.frombuffer(get["ids"], np.int64)
                 owner = np.frombuffer(get["owner"], np.int32)
                 levels = [
                     (np.frombuffer(x["nodes"], np.int32), np.frombuffer(x["links"], np.int32)) for x in get["levels"]
                 ]
-                graph = Graph(vectors, [(nodes, links.reshape(len(nodes), -1)) for nodes, links in levels])
+                with np.errstate(over="ignore"):
+                    single = vectors.astype(np.float32, copy=False)
+                graph = Graph(single, [(nodes, links.reshape(len(nodes), -1)) for nodes, links in levels])
                 members = np.argsort(owner, kind="stable")
                 starts = np.searchsorted(owner[members], np.arange(len(vectors) + 1))
                 out: list[tuple[int, int, float]] = []
                 for query in get["queries"]:
-                    out += hits_of(graph, query, ids, members, starts, k, ef)
+                    out += hits_of(graph, vectors, query, ids, members, starts, k, ef)
                 query_id, vec_id, score = zip(*out) if out else ((), (), ())
                 yield pa.record_batch(
                     [pa.array(query_id, pa.int64()), pa.array(vec_id, pa.int64()), pa.array(score, pa.float64())],
@@ -248,11 +257,11 @@ def search_shards(k: int, ef: int):
     return searched
 
 
-def hits_of(graph: Graph, query: dict, ids, members, starts, k: int, ef: int) -> list[tuple[int, int, float]]:
-    """The query's ``k`` nearest of one shard, by exact distances in double precision."""
+def hits_of(graph: Graph, vectors, query: dict, ids, members, starts, k: int, ef: int) -> list[tuple[int, int, float]]:
+    """The query's ``k`` nearest of one shard, by exact distances of the original vectors in double precision."""
     point = np.array(query["embedding"], np.float64)
     nodes = np.array(graph.search(point.astype(np.float32), ef))
-    gap = graph.vectors[nodes].astype(np.float64) - point
+    gap = vectors[nodes].astype(np.float64) - point
     distance = np.sqrt((gap * gap).sum(1))
     best = []
     for at in np.argsort(distance, kind="stable"):

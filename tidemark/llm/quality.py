@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.columns import carries_columns
 from tidemark.llm.text import as_bytes, hash_spans, mix64, raw, slices
 
 BITS = 18
@@ -134,6 +135,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     return weights
 
 
+@carries_columns
 def score(
     docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD, keep: list[str] | None = None
 ) -> DataFrame:

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.columns import carries_columns
 from tidemark.llm.text import WORD
 
 
@@ -111,6 +112,7 @@ def repeat_words(words: Column, size: int = 3) -> Column:
     return F.when(F.size(words) > size, measured(run)).otherwise(F.lit(0).cast("long"))
 
 
+@carries_columns
 def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """All columns of ``docs`` (doc_id, text) beside the measures, base_failed and kept.
 
