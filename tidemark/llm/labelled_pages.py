@@ -49,7 +49,41 @@ PAGES = (
     HEAD + "<nav>" + LINKS + '</nav><article data-main="1"><h1>{s}</h1><p>{s}</p></article><footer>{s}</footer></body></html>',
     HEAD + '<div class="ad">{l}</div><article data-main="1"><p>{s}</p></article><div class="advertisement">{m}</div><footer>{m}</footer></body></html>',
     HEAD + '<article data-main="1">{m}<p>{m}</p>{s}</article><dialog class="consent modal"><p>{m}</p></dialog></body></html>',
+    # a site's own header, with a heading that is none of the article's
+    HEAD + "<header><h1>{s}</h1></header><article data-main=\"1\"><h1>{s}</h1><p>{l}</p><p>{m}</p></article><footer><p>{s}</p></footer></body></html>",
+    HEAD + '<header><h1><a href="/">{s}</a></h1><p>{s}</p></header><nav>' + LINKS + '</nav><main data-main="1"><article><header><h1>{s}</h1></header><p>{l}</p><p>{l}</p></article></main></body></html>',
+    HEAD + '<header class="masthead"><h1>{s}</h1><p>{m}</p></header><div class="entry" data-main="1"><h2>{s}</h2><p>{l}</p><p>{l}</p></div><footer><p>{m}</p></footer></body></html>',
+    # divisions without names
+    HEAD + "<div>" + LINKS + '</div><div data-main="1"><h1>{s}</h1><p>{l}</p><p>{l}</p><p>{m}</p></div><div>' + LINKS + "</div></body></html>",
+    HEAD + '<div data-main="1"><p>{l}</p><p>{l}</p></div></body></html>',
+    HEAD + '<div><div><a href="/">{s}</a></div><div data-main="1"><p>{l}</p><p>{m}</p><p>{l}</p></div><div><a href="/">{s}</a> <a href="/x">{s}</a></div></div></body></html>',
+    HEAD + '<table><tr><td>' + LINKS + '</td><td data-main="1"><h1>{s}</h1><p>{l}</p><p>{l}</p></td></tr></table></body></html>',
+    # an encyclopedia
+    HEAD + '<div id="mw-head" class="noprint">' + LINKS + '</div><div id="content" class="mw-body"><h1 id="firstHeading" data-main="1">{s}</h1><div id="bodyContent"><div class="mw-parser-output" data-main="1">'
+    '<table class="infobox"><tr><th>{s}</th><td>{s}</td></tr></table><p>{l}</p><h2>{s}</h2><p>{l}</p><ul><li><a href="/w">{s}</a> {m}</li><li>{m}</li></ul></div></div></div>'
+    '<div id="catlinks">' + LINKS + '</div><div id="footer"><p>{s}</p></div></body></html>',
+    HEAD + '<div id="siteSub">{s}</div><div class="mw-parser-output" data-main="1"><p>{l}</p><p>{m}</p><h3>{s}</h3><p>{l}</p></div><div class="printfooter">{s}</div></body></html>',
+    # lists, of links too
+    HEAD + "<nav>" + LINKS + '</nav><article data-main="1"><h1>{s}</h1><ol><li><a href="/1">{m}</a></li><li><a href="/2">{m}</a></li><li><a href="/3">{m}</a></li></ol></article><footer>{s}</footer></body></html>',
+    HEAD + '<main data-main="1"><h1>{s}</h1><ul>' + 24 * '<li><a href="/1">{m}</a></li>' + "</ul></main></body></html>",
+    HEAD + '<div id="nav">' + LINKS + '</div><div class="content" data-main="1"><h1>{s}</h1><ul>' + 24 * '<li><a href="/1">{s}</a></li>' + "</ul><p>{s}</p></div><footer>{s}</footer></body></html>",
+    HEAD + '<article data-main="1"><h2>{s}</h2><p>{m}</p><ul>' + 24 * '<li><a href="/1">{m}</a></li>' + "</ul></article><aside>" + LINKS + "</aside></body></html>",
+    HEAD + '<main data-main="1"><h1>{s}</h1><p>{m}</p><ul><li><a href="/1">{m}</a> {m}</li><li><a href="/2">{m}</a> {m}</li></ul><ul><li>{m}</li><li>{m}</li></ul></main><aside>' + LINKS + "</aside></body></html>",
+    HEAD + '<article data-main="1"><h1>{s}</h1><table><tr><th>{s}</th><th>{s}</th></tr><tr><td>{s}</td><td>{m}</td></tr><tr><td>{s}</td><td>{m}</td></tr></table><p>{m}</p></article></body></html>',
+    # reader comments under other names
+    HEAD + '<article data-main="1"><h1>{s}</h1><p>{l}</p><p>{l}</p></article><div id="respond" class="comment-respond"><h3>{s}</h3><p>{m}</p></div><ol class="commentlist"><li class="comment"><p>{m}</p></li></ol></body></html>',
+    HEAD + '<div class="post" data-main="1"><h2>{s}</h2><p>{l}</p><p>{m}</p></div><div id="respond"><p>{m}</p><p>{l}</p></div><div id="disqus_thread"><p>{m}</p></div></body></html>',
+    HEAD + '<main data-main="1"><p>{l}</p><p>{l}</p></main><section class="responses replies"><div class="response reply"><p>{l}</p></div><div class="discussion"><p>{m}</p></div></section><div class="feedback reactions"><p>{m}</p></div></body></html>',
+    '<html><body data-main="0"><div data-main="1"><p>{l}</p><p>{l}</p></div></body></html>',
+    '<html><body data-main="0"><div data-main="1"><p>{l}</p><p>{l}</p><p>{l}</p><p>{l}</p></div><div><p>{s}</p></div></body></html>',
+    '<html><body data-main="0"><div><a href="/">{s}</a></div><div data-main="1"><h1>{s}</h1><p>{l}</p><p>{l}</p><p>{m}</p><p>{l}</p></div></body></html>',
+    # the first post of a thread
+    HEAD + '<div class="board">' + LINKS + '</div><div class="topic thread" data-main="1"><h1>{s}</h1><div class="message post"><p>{l}</p><p>{l}</p></div></div><div class="replies" data-main="0"><div class="reply"><p>{l}</p></div></div></body></html>',
+    HEAD + '<div><div data-main="1"><h2>{s}</h2><div><p>{l}</p><p>{m}</p></div></div><div class="answers replies"><div><p>{m}</p></div></div></div></body></html>',
     # no structure but paragraphs
+    '<html><body data-main="1"><p>{m}</p></body></html>',
+    '<html><body data-main="1"><p>{l}</p></body></html>',
+    '<html><head><title>{s}</title></head><body data-main="1"><h1>{s}</h1><p>{m}</p></body></html>',
     "<html><body data-main=\"1\"><h1>{s}</h1><p>{l}</p><p>{m}</p><p>{l}</p></body></html>",
     "<html><body data-main=\"0\"><p data-main=\"1\">{l}</p><p data-main=\"1\">{m}</p><div class=\"footer\">{s}</div></body></html>",
 )
