@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from tidemark.llm import chat
+from tidemark.llm.rules import RULES, STOP_WORDS, Rule
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -55,6 +58,40 @@ SELECT d.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles, min(r.other)
 FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN reach r ON r.node = d.doc_id GROUP BY d.doc_id
 """
 
+_BLANK = r"[\x20\x09\x0B-\x0D]"
+
+
+def _checks(rules: tuple[Rule, ...]) -> str:
+    """The threshold table as a condition over the measures."""
+    parts = []
+    for rule in rules:
+        measure = re.sub(r"try_divide\((.*), (\w+)\)", r"((\1)::DOUBLE / nullif(\2, 0))", rule.measure)
+        bounds = [f"{measure} >= {rule.least}"] * (rule.least is not None) + [f"{measure} <= {rule.most}"] * (rule.most is not None)
+        parts += [f"coalesce({bound}, false)" for bound in bounds]
+    return " AND ".join(parts)
+
+
+OP4 = rf"""
+WITH texts AS (
+  SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '{_WORD}')) AS lines FROM documents),
+runs AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS run FROM texts, unnest(range(1, len(w) - 1)) AS t(i)),
+twice AS (SELECT r, run FROM runs GROUP BY ALL HAVING count(*) > 1),
+places AS (SELECT DISTINCT r, i + k AS place FROM runs JOIN twice USING (r, run), (SELECT unnest([0, 1, 2]) AS k)),
+repeats AS (SELECT r, count(*) AS n FROM places GROUP BY r),
+measures AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, len(regexp_replace(text, '[ 	-]+', '', 'g'))::BIGINT AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(lines) AS n_lines,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(repeats.n, 0)::BIGINT AS n_repeat_words,
+    len(list_intersect(list_transform(w, lambda x: lower(x)), {list(STOP_WORDS)})) AS n_stop_words,
+    len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_alpha_words,
+    len(list_filter(lines, lambda l: regexp_matches(l, '(\.\.\.|…){_BLANK}*$'))) AS n_ellipsis_lines,
+    len(list_filter(lines, lambda l: regexp_matches(l, '^{_BLANK}*[•‣*-][ 	]'))) AS n_bullet_lines
+  FROM texts LEFT JOIN repeats USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  NOT ({_checks(tuple(rule for rule in RULES if rule.base))}) AS base_failed, {_checks(RULES)} AS kept FROM measures
+"""
+
 OP7 = rf"""
 WITH split AS (
   SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS number
@@ -104,4 +141,4 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM placed GROUP BY conv_id
 """
 
-ORACLES = {"op1_mixing": OP1, "op3_ngram_join": OP3, "op7_line_dedup": OP7, "op12_chat_format": OP12}
+ORACLES = {"op1_mixing": OP1, "op3_ngram_join": OP3, "op4_quality_rules": OP4, "op7_line_dedup": OP7, "op12_chat_format": OP12}
