@@ -16,10 +16,12 @@ most and the longer side indexes the next smaller ``g`` as well.
 
 Candidates of a key are not paired with each other.  First every class of a key
 is verified against a few leaders of the key; what links is one component.
-Only classes of a key that are still in different components are then paired,
-block by block where their signatures lie together, and verified, so no link
-between components is lost and a large group of near copies costs a few
-comparisons per class.
+Those of crowded keys are compared with more leaders, which joins most of a
+group whose texts are barely alike.  Only classes of a key that are in different components after
+that are paired, block by block where their signatures lie together, and
+verified, so no link between components is lost and a large group of near
+copies costs a few comparisons per class.  Many keys have the very same classes
+(texts that share a passage share all its keys); one of them stands for all.
 """
 
 from __future__ import annotations
@@ -31,9 +33,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.columns import carries_columns
 from tidemark.llm.components import components
 from tidemark.llm.store import written
-from tidemark.llm.text import WORD, as_bytes, hash_words, mix64, ngrams, raw, slices
+from tidemark.llm.text import WORD, as_bytes, give_back, hash_words, mix64, ngrams, raw, slices, trimmed
 
 SIZE = 5
 #: Similarity in hundredths.
@@ -50,6 +53,12 @@ HELD = 1 << 22
 PART_ENTRIES = 2_000_000
 #: Leaders that a key's classes are first compared with.
 LEADERS = 3
+#: Classes of a key from which they are compared with more leaders,
+CROWD = 64
+#: which are so many times the first ones.
+TURNS = 8
+#: The least keys of a class, by which classes that share many keys are paired in one of them only.
+OWN_KEYS = 8
 #: Classes of a key that are paired with each other, or with another block, in one piece.
 BLOCK = 512
 #: Bytes of classes to be paired that one task reads on average.
@@ -262,7 +271,7 @@ def index_entries(parts: int, order):
         if held:
             yield entry_batch(held, parts)
 
-    return entries
+    return lambda batches: trimmed(entries(batches))
 
 
 def shared_keys(table: pa.Table) -> pa.Table:
@@ -278,6 +287,8 @@ def shared_keys(table: pa.Table) -> pa.Table:
     kept = more | passed
     kept[1:] |= same
     kept[:-1] |= same
+    del table, places
+    give_back()
     return pa.table({"key": pa.array(keys[kept].view(np.int64)), "class": pa.array(classes[kept])})
 
 
@@ -313,7 +324,7 @@ def sets_in(shared):
                 number, tokens = zip(*rows)
                 yield pa.record_batch([pa.array(number, pa.int64()), pa.array(tokens, pa.binary())], ["class", "tokens"])
 
-    return sets
+    return lambda batches: trimmed(sets(batches))
 
 
 def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,9 +340,19 @@ def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).take(pa.array(links, pa.int64()))
 
 
-def token_sets(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(class, tokens) of the classes in ``pairs``."""
-    needed = written(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "needed")
+def classes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("class"))
+
+
+def crowds(members: DataFrame) -> DataFrame:
+    """Classes of keys that many classes have."""
+    many = members.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") >= CROWD)
+    return members.join(many, "key", "left_semi").select("class")
+
+
+def token_sets(texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """(class, tokens) of some classes."""
+    needed = written(classes.distinct(), "needed")
     shared = texts.sparkSession.sparkContext.broadcast(needed_filter(needed, needed.count()))
     found = texts.select("text").mapInArrow(sets_in(shared), "class long, tokens binary")
     return written(found.join(needed, "class", "left_semi").dropDuplicates(["class"]), "sets")
@@ -365,14 +386,39 @@ def possible(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     return joined.select("a", "b", "x", "n_a", "y", "n_b").mapInArrow(plausible, "a long, b long")
 
 
-def leader_pairs(members: DataFrame) -> DataFrame:
-    """Every class of a key with the key's leader; keys choose among a few orders of the classes."""
-    turn = F.xxhash64(F.col("class"), F.pmod("key", F.lit(LEADERS)))
+def leader_pairs(members: DataFrame, turn: int = 0) -> DataFrame:
+    """Every class of a key with the key's leader; keys choose among a few orders of the classes, others in each turn."""
+    turn = F.xxhash64(F.col("class"), F.pmod("key", F.lit(LEADERS)) + LEADERS * turn)
     leaders = members.groupBy("key").agg(F.min(F.struct(turn, "class"))["class"].alias("leader"))
     pairs = members.join(leaders, "key").where("class != leader")
     return pairs.selectExpr("least(class, leader) as a", "greatest(class, leader) as b").distinct()
 
 
+def rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, class, root) of keys whose classes are in different components; of keys with the same classes one."""
+    known = roots.selectExpr("node as class", "root")
+    placed = members.distinct().join(known, "class", "left").selectExpr("key", "class", "coalesce(root, class) as root")
+    # two hashes of the set of classes, 128 bits and their number
+    same = [F.bit_xor(F.xxhash64("class")).alias("one"), F.bit_xor(F.xxhash64(F.lit("other"), "class")).alias("two")]
+    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m"), *same)
+    kept = mixed.where("low != high").groupBy("m", "one", "two").agg(F.min("key").alias("key")).select("key", "m")
+    return placed.join(kept, "key")
+
+
+def further_links(members: DataFrame, links: DataFrame, tried: DataFrame, sizes: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links after comparing the classes of crowded keys with more leaders, and all pairs that were tried."""
+    crowd = rooted(members, components(links)).where(F.col("m") >= CROWD)
+    crowd = written(crowd.join(sets.select("class"), "class", "left_semi"), "crowds")
+    root = crowd.select("class", "root").distinct()
+    pairs = leader_pairs(crowd, 1)
+    for turn in range(2, TURNS + 1):
+        pairs = pairs.union(leader_pairs(crowd, turn))
+    pairs = pairs.distinct().join(tried, ["a", "b"], "left_anti")
+    apart = pairs.join(root.selectExpr("class as a", "root as root_a"), "a").join(root.selectExpr("class as b", "root as root_b"), "b")
+    more = written(possible(apart.where("root_a != root_b").select("a", "b"), sizes), "more")
+    return links.union(written(verified(more, sets), "links")), tried.union(more)
+
+
 def folded(bits: list[bytes], width: int) -> np.ndarray:
     """Signatures of at least ``width`` bytes, a multiple of 8, as rows of that width; shorter ones stay empty."""
     out = np.zeros((len(bits), width), np.uint8)
@@ -408,12 +454,14 @@ def tile_pairs(n: np.ndarray, root: np.ndarray, side: np.ndarray, bits: list[byt
 
 
 def tiles_paired(table: pa.Table) -> pa.Table:
-    """The possible pairs (a, b) of all tiles of a part, each once."""
+    """The possible pairs (a, b) of all tiles of a part, most of them in one tile of all that hold them."""
     names = ("key", "low", "high", "side", "class", "root", "n")
     key, low, high, side, number, root, n = (table[name].to_numpy().astype(np.int64) for name in names)
     order = np.lexsort((side, high, low, key))
     key, low, high, side, number, root, n = (x[order] for x in (key, low, high, side, number, root, n))
     bits = table["bits"].take(pa.array(order)).to_pylist()
+    lists = table["keys"].combine_chunks().take(pa.array(order))
+    keys = np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1])
     new = (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
     edges = [0, *(np.flatnonzero(new) + 1).tolist(), len(key)]
     found = []
@@ -422,6 +470,10 @@ def tiles_paired(table: pa.Table) -> pa.Table:
             continue  # nothing on the other side
         here = slice(first, last)
         one, other = tile_pairs(n[here], root[here], side[here], bits[here])
+        # a pair belongs to the least key that both name; if they name none, to all that they share
+        shared = (np.intersect1d(keys[first + a], keys[first + b], assume_unique=True) for a, b in zip(one.tolist(), other.tolist()))
+        own = np.array([not len(both) or both[0] == key[first] for both in shared], bool)
+        one, other = one[own], other[own]
         if len(one):
             both = np.stack([number[here][one], number[here][other]])
             found.append(np.sort(both, axis=0))
@@ -433,24 +485,25 @@ def rest_pairs(members: DataFrame, roots: DataFrame, sizes: DataFrame) -> DataFr
     """Classes that share a key, are in different components and whose sizes and signatures allow the similarity.
 
     A key's classes are dealt into blocks; every two blocks are a tile, and so
-    is every block with itself.  Classes travel with their signature, once for
-    each tile, and only pairs that pass leave the task that holds a tile.
+    is every block with itself.  Classes travel with their signature and their
+    least keys, once for each tile, and only pairs that pass leave the task that
+    holds a tile, mostly one time for all keys that they share.
     """
-    known = roots.selectExpr("node as class", "root")
-    placed = members.join(known, "class", "left").selectExpr("key", "class", "coalesce(root, class) as root")
-    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m"))
-    mixed = mixed.where("low != high").selectExpr("key", f"int(ceil(m / {BLOCK})) as blocks")
     signed = sizes.select("class", "n", "bits")
-    placed = written(placed.join(mixed, "key").join(signed.select("class", "n"), "class"), "mixed")
+    blocks = F.expr(f"int(ceil(m / {BLOCK}))").alias("blocks")
+    placed = rooted(members, roots).select("key", "class", "root", blocks)
+    placed = written(placed.join(signed.select("class", "n"), "class"), "mixed")
+    own = placed.groupBy("class").agg(F.slice(F.sort_array(F.collect_list("key")), 1, OWN_KEYS).alias("keys"))
+    signed = written(signed.join(own, "class"), "signed")
     # a signature has n bytes at most
-    volume = placed.agg(F.sum(F.col("blocks") * (F.col("n") + 64))).first()[0] or 0
+    volume = placed.agg(F.sum(F.col("blocks") * (F.col("n") + 64 + 8 * OWN_KEYS))).first()[0] or 0
     parts = max(1, -(-int(volume) // TILE_BYTES))
     side = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
-    tiles = placed.join(signed.select("class", "bits"), "class").withColumn("side", side)
+    tiles = placed.join(signed.select("class", "bits", "keys"), "class").withColumn("side", side)
     tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tiles = tiles.withColumns({"low": F.least("side", "other"), "high": F.greatest("side", "other")})
     tiles = tiles.withColumn("part", F.pmod(F.xxhash64("key", "low", "high"), F.lit(parts)).cast("int"))
-    tiles = tiles.select("part", "key", "low", "high", "side", "class", "root", "n", "bits")
+    tiles = tiles.select("part", "key", "low", "high", "side", "class", "root", "n", "bits", "keys")
     return tiles.groupBy("part").applyInArrow(tiles_paired, "a long, b long").distinct()
 
 
@@ -464,7 +517,7 @@ def join(docs: DataFrame) -> DataFrame:
     that repeat a doc_id are separate texts; no rows give no rows.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), as_bytes().alias("text"))
-    stage = written(texts.mapInArrow(sketches, SKETCH), "sketches")
+    stage = written(texts.mapInArrow(lambda batches: trimmed(sketches(batches)), SKETCH), "sketches")
     rows = stage.where("tokens is null").select("doc_id", "text_hash", "class", "n")
     sizes = stage.where("n > 0").groupBy("class").agg(F.max("n").alias("n"), F.min("doc_id").alias("first"), F.max("bits").alias("bits"))
     sizes = written(sizes, "sizes")
@@ -486,12 +539,15 @@ def class_links(texts: DataFrame, stage: DataFrame, sizes: DataFrame) -> DataFra
     entries = texts.select("text").mapInArrow(index_entries(parts, order), ENTRIES)
     members = written(entries.groupBy("part").applyInArrow(shared_keys, "key long, class long"), "members")
     first = written(possible(leader_pairs(members), sizes), "first")
-    links = written(verified(first, token_sets(texts, first)), "links")
-    rest = rest_pairs(members, components(links), sizes).join(first, ["a", "b"], "left_anti")
+    sets = token_sets(texts, classes_of(first).union(crowds(members)))
+    links = written(verified(first, sets), "links")
+    links, tried = further_links(members, links, first, sizes, sets)
+    rest = rest_pairs(members, components(links), sizes).join(tried, ["a", "b"], "left_anti")
     rest = written(rest, "rest")
-    return links.union(written(verified(rest, token_sets(texts, rest)), "links"))
+    return links.union(written(verified(rest, token_sets(texts, classes_of(rest))), "links"))
 
 
+@carries_columns
 def representatives(docs: DataFrame, joined: DataFrame) -> DataFrame:
     """The rows of ``docs`` of which each component keeps one: the smallest doc_id (null last), then the smallest hash of
     the text; of equal rows one.  Rows without words all stay."""
