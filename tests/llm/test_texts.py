@@ -295,7 +295,7 @@ def test_extraction_of_formulas(spark):
 def test_marginals_are_exact():
     model = html.train(html.labelled_pages())
     nodes = html.parse('<div class="content"><p>some text here</p><div class="ad"><p>x</p></div></div>').nodes
-    own = [[sum(model.sights.get(s, (0, 0))[k] for s in here) for k in (0, 1)] for here in html.seen(nodes)]
+    own = [model.evidence(here) for here in html.seen(nodes)]
     total, main = 0.0, [0.0] * len(nodes)
     for code in range(1 << len(nodes)):
         state = [code >> k & 1 for k in range(len(nodes))]

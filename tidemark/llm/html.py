@@ -1,9 +1,10 @@
 """Main text of web pages: a tree-structured graphical model over the DOM.
 
 Each element is main text or not.  Potentials connect an element's state to
-its parent's and to what can be seen of it: its tag, the words of its class
-and id and of its parent's, how much text it holds and how much of that is in links.  Messages go
-up from the leaves and down from the root (sum-product), which on a tree gives
+its parent's and to what can be seen of it: its tag and its parent's together,
+the words of its class and id and of its parent's, how much text it holds, how
+much of that directly and how much of it in links.  Messages go up from the
+leaves and down from the root (sum-product), which on a tree gives
 exact marginals.  The potentials are counted on labelled pages.  A page is
 parsed, judged and joined again in its own row.
 """
@@ -211,19 +212,20 @@ class Model:
     step: tuple[tuple[float, float], tuple[float, float]]
     sights: dict[str, tuple[float, float]]
 
+    def evidence(self, sights: list[str]) -> list[float]:
+        """What the sights of a node say for each state; the tag counts only where the pair of tags is not known."""
+        pair = [0.0, 0.0]
+        placed = any(sight.startswith("place=") and sight in self.sights for sight in sights)
+        for sight in sights:
+            known = self.sights.get(sight)
+            if known and not (placed and sight.startswith("tag=")):
+                pair[0] += known[0]
+                pair[1] += known[1]
+        return pair
+
     def marginals(self, nodes: list[Node]) -> list[float]:
         """Probability that each node is main text, by messages up and down the tree."""
-        own = []
-        for sights in seen(nodes):
-            pair = [0.0, 0.0]
-            placed = any(sight.startswith("place=") and sight in self.sights for sight in sights)
-            for sight in sights:
-                known = self.sights.get(sight)
-                # the tag says no more than the pair of tags
-                if known and not (placed and sight.startswith("tag=")):
-                    pair[0] += known[0]
-                    pair[1] += known[1]
-            own.append(pair)
+        own = [self.evidence(sights) for sights in seen(nodes)]
         up = [(0.0, 0.0)] * len(nodes)  # message of a node to its parent
         inside = own  # own sight and the messages from below
         step = self.step
