@@ -19,6 +19,9 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot key even where two joins in a row share one shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # rows written by table or tag go to one open file of each, without a sort of all rows before
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
+    "spark.sql.parquet.compression.codec": "zstd",
     # of a JSON name that is given twice the last value counts
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,

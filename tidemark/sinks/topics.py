@@ -20,6 +20,8 @@ from tidemark.sinks.loads import FolderStore
 from tidemark.streaming.runner import start_batches
 from tidemark.topics import Topic
 
+#: Lines of one file of a topic that is a folder.
+FILE_LINES = 1_000_000
 KEYED = StructType().add("key", StringType()).add("value", StringType())
 
 
@@ -35,7 +37,9 @@ def put_batch(rows: DataFrame, topic: Topic, batch: int = 0, load: str | None =
         return
     place = f"{topic.path}/{loads.LOAD}={loads.checked(load) if load else loads.fresh_load()}/{loads.BATCH}={batch}"
     if load is None or not loads.is_complete(rows.sparkSession, place):
-        rows.select("value").write.mode("overwrite").text(place)
+        # a compressed file is read by one task, so none becomes large
+        options = {"compression": "gzip", "maxRecordsPerFile": FILE_LINES}
+        rows.select("value").write.mode("overwrite").options(**options).text(place)
 
 
 def write_topic(rows: DataFrame, topic: Topic, checkpoint: str | None = None, **trigger) -> StreamingQuery | None:
