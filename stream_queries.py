@@ -130,8 +130,8 @@ def dim_order_loads(spark, sf):
     load(rows.filter(status == "1001"), load="placed")
     changed = rows.filter(status.isin("1002", "1003", "1005")).withColumn("at", F.col("ts").cast("double"))
     bounds = time_bounds(changed, "at", SPLITS)
-    write_splits(changed.drop("at"), split_of(F.col("ts").cast("double"), bounds), SPLITS, f"{folder}/in")
-    stream = read_splits(spark, f"{folder}/in", rows.schema)
+    files = write_splits(changed.drop("at"), split_of(F.col("ts").cast("double"), bounds), SPLITS, f"{folder}/in")
+    stream = read_splits(spark, f"{folder}/in", rows.schema, files)
     query = dim.dim_sink(
         stream, routes, database, f"{folder}/dims", order=_order(), checkpoint=f"{folder}/cp", availableNow=True
     )
@@ -174,11 +174,11 @@ def dim_live_routes(spark, sf):
     rows = _order_info(spark, sf)
     # each version arrives no later than the changes that it is for
     days = F.array_compact(F.array(*[F.when(F.col("ts").cast("bigint") >= F.unix_timestamp(F.lit(day), "yyyy-MM-dd"), 1) for day in ROUTE_DAYS]))
-    write_splits(rows, F.size(days), SPLITS, f"{folder}/in")
+    files = write_splits(rows, F.size(days), SPLITS, f"{folder}/in")
     _route_lines(spark, f"{folder}/routes")
     envelopes = read_debezium(read_splits(spark, f"{folder}/routes", src.TEXT))
     query = dim.live_dim_sink(
-        envelopes, read_splits(spark, f"{folder}/in", rows.schema), database, f"{folder}/dims", on_missing="replay",
+        envelopes, read_splits(spark, f"{folder}/in", rows.schema, files), database, f"{folder}/dims", on_missing="replay",
         wait_for=["order_info"], order=_order(), checkpoint=f"{folder}/cp", availableNow=True,
     )
     query.awaitTermination()
@@ -203,9 +203,9 @@ def _batched_join(how: str) -> q.Query:
         streams = []
         for name, rows, alone in (("left", clicks, -1), ("right", purchases, -2)):
             split_at = split_of(F.unix_micros("pt").cast("double"), bounds)
-            write_splits(rows, split_at, SPLITS, f"{folder}/{name}")
-            write_splits(_later(rows, "id", alone, "pt", last), F.lit(0), 1, f"{folder}/{name}")
-            streams.append(read_splits(spark, f"{folder}/{name}", rows.schema))
+            files = write_splits(rows, split_at, SPLITS, f"{folder}/{name}")
+            write_splits(_later(rows, "id", alone, "pt", last), F.lit(0), 1, f"{folder}/{name}", files)
+            streams.append(read_splits(spark, f"{folder}/{name}", rows.schema, files))
         joined = ttl_join(*streams, [("id", "id")], how, ttl="1 hour")
         rows = played(joined.select("id", "click_id", "purchase_id", F.unix_millis("pt").alias("pt_ms")), folder)
         return rows.filter("id >= 0")
@@ -220,13 +220,13 @@ def user_jump_batches(spark, sf):
     pages = q._pages(spark, sf)
     shaken = (F.col("ts") + F.pmod(F.xxhash64("seq"), F.lit(1000))).cast("double")
     bounds = time_bounds(pages.select(F.col("ts").cast("double").alias("at")), "at", SPLITS)
-    write_splits(pages.orderBy(F.xxhash64("seq")), split_of(shaken, bounds), SPLITS, f"{folder}/in")
+    files = write_splits(pages.orderBy(F.xxhash64("seq")), split_of(shaken, bounds), SPLITS, f"{folder}/in")
     last = pages.agg(F.max("ts")).first()[0] + 2 * 86_400_000
     # a device of its own that opens no session
     other = F.col("common").withField("mid", F.lit("later")), F.col("page").withField("last_page_id", F.lit("home"))
     late = pages.limit(1).withColumns({"common": other[0], "page": other[1], "ts": F.lit(last)})
-    write_splits(late, F.lit(0), 1, f"{folder}/in")
-    found = played(traffic.user_jump(read_splits(spark, f"{folder}/in", pages.schema), q.JUMP_LIMIT), folder)
+    write_splits(late, F.lit(0), 1, f"{folder}/in", files)
+    found = played(traffic.user_jump(read_splits(spark, f"{folder}/in", pages.schema, files), q.JUMP_LIMIT), folder)
     return q._flat_page(found)
 
 
@@ -241,8 +241,8 @@ def first_wins_batches(spark, sf):
     folder = _folder(spark)
     rows = q._order_detail(spark, sf).select("id", *q.LINE_ORDER)
     ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("id").orderBy(*q.LINE_ORDER)))
-    write_splits(ranked, _adjacent("id", F.col("_rank") > 1), SPLITS, f"{folder}/in")
-    stream = read_splits(spark, f"{folder}/in", rows.schema)
+    files = write_splits(ranked, _adjacent("id", F.col("_rank") > 1), SPLITS, f"{folder}/in")
+    stream = read_splits(spark, f"{folder}/in", rows.schema, files)
     found = played(firsts.first_wins(stream, ["id"], q.LINE_ORDER, WAIT), folder, run=run_clocked, drain=False)
     return found.select("id", *q.LINE_ORDER[1:])
 
@@ -252,8 +252,8 @@ def latest_wins_batches(spark, sf):
     folder = _folder(spark)
     names = ["order_detail_id", "user_id", "callback_time", "sku_id", "sku_num", "order_price"]
     rows = q._pay_detail(spark, sf).select(*names, "row_op_ts")
-    write_splits(rows, _adjacent("order_detail_id", F.xxhash64(*rows.columns) % 2 == 0), SPLITS, f"{folder}/in")
-    stream = read_splits(spark, f"{folder}/in", rows.schema)
+    files = write_splits(rows, _adjacent("order_detail_id", F.xxhash64(*rows.columns) % 2 == 0), SPLITS, f"{folder}/in")
+    stream = read_splits(spark, f"{folder}/in", rows.schema, files)
     latest = firsts.latest_wins(stream, ["order_detail_id"], "row_op_ts", ["sku_id", "sku_num", "order_price"], WAIT)
     return played(latest, folder, run=run_clocked).select(*names)
 

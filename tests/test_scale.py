@@ -7,9 +7,12 @@ import pathlib
 from pyspark.sql import functions as F
 
 from tidemark import topics as t
+from tidemark.operators import firsts
 from tidemark.session import prepare
 from tidemark.sinks import loads, split, topics as out
 from tidemark.sources import replay, topics as src
+from tidemark.streaming import stateful
+from tidemark.streaming.runner import run_available
 from tidemark.topics import Topic
 
 
@@ -59,3 +62,22 @@ def test_rows_of_splits_are_computed_once(spark, folder):
     assert replay.write_splits(rows, (F.col("id") % 5).cast("int"), 5, f"{folder}/in") == 1
     assert seen.value == 100
     assert spark.read.parquet(f"{folder}/in").count() == 100
+
+
+def test_keys_of_a_bucket_share_a_state(spark, folder, monkeypatch):
+    monkeypatch.setattr(stateful, "BUCKETS", 4)
+    # two rows of each key in each of two batches, a null key too, and keys that are new in the second one
+    ids = F.when(F.col("id") % 50 > 0, F.concat(F.lit('k"ü'), (F.col("id") % 50 + 20 * F.col("batch")).cast("string")))
+    rows = spark.range(100).crossJoin(spark.range(2).select(F.col("id").alias("batch")))
+    rows = rows.select(ids.alias("key"), (-F.col("id")).alias("at"), "batch")
+    replay.write_splits(rows, F.col("batch"), 2, f"{folder}/in")
+    stream = replay.read_splits(spark, f"{folder}/in", rows.schema)
+    found = firsts.first_wins(stream, ["key"], ["at"], "1 hour")
+    given = []
+    query = run_available(found, lambda batch, number: given.extend(map(tuple, batch.collect())), "b", f"{folder}/cp", idle_batches=False)
+    first = {(row.key): row.at for row in rows.filter("batch = 0").groupBy("key").agg(F.min("at").alias("at")).collect()}
+    later = rows.filter("batch = 1").groupBy("key").agg(F.min("at").alias("at")).collect()
+    expected = [(key, at, 0) for key, at in first.items()] + [(row.key, row.at, 1) for row in later if row.key not in first]
+    assert sorted(given, key=repr) == sorted(expected, key=repr)
+    # 70 keys
+    assert query.lastProgress.stateOperators[0].numRowsTotal <= 3 * 4

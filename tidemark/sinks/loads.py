@@ -148,6 +148,12 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return files.exists(mark)
 
 
+def file_sizes(spark: SparkSession, path: str) -> list[int]:
+    """Bytes of the data files of a folder, none if it is not there."""
+    place, files = _file_system(spark, f"{path}/part-*")
+    return [status.getLen() for status in files.globStatus(place) or []]
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever file system it is."""
     place, files = _file_system(spark, path)

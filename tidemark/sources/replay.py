@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import time
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructType
 
+from tidemark.sinks.loads import file_sizes, remove_folder
 from tidemark.streaming.runner import run_available
 
 #: A stream reads files in the order of their times, which are kept in milliseconds.
 APART = 0.01
+#: Bytes of a split that one file holds, and so one task writes and one reads.
+FILE_BYTES = 32 << 20
 
 
 def time_bounds(rows: DataFrame, at: str, splits: int) -> list[float]:
@@ -27,18 +31,37 @@ def split_of(at: Column | str, bounds: list[float]) -> Column:
     return passed
 
 
-def write_splits(rows: DataFrame, split: Column, splits: int, folder: str) -> str:
-    """Write each split as one file, in order; rows without a split go."""
-    numbered = rows.withColumn("_split", split)
+def write_splits(rows: DataFrame, split: Column, splits: int, folder: str, files: int | None = None) -> int:
+    """Write splits in order, rows without a split go; gives the files of each split, for ``read_splits``.
+
+    The rows are computed once, and written aside first.  Every split has the
+    same number of files, by the size of the largest one if ``files`` is not
+    given, so that this many files make up one split.
+    """
+    spark = rows.sparkSession
+    aside = f"{folder.rstrip('/')}-{uuid4().hex}"
+    numbered = rows.withColumn("_split", split.cast("int")).filter(F.col("_split").between(0, splits - 1))
+    numbered.write.partitionBy("_split").parquet(aside)
+    schema = StructType([*rows.schema.fields]).add("_split", IntegerType())
+    staged = spark.read.schema(schema).parquet(aside)
+    if files is None:
+        sizes = [sum(file_sizes(spark, f"{aside}/_split={number}")) for number in range(splits)]
+        files = max(1, -(-max(sizes) // FILE_BYTES))
     for number in range(splits):
-        numbered.filter(F.col("_split") == number).drop("_split").coalesce(1).write.mode("append").parquet(folder)
+        part = staged.filter(F.col("_split") == number).drop("_split")
+        before = len(file_sizes(spark, folder))
+        (part.repartition(files) if files > 1 else part.coalesce(1)).write.mode("append").parquet(folder)
+        # a task without rows writes no file
+        for _ in range(files - (len(file_sizes(spark, folder)) - before)):
+            part.limit(0).coalesce(1).write.mode("append").parquet(folder)
         time.sleep(APART)
-    return folder
+    remove_folder(spark, aside)
+    return files
 
 
-def read_splits(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
-    """A stream that takes one file a batch."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+def read_splits(spark: SparkSession, folder: str, schema: StructType, files: int = 1) -> DataFrame:
+    """A stream that takes one split of so many files a batch."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def played(stream: DataFrame, folder: str, idle_batches: bool = True, run=run_available, **options) -> DataFrame:

@@ -30,6 +30,12 @@ def _rank(place: str) -> tuple:
     return tuple((value is not None, value) for value in json.loads(place))
 
 
+def _held(state) -> dict:
+    """What a bucket holds of each of its keys."""
+    value = state.get()
+    return json.loads(value[0]) if value is not None else {}
+
+
 class _Keyed(StatefulProcessor):
     def close(self) -> None:
         pass
@@ -168,51 +174,77 @@ class RepairIsNew(_Daily):
 
 
 class FirstWins(_Keyed):
-    """Passes the first row of a key; every later one prolongs the memory of it."""
+    """Passes the first row of each key (``_id``) of a bucket; every later one prolongs the memory of it.
+
+    A bucket's memory is read and written once a batch: until when each of its
+    keys is known.  It is gone when the last of them is.
+    """
 
     def __init__(self, ttl_ms: int):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "mark STRING", self.ttl_ms)
+        self.seen = handle.getValueState("seen", "keys STRING", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        known = self.seen.exists()
-        first, rank = None, None
+        now = timerValues.getCurrentProcessingTimeInMs()
+        known = {name: until for name, until in _held(self.seen).items() if until > now}
+        first: dict[str, tuple] = {}
+        arrived: set[str] = set()
         for row in rows:
-            own = None if known else _rank(row["_place"])
-            if not known and (first is None or own < rank):
-                first, rank = row, own
-        self.seen.update(("1",))
-        if first is not None:
-            yield PLAIN(first["_row"])
+            name = row["_id"]
+            arrived.add(name)
+            if name not in known:
+                own = _rank(row["_place"])
+                if name not in first or own < first[name][0]:
+                    first[name] = own, row["_row"]
+        known.update(dict.fromkeys(arrived, now + self.ttl_ms))
+        self.seen.update((json.dumps(known, ensure_ascii=False),))
+        for _, text in first.values():
+            yield PLAIN(text)
 
 
 class LatestWins(_Keyed):
-    """Holds the greatest row of a key and passes it ``wait_ms`` after the first one came."""
+    """Holds the greatest row of each key (``_id``) of a bucket and passes it ``wait_ms`` after the first one came.
+
+    Keys of a bucket that came in one batch share a timer.
+    """
 
     def __init__(self, wait_ms: int):
         self.wait_ms = wait_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.best = handle.getValueState("best", "place STRING, row STRING")
+        self.best = handle.getValueState("best", "keys STRING")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        place, text = self.best.get() if self.best.exists() else (None, None)
-        if place is None:
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.wait_ms)
+        due = timerValues.getCurrentProcessingTimeInMs() + self.wait_ms
+        held = _held(self.best)
+        ranks: dict[str, tuple] = {}
+        before = len(held)
         for row in rows:
-            if place is None or _rank(row["_place"]) >= _rank(place):
-                place, text = row["_place"], row["_row"]
-        self.best.update((place, text))
+            name, place = row["_id"], row["_place"]
+            own, best = _rank(place), held.get(name)
+            if best is not None and name not in ranks:
+                ranks[name] = _rank(best[1])
+            if best is None or own >= ranks[name]:
+                held[name], ranks[name] = [best[0] if best else due, place, row["_row"]], own
+        if len(held) > before:
+            self.handle.registerTimer(due)
+        self.best.update((json.dumps(held, ensure_ascii=False),))
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.best.exists():
-            _, text = self.best.get()
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        held = _held(self.best)
+        waiting = {name: best for name, best in held.items() if best[0] > now}
+        if waiting:
+            self.best.update((json.dumps(waiting, ensure_ascii=False),))
+        else:
             self.best.clear()
-            yield PLAIN(text)
+        for due, _, text in held.values():
+            if due <= now:
+                yield PLAIN(text)
 
 
 class FollowedBy(_Keyed):

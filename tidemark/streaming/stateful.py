@@ -19,6 +19,8 @@ from tidemark.streaming import processors as p
 EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 # How long the daily marks are kept after they were set.
 DAY = "1 day"
+#: Groups of keys that share one state, which is read and written once a batch.
+BUCKETS = 4096
 
 
 def millis(interval: str) -> int:
@@ -134,14 +136,22 @@ def repair_is_new(records: DataFrame, tie: list[str]) -> DataFrame:
     return repaired.unionByName(records.filter(~judgeable))
 
 
+def _bucketed(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Packed rows under the bucket of their key, with the key as ``_id``.
+
+    A state of its own for each key costs several calls from the worker to its
+    task; a bucket costs them once for all of its keys.
+    """
+    name = F.to_json(F.struct(*keys))
+    return _packed(rows, F.pmod(F.xxhash64(name), F.lit(BUCKETS)).cast("string"), order, _id=name)
+
+
 def first_wins(rows: DataFrame, keys: list[str], order: list[str], ttl: str) -> DataFrame:
-    packed = _packed(rows, F.to_json(F.struct(*keys)), order)
-    return _unpacked(_run(packed, p.FirstWins(millis(ttl)), _result(), "ProcessingTime"), rows)
+    return _unpacked(_run(_bucketed(rows, keys, order), p.FirstWins(millis(ttl)), _result(), "ProcessingTime"), rows)
 
 
 def latest_wins(rows: DataFrame, keys: list[str], by: str, tie: list[str], wait: str) -> DataFrame:
-    packed = _packed(rows, F.to_json(F.struct(*keys)), [by, *tie])
-    return _unpacked(_run(packed, p.LatestWins(millis(wait)), _result(), "ProcessingTime"), rows)
+    return _unpacked(_run(_bucketed(rows, keys, [by, *tie]), p.LatestWins(millis(wait)), _result(), "ProcessingTime"), rows)
 
 
 def followed_by_within(
