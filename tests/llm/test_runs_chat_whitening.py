@@ -131,6 +131,33 @@ def test_examples_are_prefixes(spark, folder):
     assert digests[3] == sum(r.ends_at for (c, _), r in spans.items() if c == 3)
 
 
+def test_examples_are_written_out_and_read_back(spark):
+    formatted = chat.format_turns(odd_turns(spark))
+    written = chat.example_texts(formatted, rests=True)
+    found = {row.conv_id: tuple(row)[1:] for row in chat.read_examples(written).collect()}
+    assert {key: row[:4] for key, row in found.items()} == slow_chat(ODD_TURNS)
+    assert found == {row.conv_id: tuple(row)[1:] for row in chat.read_back(formatted).collect()}
+    rests = sorted((row.conv_id, row.example) for row in written.filter("loss_start is null").collect())
+    assert rests == [(1, 2), (2, 0), (5, 0)]
+    cut = written.selectExpr("conv_id", "example", "substr(text, 2) AS text", "loss_start", "loss_end")
+    with pytest.raises(Exception, match="no prefixes of formatted turns"):
+        chat.read_examples(cut).collect()
+
+
+def test_query_expands_every_reply(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(chat, "example_texts", lambda *given, kept=chat.example_texts, **named: calls.append(named) or kept(*given, **named))
+    assert queries.op12_chat_format(spark, "/root/testdata/sf0.001").count() > 1 and calls
+
+
+def test_a_long_conversation_is_expanded_in_bounded_batches(spark):
+    turns = spark.range(3000).selectExpr("1L AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "repeat('x', 30) AS text")
+    found = chat.read_examples(chat.example_texts(chat.format_turns(turns), rests=True)).first()
+    size = 30 + len(chat.START + "user\n" + chat.END + "\n")
+    pair = 2 * size + len("assistant") - len("user")
+    assert (found.n_turns, found.loss_chars, found.formatted_chars) == (3000, 1500 * 30, pair * 1500 * 1501 // 2)
+
+
 def test_chat_of_nothing_and_bad_marks(spark):
     empty = spark.createDataFrame([], TURNS)
     assert chat.read_back(chat.format_turns(empty)).count() == 0

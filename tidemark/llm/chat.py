@@ -1,12 +1,12 @@
 """Chat formatting by prefix-target expansion.
 
 Every assistant turn becomes an example of its own: all preceding turns are
-its context and only its reply is trainable.  The contexts of a conversation
-are prefixes of one formatted text, so that text is kept once, turn by turn,
-and an example names its parts as spans: context [0, loss_start), trainable
-[loss_start, loss_end), all of it [0, ends_at).  The result is as long as the
-input; writing every prefix out would grow with the square of a conversation.
-``example_texts`` writes them out for trainers that want whole strings.
+its context and only its reply is trainable.  ``format_turns`` formats turns,
+``example_texts`` expands them into examples, each with its whole context, and
+``read_examples`` reads those back.  The contexts of a conversation are
+prefixes of one formatted text, so a store may keep that text once, turn by
+turn, with examples as spans of it (``examples``): context [0, loss_start),
+trainable [loss_start, loss_end), all of it [0, ends_at).
 
 A turn is ``<|im_start|>role\\ntext<|im_end|>\\n``.  Control strings that occur
 inside a role or a text get a backslash behind their first character (one more
@@ -35,6 +35,9 @@ CONTROL = (
 )
 
 FORMATTED = ["conv_id", "position", "segment", "starts_at", "loss_start", "loss_end", "ends_at"]
+EXAMPLES = "conv_id long, example long, text string, loss_start long, loss_end long"
+#: Code points and rows of a batch of examples.
+EXAMPLE_CHARS, EXAMPLE_ROWS = 4 << 20, 1000
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
@@ -120,29 +123,52 @@ def in_order(formatted: DataFrame) -> DataFrame:
     return formatted.repartition("conv_id").sortWithinPartitions("conv_id", "position")
 
 
-def example_texts(formatted: DataFrame) -> DataFrame:
+def example_texts(formatted: DataFrame, rests: bool = False) -> DataFrame:
     """Each example written out: conv_id, example, text (context and reply), loss_start and loss_end.
 
-    A task holds the text of one conversation, and gives one example at a time.
+    With ``rests`` turns that no reply follows end one more text of their
+    conversation, of which nothing is trainable.  A task holds the text of one
+    conversation, and gives examples in batches of bounded size.
     """
 
     def written_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, so_far, number = object(), [], 0
+        current, so_far, number, rows, size = object(), [], 0, [], 0
+
+        def example(loss_start: int | None, loss_end: int | None) -> int:
+            nonlocal so_far, number
+            so_far = ["".join(so_far)]
+            rows.append((current, number, so_far[0], loss_start, loss_end))
+            number += 1
+            return len(so_far[0])
+
+        pending = False
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["conv_id"] != current:
-                    current, so_far, number = row["conv_id"], [], 0
-                so_far.append(row["segment"])
-                if row["loss_start"] is not None:
-                    so_far = ["".join(so_far)]
-                    columns = [row["conv_id"], number, so_far[0], row["loss_start"], row["loss_end"]]
-                    types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
-                    names = ["conv_id", "example", "text", "loss_start", "loss_end"]
-                    yield pa.record_batch([pa.array([value], kind) for value, kind in zip(columns, types)], names)
-                    number += 1
-
-    schema = "conv_id long, example long, text string, loss_start long, loss_end long"
-    return formatted.select(*FORMATTED).mapInArrow(written_out, schema)
+            columns = [batch.column(FORMATTED.index(name)).to_pylist() for name in ("conv_id", "segment", "loss_start", "loss_end")]
+            for conv_id, segment, loss_start, loss_end in zip(*columns):
+                if conv_id != current:
+                    if rests and pending:
+                        size += example(None, None)
+                    current, so_far, number = conv_id, [], 0
+                so_far.append(segment)
+                pending = loss_start is None
+                if not pending:
+                    size += example(loss_start, loss_end)
+                if size > EXAMPLE_CHARS or len(rows) >= EXAMPLE_ROWS:
+                    yield _batch(rows, EXAMPLES)
+                    rows, size = [], 0
+        if rests and pending:
+            example(None, None)
+        if rows:
+            yield _batch(rows, EXAMPLES)
+
+    return formatted.select(*FORMATTED).mapInArrow(written_out, EXAMPLES)
+
+
+def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "string": pa.string()}
+    fields = [part.split() for part in ddl.split(", ")]
+    columns = list(zip(*rows)) or [()] * len(fields)
+    return pa.record_batch([pa.array(values, kinds[kind]) for values, (_, kind) in zip(columns, fields)], [name for name, _ in fields])
 
 
 class _Reader:
@@ -208,3 +234,57 @@ def read_back(formatted: DataFrame, control: Iterable[str] = CONTROL) -> DataFra
             yield table([reader.row()])
 
     return formatted.select(*FORMATTED).mapInArrow(digests, DIGESTS)
+
+
+class _ExampleReader:
+    """Reads the examples of one conversation back; each begins with all of the one before."""
+
+    def __init__(self, conv_id):
+        self.conv_id, self.before = conv_id, ""
+        self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
+        self.n_turns = self.loss_chars = self.formatted = 0
+
+    def read(self, text: str, loss_start: int | None, loss_end: int | None, whole) -> None:
+        added = text[len(self.before) :]
+        turns = added.split(END + "\n")
+        if not text.startswith(self.before) or turns.pop() or not all(turn.startswith(START) for turn in turns):
+            raise ValueError(f"no prefixes of formatted turns in conversation {self.conv_id}")
+        for turn in turns:
+            role, said = turn[len(START) :].split("\n", 1)
+            self.turns.update(f"{unescape_role(role, whole)}\n{whole(said)}\n".encode())
+        if loss_start is not None:
+            reply = whole(text[loss_start:loss_end])
+            self.loss.update(reply.encode())
+            self.loss_chars += len(reply)
+        self.n_turns += len(turns)
+        self.formatted += len(text)
+        self.before = text
+
+    def row(self) -> tuple:
+        return self.conv_id, self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.formatted
+
+
+def read_examples(written: DataFrame, control: Iterable[str] = CONTROL) -> DataFrame:
+    """What the texts of ``example_texts`` (with its rests) hold; columns as in ``read_back``.
+
+    Every text is read: its context has to be the text before, its new turns
+    and its trainable span are taken in.  Needs the order that
+    ``example_texts`` gives; a task holds two texts at a time.
+    """
+    control = tuple(control)
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole, reader = unescape(control), None
+        for batch in batches:
+            rows = []
+            for conv_id, text, loss_start, loss_end in zip(*[column.to_pylist() for column in batch.columns]):
+                if reader is None or reader.conv_id != conv_id:
+                    if reader is not None:
+                        rows.append(reader.row())
+                    reader = _ExampleReader(conv_id)
+                reader.read(text, loss_start, loss_end, whole)
+            yield _batch(rows, DIGESTS)
+        if reader is not None:
+            yield _batch([reader.row()], DIGESTS)
+
+    return written.select("conv_id", "text", "loss_start", "loss_end").mapInArrow(digests, DIGESTS)

@@ -118,7 +118,7 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = spark.range(2).select(
         F.lit(-1).cast("long"), "id", F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(CONTROLS)
     )
-    return chat.read_back(chat.format_turns(turns.union(planted)))
+    return chat.read_examples(chat.example_texts(chat.format_turns(turns.union(planted)), rests=True))
 
 
 def periodic_texts(docs: DataFrame) -> DataFrame:
