@@ -7,10 +7,11 @@ import pathlib
 from pyspark.sql import functions as F
 
 from tidemark import topics as t
-from tidemark.operators import firsts
+from tidemark.operators import firsts, logsplit
+from tidemark.plans import traffic
 from tidemark.session import prepare
 from tidemark.sinks import loads, split, topics as out
-from tidemark.sources import replay, topics as src
+from tidemark.sources import replay, sample, topics as src
 from tidemark.streaming import stateful
 from tidemark.streaming.runner import run_available
 from tidemark.topics import Topic
@@ -81,3 +82,28 @@ def test_keys_of_a_bucket_share_a_state(spark, folder, monkeypatch):
     assert sorted(given, key=repr) == sorted(expected, key=repr)
     # 70 keys
     assert query.lastProgress.stateOperators[0].numRowsTotal <= 3 * 4
+
+
+def test_streams_that_are_asked_for_are_the_same_rows(spark):
+    lines = spark.createDataFrame(
+        [('{"common":{"mid":"1","is_new":"1"},"page":{"page_id":"p"},"displays":[{"item":"1"},3],"actions":[{"ts":7}],"err":{"c":1},"ts":1}', 1),
+         ('{"common":{"mid":"1","is_new":"1"},"start":{"entry":"x"},"ts":99999999999}', 2), ("no json", 3), ('{"ts":5}', 4)],
+        "value STRING, seq BIGINT",
+    )
+    whole = sorted(map(tuple, traffic.base_log(lines).collect()))
+    assert {tag for tag, _ in whole} == set(logsplit.TAGS)
+    for tag in logsplit.TAGS:
+        assert sorted(map(tuple, traffic.base_log(lines, tags=[tag]).collect())) == [row for row in whole if row[0] == tag]
+    plan = traffic.base_log(lines, tags=["page"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "displays" in plan and "action_id" not in plan and "transform(" not in plan
+
+
+def test_large_inputs_start_with_more_partitions(spark, sf, monkeypatch):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    monkeypatch.setattr(sample, "PARTITION_BYTES", 1000)
+    try:
+        rows = sample.table(spark, sf, "lineitem")
+        assert int(spark.conf.get(name)) > 100
+        assert rows.groupBy("l_orderkey").count().agg(F.sum("count")).first()[0] == rows.count()
+    finally:
+        spark.conf.unset(name)

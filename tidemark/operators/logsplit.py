@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.records import fields_of
@@ -31,7 +33,7 @@ def _marked(record: Column, mark: Column) -> Column:
     return F.when(differs, _with(record, common=F.to_variant_object(put))).otherwise(record)
 
 
-def tagged(records: DataFrame, common_as_string: bool = False) -> DataFrame:
+def tagged(records: DataFrame, common_as_string: bool = False, tags: Sequence[str] = TAGS) -> DataFrame:
     """(tag, value) rows: one pass over the log, one output row per derived record.
 
     Records are texts (``value``) and the new-visitor mark they shall have
@@ -40,12 +42,14 @@ def tagged(records: DataFrame, common_as_string: bool = False) -> DataFrame:
     nowhere else.  Every other one gives its displays (with the page's time),
     its actions (with their own time) and the page itself without both.  All
     other fields go along as they are.  ``common_as_string`` embeds the common
-    fields in displays and actions as JSON text, not as an object.
+    fields in displays and actions as JSON text, not as an object.  Records of
+    streams that are not among ``tags`` are not made.
     """
     # a generator keeps the parse apart: it is used many times below
     return tagged_fields(
         records.select(F.col("common.is_new").alias("_mark"), F.explode(F.array(known_fields("value"))).alias("_given")),
         common_as_string,
+        tags,
     )
 
 
@@ -54,7 +58,7 @@ def known_fields(value: str) -> Column:
     return F.map_filter(fields_of(F.col(value)), lambda _, field: ~F.is_variant_null(field))
 
 
-def tagged_fields(read: DataFrame, common_as_string: bool = False) -> DataFrame:
+def tagged_fields(read: DataFrame, common_as_string: bool = False, tags: Sequence[str] = TAGS) -> DataFrame:
     """The same for records that are parsed: their fields (``_given``) and their mark (``_mark``)."""
     whole = read.select(F.explode(F.array(_marked(F.col("_given"), F.col("_mark")))).alias("_record"))
 
@@ -74,15 +78,18 @@ def tagged_fields(read: DataFrame, common_as_string: bool = False) -> DataFrame:
         made = F.transform(own, lambda item: one(tag, _with(item, common=common, page_id=page_id, **more)))
         return F.when(~launch, F.coalesce(made, none)).otherwise(none)
 
-    parts = F.concat(
-        F.when(record["err"].isNotNull(), F.array(one("error", record))).otherwise(none),
-        F.when(launch, F.array(one("start", _without(record, "err")))).otherwise(none),
-        many("display", "displays", ts=record["ts"]),
-        many("action", "actions"),
-        F.when(~launch, F.array(one("page", _without(record, "err", "displays", "actions")))).otherwise(none),
-    )
-    # never empty; the outer form, because the plain one is tested for emptiness first, which makes the parts twice
-    return whole.select(F.explode_outer(parts).alias("_part")).select("_part.tag", "_part.value")
+    made = {
+        "error": lambda: F.when(record["err"].isNotNull(), F.array(one("error", record))).otherwise(none),
+        "start": lambda: F.when(launch, F.array(one("start", _without(record, "err")))).otherwise(none),
+        "display": lambda: many("display", "displays", ts=record["ts"]),
+        "action": lambda: many("action", "actions"),
+        "page": lambda: F.when(~launch, F.array(one("page", _without(record, "err", "displays", "actions")))).otherwise(none),
+    }
+    parts = F.concat(*[part() for tag, part in made.items() if tag in tags])
+    # the outer form, because the plain one is tested for emptiness first, which makes the parts twice
+    rows = whole.select(F.explode_outer(parts).alias("_part")).select("_part.tag", "_part.value")
+    # of all streams a record gives at least one
+    return rows if set(tags) == set(TAGS) else rows.filter(F.col("tag").isNotNull())
 
 
 def split_log(records: DataFrame, common_as_string: bool = False) -> dict[str, DataFrame]:

@@ -7,6 +7,8 @@ of the records, such as the offset under which a record was read.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import schemas as s
@@ -35,10 +37,12 @@ def dirty_log(lines: DataFrame) -> DataFrame:
     return bad(parsed_log(lines))
 
 
-def base_log(lines: DataFrame, tie: list[str] = TIE, common_as_string: bool = False) -> DataFrame:
-    """Raw lines to (tag, value) rows of the five log streams, new-visitor marks repaired."""
+def base_log(
+    lines: DataFrame, tie: list[str] = TIE, common_as_string: bool = False, tags: Sequence[str] = logsplit.TAGS
+) -> DataFrame:
+    """Raw lines to (tag, value) rows of the five log streams, or of some of them, new-visitor marks repaired."""
     records = firsts.repair_is_new(good(parsed_log(lines)), tie)
-    return logsplit.tagged(records, common_as_string)
+    return logsplit.tagged(records, common_as_string, tags)
 
 
 def entry_pages(pages: DataFrame) -> DataFrame:

@@ -31,6 +31,10 @@ ROUTES = [
 # out to all cores; larger ones come in enough pieces and are read as they are, without this shuffle.
 SPREAD_FROM = 1 << 20
 SPREAD_PER_CORE = 32 << 20
+# Joins and sorts of larger inputs begin with a partition for so many bytes on disk, so that none has to be spilled;
+# adaptive execution joins those that turn out small.
+PARTITION_BYTES = 4 << 20
+PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False) -> DataFrame:
@@ -45,6 +49,9 @@ def table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False)
         size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
         if SPREAD_FROM <= size < SPREAD_PER_CORE * cores and len(rows.inputFiles()) < cores:
             rows = rows.repartition(cores)
+        usual = spark.conf.get(PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
+        if size // PARTITION_BYTES > int(usual):
+            spark.conf.set(PARTITIONS, str(size // PARTITION_BYTES))
     zoned = {f.name: F.col(f.name).cast("timestamp") for f in rows.schema if f.dataType.typeName() == "timestamp_ntz"}
     return rows.withColumns(zoned) if zoned else rows
 

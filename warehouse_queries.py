@@ -91,8 +91,8 @@ def log_is_new_fix(spark, sf):
     return _marks(firsts.repair_is_new(_pages(spark, sf), traffic.TIE))
 
 
-def _base_log(spark, sf):
-    return traffic.base_log(sample.raw_log(prepare(spark), sf))
+def _base_log(spark, sf, **options):
+    return traffic.base_log(sample.raw_log(prepare(spark), sf), **options)
 
 
 def log_split_counts(spark, sf):
@@ -102,7 +102,7 @@ def log_split_counts(spark, sf):
 
 def _log_stream(tag: str, ddl: str, *columns: str) -> Query:
     def run(spark, sf):
-        rows = _base_log(spark, sf).filter(F.col("tag") == tag)
+        rows = _base_log(spark, sf, tags=[tag])
         record = rows.select(F.from_json("value", ddl).alias("r"))
         return record.select(*[F.col(f"r.{column}").alias(column.rsplit(".", 1)[-1]) for column in columns])
 
