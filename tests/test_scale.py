@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import pathlib
+from uuid import uuid4
 
-from pyspark.sql import functions as F
+import pytest
+from pyspark.sql import Row, functions as F
 
 from tidemark import topics as t
-from tidemark.operators import firsts, logsplit
-from tidemark.plans import traffic
+from tidemark.operators import firsts, logsplit, routing
+from tidemark.plans import dim as plans_dim, traffic
 from tidemark.session import prepare
-from tidemark.sinks import loads, split, topics as out
+from tidemark.sinks import dimensions, loads, split, topics as out
 from tidemark.sources import replay, sample, topics as src
 from tidemark.streaming import stateful
 from tidemark.streaming.runner import run_available
@@ -107,3 +109,13 @@ def test_large_inputs_start_with_more_partitions(spark, sf, monkeypatch):
         assert rows.groupBy("l_orderkey").count().agg(F.sum("count")).first()[0] == rows.count()
     finally:
         spark.conf.unset(name)
+
+
+# --- dimensions -------------------------------------------------------------------
+def test_changes_of_one_table_are_not_gathered_to_meet_their_route(spark):
+    versions = spark.createDataFrame([("a", 0, False, True, "dim_a", " id, x ", "id", "")], plans_dim.VERSIONS)
+    rows = spark.createDataFrame([("a", "1", {"id": "1", "x": "p", "y": "q"}), ("b", "1", {"id": "2"})], "table STRING, ts STRING, data MAP<STRING, STRING>")
+    routed = routing.as_of(rows, versions)
+    plan = routed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert [r.data for r in routing.pruned(routed).collect()] == [{"id": "1", "x": "p"}]

@@ -36,21 +36,25 @@ def as_of(changes: DataFrame, versions: DataFrame) -> DataFrame:
 
     A change that came before the first version, or has no time, takes the
     first one.  A table has one row of versions here, so no change is repeated.
+    The versions are configuration and are broadcast: most changes may be of one
+    table, which a shuffle by table would give to one task.
     """
     fields = ["since", "changed", "alive", *ROUTE_FIELDS[1:]]
+    # names are cut out once for a version, not once for a change
     known = versions.groupBy(F.col("source_table").alias("_source")).agg(
-        F.array_sort(F.collect_list(F.struct(*fields))).alias("_versions")
+        F.array_sort(F.collect_list(F.struct(*fields, column_list().alias("columns")))).alias("_versions")
     )
-    joined = changes.join(known, F.col("table") == F.col("_source"), "left")
+    joined = changes.join(F.broadcast(known), F.col("table") == F.col("_source"), "left")
     time = F.col("ts").try_cast("bigint") * 1000
     held = F.filter("_versions", lambda version: version["since"] <= time)
     route = F.when(F.size(held) > 0, F.get(held, F.size(held) - 1)).otherwise(F.get("_versions", F.lit(0)))
-    return joined.withColumn("_route", route).drop("_source", "_versions")
+    # a generator keeps the choice apart: it is made once for a change, not once for each use of the route
+    return joined.withColumn("_route", F.explode(F.array(route))).drop("_source", "_versions")
 
 
 def pruned(routed: DataFrame) -> DataFrame:
     """Changes whose route is alive, with ``sink_table`` and the columns that their version of the route names."""
-    names = column_list("_route.sink_columns")
+    names = F.col("_route.columns")
     return (
         routed.filter(F.col("_route.alive"))
         .withColumn("sink_table", F.col("_route.sink_table"))
