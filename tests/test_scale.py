@@ -119,3 +119,19 @@ def test_changes_of_one_table_are_not_gathered_to_meet_their_route(spark):
     plan = routed._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert [r.data for r in routing.pruned(routed).collect()] == [{"id": "1", "x": "p"}]
+
+
+def test_a_pruned_payload_is_made_once(spark):
+    route = Row(source_table="a", sink_table="dim_a", sink_columns="id,x,y", sink_pk="id", sink_extend="")
+    rows = spark.createDataFrame([("a", "1", {"id": "1", "x": "p"}), ("a", "2", {"id": "1", "y": "q", "z": "r"})], "table STRING, ts STRING, data MAP<STRING, STRING>")
+    found = dimensions.merged(routing.route_dimensions(rows, spark.createDataFrame([route])), route)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("map_filter(") == 1
+    assert [tuple(r) for r in found.collect()] == [("1", "p", "q")]
+
+
+def test_a_batch_for_one_table_is_not_kept(spark, folder, monkeypatch):
+    route = Row(source_table="a", sink_table=f"dim_{uuid4().hex}", sink_columns="id,x", sink_pk="id", sink_extend="")
+    rows = spark.createDataFrame([("1", {"id": "1", "x": "p"}, route.sink_table)], "ts STRING, data MAP<STRING, STRING>, sink_table STRING")
+    monkeypatch.setattr(type(rows), "persist", lambda *_: pytest.fail("kept for a single pass"))
+    dimensions.upsert_dim(rows, [route], "kept", folder)
+    assert [tuple(r) for r in dimensions.read_dim(spark, route, "kept").collect()] == [("1", "p")]

@@ -137,7 +137,7 @@ def live_dim_sink(
                 if not left.isEmpty():
                     columns = [F.col(f.name) if f.name in left.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in waiting.schema[:5]]
                     loads.add(waiting, left.select(*columns), load, number)
-            upsert_dim(pruned(routed), sink_routes(known), database, root, number, order, load)
+            upsert_dim(pruned(routed), sink_routes(known), database, root, number, order, load, keep=False)
             if arrived:
                 _forget(known, arrived)
         finally:

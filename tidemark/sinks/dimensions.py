@@ -116,25 +116,27 @@ def upsert_dim(
     batch: int = 0,
     order: list[str | Column] | None = None,
     load: str | None = None,
+    keep: bool = True,
 ) -> None:
     """Write a batch of routed change records to their tables.
 
     ``load`` and ``batch`` name the batch: written again, it replaces itself.
-    Without a load it comes after all that is there.
+    Without a load it comes after all that is there.  The batch is kept while
+    it is written to several tables, unless its rows are kept already (``keep``).
     """
-    held = routed.persist()
-    load = load or loads.fresh_load()
+    routes, load = list(routes), load or loads.fresh_load()
+    keep = keep and len(routes) > 1
+    held = routed.persist() if keep else routed
     try:
-        # at most one name for each route
-        present = {row[0] for row in held.select("sink_table").distinct().collect()}
         for route in routes:
             store = ensure_dim_table(routed.sparkSession, route, database, root)
-            if route.sink_table not in present:
+            own = held.filter(F.col("sink_table") == route.sink_table)
+            if own.select("sink_table").isEmpty():
                 continue
-            rows = merged(held.filter(F.col("sink_table") == route.sink_table), route, order)
-            loads.add(store, rows, load, batch)
+            loads.add(store, merged(own, route, order), load, batch)
     finally:
-        held.unpersist()
+        if keep:
+            held.unpersist()
 
 
 def merged(rows: DataFrame, route: Row, order: list[str | Column] | None = None) -> DataFrame:
@@ -143,6 +145,8 @@ def merged(rows: DataFrame, route: Row, order: list[str | Column] | None = None)
     ``order`` is the order of changes, by default their time and read position.
     """
     key, columns = key_of(route), columns_of(route)
+    # a generator keeps the pruned payload apart: it is used for every column
+    rows = rows.withColumn("data", F.explode(F.array("data")))
     usual = [F.col("ts").try_cast("bigint").alias("at"), *[name for name in ("seq",) if name in rows.columns]]
     flat = rows.select(F.struct(*(order or usual)).alias("_at"), *[F.col("data")[name].alias(name) for name in columns])
     return _last_values(flat, key, columns, F.col("_at"))
