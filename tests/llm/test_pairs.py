@@ -127,3 +127,13 @@ def test_lines(documents):
     for (doc_id, _), value in want.items():
         assert set(left[doc_id]) == {value}
     assert len(got) == len(rows) + 2
+
+
+def test_leaders_are_only_paired_with_other_components(spark):
+    """A class of another component meets each turn's leader; the many of one component make no pairs."""
+    rows = [(key, c, 7 if c % 50 == 7 else 1) for key in range(3) for c in range(200)]
+    placed = spark.createDataFrame(rows, "key long, class long, root long")
+    root = {c: r for _, c, r in rows}
+    for turn in range(1, 4):
+        found = [tuple(r) for r in ngram_join.apart_pairs(placed, turn).collect()]
+        assert found and all(a < b and root[a] != root[b] for a, b in found)

@@ -386,14 +386,27 @@ def possible(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     return joined.select("a", "b", "x", "n_a", "y", "n_b").mapInArrow(plausible, "a long, b long")
 
 
-def leader_pairs(members: DataFrame, turn: int = 0) -> DataFrame:
-    """Every class of a key with the key's leader; keys choose among a few orders of the classes, others in each turn."""
-    turn = F.xxhash64(F.col("class"), F.pmod("key", F.lit(LEADERS)) + LEADERS * turn)
+def leader_pairs(members: DataFrame) -> DataFrame:
+    """Every class of a key with the key's leader; keys choose among a few orders of the classes."""
+    turn = F.xxhash64(F.col("class"), F.pmod("key", F.lit(LEADERS)))
     leaders = members.groupBy("key").agg(F.min(F.struct(turn, "class"))["class"].alias("leader"))
     pairs = members.join(leaders, "key").where("class != leader")
     return pairs.selectExpr("least(class, leader) as a", "greatest(class, leader) as b").distinct()
 
 
+def apart_pairs(rooted: DataFrame, turn: int) -> DataFrame:
+    """The leader pairs of a turn whose classes are in different components.
+
+    The leader brings its root along, so pairs of one component, most of those
+    of a large group, are not made at all.
+    """
+    order = F.xxhash64(F.col("class"), F.pmod("key", F.lit(LEADERS)) + LEADERS * turn)
+    leaders = rooted.groupBy("key").agg(F.min(F.struct(order, "class", "root")).alias("leader"))
+    leaders = leaders.select("key", F.col("leader.class").alias("leader"), F.col("leader.root").alias("other"))
+    pairs = rooted.join(leaders, (rooted["key"] == leaders["key"]) & (rooted["root"] != leaders["other"]))
+    return pairs.selectExpr("least(class, leader) as a", "greatest(class, leader) as b").distinct()
+
+
 def rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
     """(key, class, root) of keys whose classes are in different components; of keys with the same classes one."""
     known = roots.selectExpr("node as class", "root")
@@ -409,13 +422,11 @@ def further_links(members: DataFrame, links: DataFrame, tried: DataFrame, sizes:
     """Links after comparing the classes of crowded keys with more leaders, and all pairs that were tried."""
     crowd = rooted(members, components(links)).where(F.col("m") >= CROWD)
     crowd = written(crowd.join(sets.select("class"), "class", "left_semi"), "crowds")
-    root = crowd.select("class", "root").distinct()
-    pairs = leader_pairs(crowd, 1)
+    pairs = apart_pairs(crowd, 1)
     for turn in range(2, TURNS + 1):
-        pairs = pairs.union(leader_pairs(crowd, turn))
+        pairs = pairs.union(apart_pairs(crowd, turn))
     pairs = pairs.distinct().join(tried, ["a", "b"], "left_anti")
-    apart = pairs.join(root.selectExpr("class as a", "root as root_a"), "a").join(root.selectExpr("class as b", "root as root_b"), "b")
-    more = written(possible(apart.where("root_a != root_b").select("a", "b"), sizes), "more")
+    more = written(possible(pairs, sizes), "more")
     return links.union(written(verified(more, sets), "links")), tried.union(more)
 
 
