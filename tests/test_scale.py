@@ -135,3 +135,24 @@ def test_a_batch_for_one_table_is_not_kept(spark, folder, monkeypatch):
     monkeypatch.setattr(type(rows), "persist", lambda *_: pytest.fail("kept for a single pass"))
     dimensions.upsert_dim(rows, [route], "kept", folder)
     assert [tuple(r) for r in dimensions.read_dim(spark, route, "kept").collect()] == [("1", "p")]
+
+
+def test_what_records_of_a_log_line_share_is_written_once(spark):
+    line = (
+        '{"common":{"mid":"a\\"b","is_new":"1"},"page":{"page_id":"p"},"displays":[{"item":"é","ts":1},{},3],'
+        '"actions":[{"action_id":"x"}],"ts":5,"other":[1,{}]}'
+    )
+    rows = spark.createDataFrame([(line,), ('{"displays":[{}]}',)], "value string")
+    made = logsplit.tagged(rows.select("value", F.struct(F.lit("0").alias("is_new")).alias("common")))
+    common = '"common":{"is_new":"0","mid":"a\\"b"}'
+    tail = f'{common},"page_id":"p","ts":5}}'
+    assert sorted((row.tag, row.value) for row in made.collect()) == sorted([
+        ("display", "{}"), ("page", "{}"),
+        ("display", '{"item":"é",' + tail), ("display", "{" + tail), ("display", "{" + tail),
+        ("action", '{"action_id":"x",' + common + ',"page_id":"p"}'),
+        ("page", '{"other":[1,{}],"page":{"page_id":"p"},"ts":5,' + common + "}"),
+    ])
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    # rows are generated by the parse and by the split only; all between is projected
+    assert plan.count("Generate ") == 2
+    assert "_texts" in plan and "_shared" in plan

@@ -25,6 +25,22 @@ def _with(fields: Column, **more: Column) -> Column:
     return F.map_concat(_without(fields, *more), F.map_filter(put, lambda _, value: value.isNotNull()))
 
 
+def _inside(objects: Column) -> Column:
+    """Texts of JSON objects without their braces."""
+    return F.transform(objects, lambda text: F.substring(text, F.lit(2), F.length(text) - 2))
+
+
+def _object(name: Column, value: Column) -> Column:
+    """The text of an object with one field; the names in an object are written faster than in a variant."""
+    own = _part(value, "map<string,variant>")
+    return F.when(own.isNotNull(), F.to_json(F.create_map(name, own))).otherwise(F.to_json(F.create_map(name, value)))
+
+
+def _member(name: str, value: Column) -> Column:
+    """The text of one field of an object; NULL without a value."""
+    return F.when(value.isNotNull(), F.element_at(_inside(F.array(F.to_json(F.create_map(F.lit(name), value)))), 1))
+
+
 def _marked(record: Column, mark: Column) -> Column:
     """The record with this new-visitor mark, if it has one."""
     common = _part(record["common"], "map<string,variant>")
@@ -60,34 +76,47 @@ def known_fields(value: str) -> Column:
 
 def tagged_fields(read: DataFrame, common_as_string: bool = False, tags: Sequence[str] = TAGS) -> DataFrame:
     """The same for records that are parsed: their fields (``_given``) and their mark (``_mark``)."""
-    whole = read.select(F.explode(F.array(_marked(F.col("_given"), F.col("_mark")))).alias("_record"))
+    whole = read.select(_marked(F.col("_given"), F.col("_mark")).alias("_record"))
 
-    record = F.col("_record")
+    record, none = F.col("_record"), F.array().cast("array<struct<tag: string, value: string>>")
     launch = record["start"].isNotNull()
-    common = F.to_json(record["common"]).cast("variant") if common_as_string else record["common"]
-    page_id = _part(record["page"], "variant", "$.page_id")
-    none = F.array().cast("array<struct<tag: string, value: string>>")
-
-    def one(tag: str, fields: Column) -> Column:
-        return F.struct(F.lit(tag).alias("tag"), F.to_json(fields).alias("value"))
-
-    def many(tag: str, items: str, **more: Column) -> Column:
+    kept = F.when(~launch, _without(record, "err", "displays", "actions"))
+    each = F.transform(F.map_entries(kept), lambda field: _object(field["key"], field["value"]))
+    # to write a variant as text is most of the work, so what the page, its displays and its actions share is written once
+    written = whole.select("_record", F.map_from_arrays(F.map_keys(kept), _inside(each)).alias("_texts"))
+    texts = F.col("_texts")
+    common = _member("common", F.to_json(record["common"]).cast("variant")) if common_as_string else texts["common"]
+    page_id = _member("page_id", _part(record["page"], "variant", "$.page_id"))
+    if {"display", "action"} & set(tags):
+        shared = F.when(~launch, F.nullif(F.concat_ws(",", common, page_id), F.lit("")))
+        written = written.select("_record", "_texts", shared.alias("_shared"))
+
+    def one(tag: str, value: Column) -> Column:
+        return F.struct(F.lit(tag).alias("tag"), value.alias("value"))
+
+    def many(tag: str, items: str, *more: str) -> Column:
         # an item that is no object has no fields of its own
         listed = _part(record[items], "array<map<string,variant>>")
         own = F.transform(listed, lambda item: F.coalesce(item, F.create_map().cast("map<string,variant>")))
-        made = F.transform(own, lambda item: one(tag, _with(item, common=common, page_id=page_id, **more)))
-        return F.when(~launch, F.coalesce(made, none)).otherwise(none)
+        fields = _inside(F.transform(own, lambda item: F.to_json(_without(item, "common", "page_id", *more))))
+
+        def whole_item(text: Column) -> Column:
+            members = F.concat_ws(",", F.nullif(text, F.lit("")), F.col("_shared"), *[texts[name] for name in more])
+            return one(tag, F.concat(F.lit("{"), members, F.lit("}")))
+
+        return F.when(~launch, F.coalesce(F.transform(fields, whole_item), none)).otherwise(none)
 
+    page = F.concat(F.lit("{"), F.array_join(F.map_values(texts), ","), F.lit("}"))
     made = {
-        "error": lambda: F.when(record["err"].isNotNull(), F.array(one("error", record))).otherwise(none),
-        "start": lambda: F.when(launch, F.array(one("start", _without(record, "err")))).otherwise(none),
-        "display": lambda: many("display", "displays", ts=record["ts"]),
+        "error": lambda: F.when(record["err"].isNotNull(), F.array(one("error", F.to_json(record)))).otherwise(none),
+        "start": lambda: F.when(launch, F.array(one("start", F.to_json(_without(record, "err"))))).otherwise(none),
+        "display": lambda: many("display", "displays", "ts"),
         "action": lambda: many("action", "actions"),
-        "page": lambda: F.when(~launch, F.array(one("page", _without(record, "err", "displays", "actions")))).otherwise(none),
+        "page": lambda: F.when(~launch, F.array(one("page", page))).otherwise(none),
     }
     parts = F.concat(*[part() for tag, part in made.items() if tag in tags])
     # the outer form, because the plain one is tested for emptiness first, which makes the parts twice
-    rows = whole.select(F.explode_outer(parts).alias("_part")).select("_part.tag", "_part.value")
+    rows = written.select(parts.alias("_parts")).select(F.explode_outer("_parts").alias("_part")).select("_part.tag", "_part.value")
     # of all streams a record gives at least one
     return rows if set(tags) == set(TAGS) else rows.filter(F.col("tag").isNotNull())
 
