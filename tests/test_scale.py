@@ -8,6 +8,7 @@ from uuid import uuid4
 import pytest
 from pyspark.sql import Row, functions as F
 
+import warehouse_queries
 from tidemark import topics as t
 from tidemark.operators import firsts, logsplit, routing
 from tidemark.plans import dim as plans_dim, traffic
@@ -156,3 +157,17 @@ def test_what_records_of_a_log_line_share_is_written_once(spark):
     # rows are generated by the parse and by the split only; all between is projected
     assert plan.count("Generate ") == 2
     assert "_texts" in plan and "_shared" in plan
+
+
+def test_small_sides_are_hashed_for_their_joins(spark, sf):
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        rows = warehouse_queries.QUERIES["dwd_order_pre_process"](spark, sf)
+        assert rows.collect()
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(limit, before)
+    final = plan[: plan.index("Initial Plan")]
+    assert "ShuffledHashJoin" in final and "SortMergeJoin" not in final

@@ -17,6 +17,8 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # sides that prove small enough in every partition are hashed, so that nothing is sorted for their join
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # split a hot key even where two joins in a row share one shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # rows written by table or tag go to one open file of each, without a sort of all rows before
