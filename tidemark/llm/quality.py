@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.columns import carries_columns
-from tidemark.llm.text import as_bytes, hash_spans, mix64, raw, slices
+from tidemark.llm.text import as_bytes, give_back, hash_spans, mix64, raw, slices, trimmed
 
 BITS = 18
 SCALE = 30.0
@@ -110,6 +110,9 @@ def fit_shard(rows: pd.DataFrame) -> pd.DataFrame:
         examples.append((np.append(at, 1 << BITS), np.append(values, 1.0), int(label)))
     weights = ftrl(examples, EPOCHS)
     at = np.flatnonzero(weights)
+    # the worker stays and shares the executor with the stages that follow
+    del examples
+    give_back()
     return pd.DataFrame({"at": at, "weight": weights[at]})
 
 
@@ -155,5 +158,5 @@ def score(
             yield pa.RecordBatch.from_arrays(batch.columns[: len(kept)] + out, names=kept + ["score"])
 
     schema = docs.select(*columns).schema.add("score", "double")
-    out = docs.select(*columns, as_bytes().alias("_bytes")).mapInArrow(scored, schema)
+    out = docs.select(*columns, as_bytes().alias("_bytes")).mapInArrow(lambda batches: trimmed(scored(batches)), schema)
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
