@@ -221,11 +221,13 @@ def user_jump_batches(spark, sf):
     shaken = (F.col("ts") + F.pmod(F.xxhash64("seq"), F.lit(1000))).cast("double")
     bounds = time_bounds(pages.select(F.col("ts").cast("double").alias("at")), "at", SPLITS)
     files = write_splits(pages.orderBy(F.xxhash64("seq")), split_of(shaken, bounds), SPLITS, f"{folder}/in")
-    last = pages.agg(F.max("ts")).first()[0] + 2 * 86_400_000
-    # a device of its own that opens no session
+    last = pages.agg(F.max("ts")).first()[0]
+    # a device of its own that opens no session; an event that its first row gives its turn is timed out by the second
     other = F.col("common").withField("mid", F.lit("later")), F.col("page").withField("last_page_id", F.lit("home"))
-    late = pages.limit(1).withColumns({"common": other[0], "page": other[1], "ts": F.lit(last)})
-    write_splits(late, F.lit(0), 1, f"{folder}/in", files)
+    later = [last + days * 86_400_000 for days in (2, 4)]
+    ends = F.explode(F.array(*map(F.lit, later)))
+    late = pages.limit(1).withColumns({"common": other[0], "page": other[1], "ts": ends})
+    write_splits(late, split_of("ts", later[:1]), len(later), f"{folder}/in", files)
     found = played(traffic.user_jump(read_splits(spark, f"{folder}/in", pages.schema, files), q.JUMP_LIMIT), folder)
     return q._flat_page(found)
 

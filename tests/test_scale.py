@@ -10,7 +10,7 @@ from pyspark.sql import Row, functions as F
 
 import warehouse_queries
 from tidemark import topics as t
-from tidemark.operators import firsts, logsplit, routing
+from tidemark.operators import firsts, logsplit, patterns, routing
 from tidemark.plans import dim as plans_dim, traffic
 from tidemark.session import prepare
 from tidemark.sinks import dimensions, loads, split, topics as out
@@ -87,6 +87,37 @@ def test_keys_of_a_bucket_share_a_state(spark, folder, monkeypatch):
     assert query.lastProgress.stateOperators[0].numRowsTotal <= 3 * 4
 
 
+def test_patterns_keep_one_state_and_one_timer_for_a_bucket_of_keys(spark, folder, monkeypatch):
+    monkeypatch.setattr(stateful, "BUCKETS", 4)
+    # 50 keys with several events a second, also of one time, in batches that overlap by less than the delay, a null key too
+    number = F.col("id")
+    rows = spark.range(600).select(
+        F.when(number % 51 > 0, F.concat(F.lit('k"ü'), (number % 51).cast("string"))).alias("key"),
+        F.timestamp_millis(F.lit(1_700_000_000_000) + number * 50 - F.pmod(F.hash("id"), F.lit(900))).cast("timestamp").alias("at"),
+        number.alias("seq"),
+        (F.pmod(F.xxhash64("id"), F.lit(3)) > 0).alias("entry"),
+    )
+    ends = spark.range(2).select(F.lit("end").alias("key"), F.timestamp_seconds(F.lit(1_700_001_000) + F.col("id") * 1000).alias("at"), F.lit(-1).cast("bigint").alias("seq"), F.lit(False).alias("entry"))
+    split = F.floor(F.when(F.col("seq") >= 0, F.col("seq") / 150).otherwise(F.unix_seconds("at") / 1000 - 1_700_001 + 4))
+    files = replay.write_splits(rows.unionByName(ends), split, 6, f"{folder}/in")
+
+    def found(events):
+        return patterns.followed_by_within(events, "key", "at", ["seq"], "entry", "entry", "3 seconds")
+
+    progress = []
+
+    def run(stream, put, name, checkpoint, idle_batches):
+        progress.extend(run_available(stream, put, name, checkpoint, idle_batches).recentProgress)
+
+    stream = replay.read_splits(spark, f"{folder}/in", rows.schema, files).withWatermark("at", "2 seconds")
+    given = replay.played(found(stream), folder, run=lambda *parts, **named: run(*parts, idle_batches=True))
+    expected = sorted(map(tuple, found(rows).collect()))
+    assert sorted(map(tuple, given.collect())) == expected and 100 < len(expected) < 400
+    # a state, and a timer under its key and under its time; 51 keys of which most hold rows
+    assert max(p.stateOperators[0].numRowsTotal for p in progress if p.stateOperators) <= 3 * 5
+    assert progress[-1].stateOperators[0].numRowsTotal <= 3
+
+
 def test_streams_that_are_asked_for_are_the_same_rows(spark):
     lines = spark.createDataFrame(
         [('{"common":{"mid":"1","is_new":"1"},"page":{"page_id":"p"},"displays":[{"item":"1"},3],"actions":[{"ts":7}],"err":{"c":1},"ts":1}', 1),

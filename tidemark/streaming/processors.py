@@ -248,12 +248,18 @@ class LatestWins(_Keyed):
 
 
 class FollowedBy(_Keyed):
-    """Judges start events by the next event of the key, in event-time order.
+    """Judges start events by the next event of their key (``_id``), in event-time order, for a bucket of keys.
 
     Rows wait until the watermark has passed them, because only then is their
     order final; rows of one millisecond wait together.  ``_row`` is NULL for
     rows that are no start events.  The open start event is kept until the next
     row or until its time is up.
+
+    A bucket's memory is read and written once a batch: the open start event
+    and the waiting rows of each of its keys.  It has one timer, for the time
+    at which something is due next; all that the watermark has passed by then
+    is judged at once.  A start event that a timer has opened is timed out by a
+    later batch.
     """
 
     def __init__(self, limit_ms: int):
@@ -261,35 +267,57 @@ class FollowedBy(_Keyed):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getMapState("pending", "at BIGINT", "rows STRING")
-        self.open = handle.getValueState("open", "at BIGINT, row STRING")
+        self.held = handle.getValueState("held", "due BIGINT, keys STRING")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        arrived: dict[int, list] = {}
+        due, keys = self._read()
         for row in rows:
-            arrived.setdefault(row["_at"], []).append([row["_place"], row["_follows"], row["_row"]])
-        for at, batch in arrived.items():
-            held = json.loads(self.pending.getValue((at,))[0]) if self.pending.containsKey((at,)) else []
-            self.pending.updateValue((at,), (json.dumps(held + batch),))
-            if not held:
-                self.handle.registerTimer(at)
-        yield from ()
+            _, waiting = keys.setdefault(row["_id"], (None, []))
+            waiting.append([row["_at"], row["_place"], row["_follows"], row["_row"]])
+        settled, coming = self._judge(keys, timerValues.getCurrentWatermarkInMs())
+        if coming != due:
+            if due is not None:
+                self.handle.deleteTimer(due)
+            if coming is not None:
+                self.handle.registerTimer(coming)
+        return (PLAIN(text) for text in settled)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        start = tuple(self.open.get()) if self.open.exists() else None
-        if self.pending.containsKey((now,)):
-            rows = json.loads(self.pending.getValue((now,))[0])
-            self.pending.removeKey((now,))
-            for _, follows, text in sorted(rows, key=lambda row: _rank(row[0])):
-                if start is not None and (follows or now - start[0] >= self.limit_ms):
-                    yield PLAIN(start[1])
-                start = (now, text) if text is not None else None
-        if start is not None and now - start[0] >= self.limit_ms:
-            yield PLAIN(start[1])
-            start = None
-        if start is None:
-            self.open.clear()
-        else:
-            self.open.update(start)
-            self.handle.registerTimer(start[0] + self.limit_ms)
+        due, keys = self._read()
+        if due != expiredTimerInfo.getExpiryTimeInMs():
+            return iter(())
+        settled, coming = self._judge(keys, timerValues.getCurrentWatermarkInMs())
+        if coming is not None:
+            self.handle.registerTimer(coming)
+        return (PLAIN(text) for text in settled)
+
+    def _read(self) -> tuple[int | None, dict]:
+        value = self.held.get()
+        return (value[0], json.loads(value[1])) if value is not None else (None, {})
+
+    def _judge(self, keys: dict, mark: int) -> tuple[list[str], int | None]:
+        """Start events settled by rows before ``mark``, and when something is due next; keeps all that is open."""
+        settled: list[str] = []
+        left: dict[str, tuple] = {}
+        times: list[int] = []
+        for name, (start, waiting) in keys.items():
+            passed = [row for row in waiting if row[0] < mark]
+            for at, _, follows, text in sorted(passed, key=lambda row: (row[0], _rank(row[1]))):
+                if start is not None and (follows or at - start[0] >= self.limit_ms):
+                    settled.append(start[1])
+                start = (at, text) if text is not None else None
+            if start is not None and not passed and start[0] + self.limit_ms < mark:
+                settled.append(start[1])
+                start = None
+            later = [row for row in waiting if row[0] >= mark]
+            if start is not None or later:
+                left[name] = start, later
+                times += [row[0] for row in later]
+            if start is not None:
+                times.append(start[0] + self.limit_ms)
+        if left:
+            coming = min(times)
+            self.held.update((coming, json.dumps(left, ensure_ascii=False)))
+            return settled, coming
+        self.held.clear()
+        return settled, None

@@ -136,6 +136,10 @@ def repair_is_new(records: DataFrame, tie: list[str]) -> DataFrame:
     return repaired.unionByName(records.filter(~judgeable))
 
 
+def _bucket(name: Column) -> Column:
+    return F.pmod(F.xxhash64(name), F.lit(BUCKETS)).cast("string")
+
+
 def _bucketed(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Packed rows under the bucket of their key, with the key as ``_id``.
 
@@ -143,7 +147,7 @@ def _bucketed(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     task; a bucket costs them once for all of its keys.
     """
     name = F.to_json(F.struct(*keys))
-    return _packed(rows, F.pmod(F.xxhash64(name), F.lit(BUCKETS)).cast("string"), order, _id=name)
+    return _packed(rows, _bucket(name), order, _id=name)
 
 
 def first_wins(rows: DataFrame, keys: list[str], order: list[str], ttl: str) -> DataFrame:
@@ -159,9 +163,11 @@ def followed_by_within(
 ) -> DataFrame:
     """``time`` must carry a watermark; a key's last start event comes out once it has timed out."""
     rows = events.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
+    name = F.col(key).cast("string")
     packed = rows.select(
         time,
-        F.col(key).alias("_key"),
+        _bucket(name).alias("_key"),
+        name.alias("_id"),
         F.unix_millis(time).alias("_at"),
         _place(rows, tie).alias("_place"),
         F.coalesce(F.expr(following), F.lit(False)).alias("_follows"),
