@@ -11,7 +11,7 @@ from pyspark.sql import Row, functions as F
 import warehouse_queries
 from tidemark import topics as t
 from tidemark.operators import firsts, logsplit, patterns, routing
-from tidemark.plans import dim as plans_dim, traffic
+from tidemark.plans import dim as plans_dim, trade, traffic
 from tidemark.session import prepare
 from tidemark.sinks import dimensions, loads, split, topics as out
 from tidemark.sources import replay, sample, topics as src
@@ -202,3 +202,55 @@ def test_small_sides_are_hashed_for_their_joins(spark, sf):
         spark.conf.set(limit, before)
     final = plan[: plan.index("Initial Plan")]
     assert "ShuffledHashJoin" in final and "SortMergeJoin" not in final
+
+
+def _order_changes(spark):
+    """Changes of lines that repeat, have no id, no order or several orders, of orders that change or repeat, and extras of each."""
+
+    def of(table, kind, ts, old=None, **data):
+        return table, kind, str(ts), data, old
+
+    rows = [
+        of("order_detail", "insert", 1, id=line, order_id=order, sku_id=sku, source_type="2401", create_time="t")
+        for line, order, sku in [
+            ("1", "a", "x"), ("1", "a", "y"), ("1", "b", "x"), ("2", "a", "x"), ("2", "a", "x"), (None, "a", "x"),
+            (None, "c", "y"), ("3", None, "x"), ("4", "none", "x"), ("", "b", "x"), ("5", "b", "x"), ("6", "", "x"),
+        ]
+    ]
+    for order in ("a", "b", "c", None, "", "other"):
+        rows.append(of("order_info", "insert", 2, id=order, order_status="1001", user_id="u"))
+        rows.append(of("order_info", "update", 3, {"order_status": "1001"}, id=order, order_status="1002", user_id="u"))
+    rows.append(rows[-12])
+    for line in ("1", "1", "2", None, "", "9"):
+        rows.append(of("order_detail_activity", "insert", 1, id="7", order_detail_id=line, activity_id="p"))
+        rows.append(of("order_detail_coupon", "insert", 1, id="8", order_detail_id=line, coupon_id="q"))
+    made = spark.createDataFrame(rows, "table STRING, type STRING, ts STRING, data MAP<STRING, STRING>, old MAP<STRING, STRING>")
+    return made.withColumns({"database": F.lit("shop"), "pt": F.current_timestamp()})
+
+
+def test_changes_brought_to_their_lines_are_the_same_rows(spark):
+    changes, clock = _order_changes(spark), F.timestamp_seconds(F.col("order_ts").cast("bigint"))
+    usual, by_line = (
+        trade.order_pre_process(changes, sample.dictionary(spark), clock=clock, by_line=way).withColumn("old", F.to_json("old"))
+        for way in (False, True)
+    )
+    assert usual.columns == by_line.columns
+    rows = sorted(map(str, usual.collect()))
+    assert sorted(map(str, by_line.collect())) == rows
+    lines = [row.id for row in usual.collect()]
+    assert lines.count(None) == 4 + 1 and lines.count("2") == 2 * 3 and "" in lines and "3" not in lines
+
+
+def test_latest_rows_of_lines_are_taken_where_their_join_left_them(spark, sf):
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "4KB")
+    try:
+        rows = warehouse_queries.QUERIES["dwd_order_pre_process_latest"](spark, sf)
+        assert rows.collect()
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(limit, before)
+    final = plan[: plan.index("Initial Plan")]
+    above = final[final.index("Window [") : final.index("Join [id")]
+    assert "Exchange" not in above and "ShuffleQueryStage" not in above

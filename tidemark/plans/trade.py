@@ -44,11 +44,14 @@ def order_pre_process(
     ttl: str | None = None,
     clock: Column | None = None,
     database: str | None = None,
+    by_line: bool = False,
 ) -> DataFrame:
     """Order lines with their order, activity and coupon: 44 columns, one row per line and order change.
 
     ``clock`` gives ``row_op_ts``; it may use ``ts`` (of the line) and
     ``order_ts`` (of the order change), and is the wall clock by default.
+    ``by_line`` leaves the rows of a bounded input where their line's ``id``
+    put them, for what goes on by that; otherwise they lie by order.
     """
     ttl = _ttl(changes, ttl, ORDER_TTL)
     lines = lookup_join(c.order_details(changes, database), dictionary, "source_type", "source_type_name")
@@ -69,11 +72,32 @@ def order_pre_process(
     # inputs add what belongs to the line before that: both left joins then
     # share one shuffle by line.  A stream must not delay lines by its left
     # joins before they have met their order.
-    joined = with_extras(with_orders(lines)) if lines.isStreaming else with_orders(with_extras(lines))
+    if lines.isStreaming:
+        joined = with_extras(with_orders(lines))
+    elif by_line and ttl is None:
+        # lines without an id meet their order, but lie nowhere
+        joined = _changes_by_line(with_extras(lines), lines, orders)
+        joined = joined.unionByName(with_orders(with_extras(lines.filter(F.col("id").isNull()))))
+    else:
+        joined = with_orders(with_extras(lines))
     shaped = joined.withColumnRenamed("source_type", "source_type_id")
     return shaped.withColumn("row_op_ts", _now(clock)).select(*s.ORDER_PRE, "old", "row_op_ts")
 
 
+def _changes_by_line(rows: DataFrame, lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """The inner join of lines with an id and their orders, with the changes of an order brought to its lines.
+
+    Which lines an order has is told by two columns, so the lines' own are not
+    shuffled to meet their order, nor the joined ones to meet by line again.
+    """
+    names = lines.select(F.col("id").alias("_line"), F.col("order_id").alias("_order"))
+    names = names.filter(F.col("_line").isNotNull()).repartition("_order").distinct()
+    changed = orders.drop("pt").join(names, F.col("id") == F.col("_order")).drop("id")
+    # equal, but as a range: a key of the join would tear the rows of a line apart
+    theirs = F.col("order_id").between(F.col("_order"), F.col("_order"))
+    return rows.join(changed, (F.col("id") == F.col("_line")) & theirs).drop("_line", "_order")
+
+
 def order_detail(order_pre: DataFrame) -> DataFrame:
     return c.placed_details(order_pre)
 

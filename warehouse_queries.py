@@ -54,14 +54,14 @@ def _changes(spark: SparkSession, sf: str) -> DataFrame:
     return sample.changelog(prepare(spark), sf)
 
 
-def _order_pre(spark: SparkSession, sf: str) -> DataFrame:
+def _order_pre(spark: SparkSession, sf: str, **options) -> DataFrame:
     # the time of the order change stands in for the wall clock of the join
     clock = F.timestamp_seconds(F.col("order_ts").cast("bigint"))
-    return trade.order_pre_process(_changes(spark, sf), sample.dictionary(spark), clock=clock)
+    return trade.order_pre_process(_changes(spark, sf), sample.dictionary(spark), clock=clock, **options)
 
 
-def _order_detail(spark: SparkSession, sf: str) -> DataFrame:
-    return trade.order_detail(_order_pre(spark, sf))
+def _order_detail(spark: SparkSession, sf: str, **options) -> DataFrame:
+    return trade.order_detail(_order_pre(spark, sf, **options))
 
 
 def _pay_detail(spark: SparkSession, sf: str) -> DataFrame:
@@ -131,7 +131,7 @@ def order_pre_process(spark, sf):
 
 
 def order_pre_process_latest(spark, sf):
-    return _shown(latest_per_key(_order_pre(spark, sf), ["id"], LATEST_ORDER))
+    return _shown(latest_per_key(_order_pre(spark, sf, by_line=True), ["id"], LATEST_ORDER))
 
 
 def order_detail(spark, sf):
