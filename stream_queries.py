@@ -24,8 +24,9 @@ from tidemark.streaming.runner import run_clocked
 from tidemark.topics import Topic
 
 SPLITS = 5
-# Long enough for all rows of a key to arrive, which come in two batches after one another.
-WAIT = "30 seconds"
+# Seconds in which all rows of a key arrive, which come in two batches after one another, for each file of a batch.
+WAIT_SECONDS = 30
+WAIT = f"{WAIT_SECONDS} seconds"
 
 
 def _folder(spark: SparkSession) -> str:
@@ -241,11 +242,12 @@ def _adjacent(key: str, second: Column) -> Column:
 def first_wins_batches(spark, sf):
     """Order lines of which the first ones come in one batch, the others in the next."""
     folder = _folder(spark)
-    rows = q._order_detail(spark, sf).select("id", *q.LINE_ORDER)
+    rows = q._order_detail(spark, sf, by_line=True).select("id", *q.LINE_ORDER)
     ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("id").orderBy(*q.LINE_ORDER)))
     files = write_splits(ranked, _adjacent("id", F.col("_rank") > 1), SPLITS, f"{folder}/in")
     stream = read_splits(spark, f"{folder}/in", rows.schema, files)
-    found = played(firsts.first_wins(stream, ["id"], q.LINE_ORDER, WAIT), folder, run=run_clocked, drain=False)
+    wait = f"{WAIT_SECONDS * files} seconds"
+    found = played(firsts.first_wins(stream, ["id"], q.LINE_ORDER, wait), folder, run=run_clocked, drain=False)
     return found.select("id", *q.LINE_ORDER[1:])
 
 

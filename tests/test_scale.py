@@ -54,6 +54,31 @@ def test_splits_of_many_files_are_one_batch_each(spark, folder, monkeypatch):
     assert [path for path in pathlib.Path(folder).iterdir() if path.name.startswith("in-")] == []
 
 
+def test_splits_are_not_shuffled(spark, folder, monkeypatch):
+    monkeypatch.setattr(replay, "FILE_BYTES", 60_000)
+    rows = spark.range(6000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    monkeypatch.setattr(type(rows), "repartition", lambda *_: pytest.fail("shuffled"))
+    reads = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    assert replay.write_splits(rows, (F.col("id") % 2).cast("int"), 2, f"{folder}/in") > 1
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == reads
+    assert spark.read.parquet(f"{folder}/in").exceptAll(rows).count() == 0
+    assert spark.read.parquet(f"{folder}/in").count() == 6000
+
+
+def test_rows_are_shuffled_before_they_are_text(spark, folder):
+    rows = spark.range(100).select(F.concat(F.lit("k"), F.col("id") % 50).alias("key"), F.col("id").alias("at"), F.lit("x").alias("text"))
+    replay.write_splits(rows, F.lit(0), 1, f"{folder}/in")
+    found = firsts.first_wins(replay.read_splits(spark, f"{folder}/in", rows.schema), ["key"], ["at"], "1 hour")
+    given = []
+    query = run_available(found, lambda batch, number: given.extend(batch.collect()), "t", f"{folder}/cp", idle_batches=False)
+    assert sorted(row.at for row in given) == list(range(50))
+    plan = query._jsq.explainInternal(False)
+    assert plan.count("Exchange") == 1
+    # of all that is packed only the key is a text already, for its bucket
+    above, below = plan.split("Exchange")
+    assert "timestampFormat" in above[above.index("Sort [_key") :] and "timestampFormat" not in below
+
+
 def test_rows_of_splits_are_computed_once(spark, folder):
     seen = spark.sparkContext.accumulator(0)
 

@@ -15,6 +15,7 @@ from tidemark.streaming.runner import run_available
 APART = 0.01
 #: Bytes of a split that one file holds, and so one task writes and one reads.
 FILE_BYTES = 4 << 20
+READ_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
 def time_bounds(rows: DataFrame, at: str, splits: int) -> list[float]:
@@ -36,7 +37,8 @@ def write_splits(rows: DataFrame, split: Column, splits: int, folder: str, files
 
     The rows are computed once, and written aside first.  Every split has the
     same number of files, by the size of the largest one if ``files`` is not
-    given, so that this many files make up one split.
+    given, so that this many files make up one split.  Files written aside are
+    put together as they are read, never shuffled.
     """
     spark = rows.sparkSession
     aside = f"{folder.rstrip('/')}-{uuid4().hex}"
@@ -45,16 +47,21 @@ def write_splits(rows: DataFrame, split: Column, splits: int, folder: str, files
     schema = StructType([*rows.schema.fields]).add("_split", IntegerType())
     staged = spark.read.schema(schema).parquet(aside)
     if files is None:
-        sizes = [sum(file_sizes(spark, f"{aside}/_split={number}")) for number in range(splits)]
-        files = max(1, -(-max(sizes) // FILE_BYTES))
-    for number in range(splits):
-        part = staged.filter(F.col("_split") == number).drop("_split")
-        before = len(file_sizes(spark, folder))
-        (part.repartition(files) if files > 1 else part.coalesce(1)).write.mode("append").parquet(folder)
-        # a task without rows writes no file
-        for _ in range(files - (len(file_sizes(spark, folder)) - before)):
-            part.limit(0).coalesce(1).write.mode("append").parquet(folder)
-        time.sleep(APART)
+        sizes = [file_sizes(spark, f"{aside}/_split={number}") for number in range(splits)]
+        files = max(1, *[min(len(some), -(-sum(some) // FILE_BYTES)) for some in sizes])
+    before = spark.conf.get(READ_BYTES)
+    spark.conf.set(READ_BYTES, str(FILE_BYTES))
+    try:
+        for number in range(splits):
+            part = staged.filter(F.col("_split") == number).drop("_split")
+            there = len(file_sizes(spark, folder))
+            part.coalesce(files).write.mode("append").parquet(folder)
+            # a task without rows writes no file
+            for _ in range(files - (len(file_sizes(spark, folder)) - there)):
+                part.limit(0).coalesce(1).write.mode("append").parquet(folder)
+            time.sleep(APART)
+    finally:
+        spark.conf.set(READ_BYTES, before)
     remove_folder(spark, aside)
     return files
 

@@ -191,13 +191,10 @@ class FirstWins(_Keyed):
         known = {name: until for name, until in _held(self.seen).items() if until > now}
         first: dict[str, tuple] = {}
         arrived: set[str] = set()
-        for row in rows:
-            name = row["_id"]
+        for _, place, text, name in rows:
             arrived.add(name)
-            if name not in known:
-                own = _rank(row["_place"])
-                if name not in first or own < first[name][0]:
-                    first[name] = own, row["_row"]
+            if name not in known and (name not in first or _rank(place) < _rank(first[name][0])):
+                first[name] = place, text
         known.update(dict.fromkeys(arrived, now + self.ttl_ms))
         self.seen.update((json.dumps(known, ensure_ascii=False),))
         for _, text in first.values():

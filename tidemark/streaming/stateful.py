@@ -51,9 +51,9 @@ def _json_value(rows: DataFrame, name: str) -> Column:
     return F.regexp_replace(F.to_json(F.array(F.col(name).cast("string"))), r"^\[|\]$", "")
 
 
-def _packed(rows: DataFrame, key: Column, order: list[str], **more: Column) -> DataFrame:
+def _packed(rows: DataFrame, key: Column, order: list[str], columns: list[str] | None = None, **more: Column) -> DataFrame:
     fields = [value.alias(name) for name, value in more.items()]
-    row = F.to_json(F.struct(*rows.columns), EXACT)
+    row = F.to_json(F.struct(*(columns or rows.columns)), EXACT)
     return rows.select(key.alias("_key"), _place(rows, order).alias("_place"), row.alias("_row"), *fields)
 
 
@@ -144,10 +144,14 @@ def _bucketed(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Packed rows under the bucket of their key, with the key as ``_id``.
 
     A state of its own for each key costs several calls from the worker to its
-    task; a bucket costs them once for all of its keys.
+    task; a bucket costs them once for all of its keys.  Rows are shuffled as
+    they are and packed by their bucket's task: as text they are twice the size.
     """
     name = F.to_json(F.struct(*keys))
-    return _packed(rows, _bucket(name), order, _id=name)
+    columns = rows.columns
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lying = rows.withColumn("_bucket", _bucket(name)).repartition(tasks, "_bucket")
+    return _packed(lying, F.col("_bucket"), order, columns, _id=name)
 
 
 def first_wins(rows: DataFrame, keys: list[str], order: list[str], ttl: str) -> DataFrame:
