@@ -14,6 +14,7 @@ import json
 from collections.abc import Iterator
 from datetime import date
 
+import pandas as pd
 from pyspark.sql import Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -177,7 +178,8 @@ class FirstWins(_Keyed):
     """Passes the first row of each key (``_id``) of a bucket; every later one prolongs the memory of it.
 
     A bucket's memory is read and written once a batch: until when each of its
-    keys is known.  It is gone when the last of them is.
+    keys is known.  It is gone when the last of them is.  Rows come and go in
+    frames of many.
     """
 
     def __init__(self, ttl_ms: int):
@@ -186,19 +188,22 @@ class FirstWins(_Keyed):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "keys STRING", self.ttl_ms)
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs()
         known = {name: until for name, until in _held(self.seen).items() if until > now}
         first: dict[str, tuple] = {}
         arrived: set[str] = set()
-        for _, place, text, name in rows:
-            arrived.add(name)
-            if name not in known and (name not in first or _rank(place) < _rank(first[name][0])):
-                first[name] = place, text
+        for frame in rows:
+            # names with an underscore in front do not reach a frame, their order does
+            _, places, texts, names = (frame[column] for column in frame.columns)
+            arrived.update(names)
+            for name, place, text in zip(names, places, texts):
+                if name not in known and (name not in first or _rank(place) < _rank(first[name][0])):
+                    first[name] = place, text
         known.update(dict.fromkeys(arrived, now + self.ttl_ms))
         self.seen.update((json.dumps(known, ensure_ascii=False),))
-        for _, text in first.values():
-            yield PLAIN(text)
+        if first:
+            yield pd.DataFrame({"_row": [text for _, text in first.values()]})
 
 
 class LatestWins(_Keyed):

@@ -63,8 +63,9 @@ def _unpacked(found: DataFrame, rows: DataFrame) -> DataFrame:
     return found.select(F.from_json("_row", schema, EXACT).alias("_row"), *others).select("_row.*", *others)
 
 
-def _run(packed: DataFrame, processor, output: StructType, mode: str, event_time: str = "") -> DataFrame:
-    return packed.groupBy("_key").transformWithState(
+def _run(packed: DataFrame, processor, output: StructType, mode: str, event_time: str = "", frames: bool = False) -> DataFrame:
+    grouped = packed.groupBy("_key")
+    return (grouped.transformWithStateInPandas if frames else grouped.transformWithState)(
         statefulProcessor=processor,
         outputStructType=output,
         outputMode="Append",
@@ -155,7 +156,7 @@ def _bucketed(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def first_wins(rows: DataFrame, keys: list[str], order: list[str], ttl: str) -> DataFrame:
-    return _unpacked(_run(_bucketed(rows, keys, order), p.FirstWins(millis(ttl)), _result(), "ProcessingTime"), rows)
+    return _unpacked(_run(_bucketed(rows, keys, order), p.FirstWins(millis(ttl)), _result(), "ProcessingTime", frames=True), rows)
 
 
 def latest_wins(rows: DataFrame, keys: list[str], by: str, tie: list[str], wait: str) -> DataFrame:
