@@ -80,14 +80,16 @@ def tagged_fields(read: DataFrame, common_as_string: bool = False, tags: Sequenc
 
     record, none = F.col("_record"), F.array().cast("array<struct<tag: string, value: string>>")
     launch = record["start"].isNotNull()
-    kept = F.when(~launch, _without(record, "err", "displays", "actions"))
+    rest = _without(record, "err", "displays", "actions")
+    kept = F.when(~launch, rest)
     each = F.transform(F.map_entries(kept), lambda field: _object(field["key"], field["value"]))
     # to write a variant as text is most of the work, so what the page, its displays and its actions share is written once
-    written = whole.select("_record", F.map_from_arrays(F.map_keys(kept), _inside(each)).alias("_texts"))
+    sharing = {"display", "action"} & set(tags)
+    written = whole.select("_record", F.map_from_arrays(F.map_keys(kept), _inside(each)).alias("_texts")) if sharing else whole
     texts = F.col("_texts")
-    common = _member("common", F.to_json(record["common"]).cast("variant")) if common_as_string else texts["common"]
-    page_id = _member("page_id", _part(record["page"], "variant", "$.page_id"))
-    if {"display", "action"} & set(tags):
+    if sharing:
+        common = _member("common", F.to_json(record["common"]).cast("variant")) if common_as_string else texts["common"]
+        page_id = _member("page_id", _part(record["page"], "variant", "$.page_id"))
         shared = F.when(~launch, F.nullif(F.concat_ws(",", common, page_id), F.lit("")))
         written = written.select("_record", "_texts", shared.alias("_shared"))
 
@@ -106,7 +108,7 @@ def tagged_fields(read: DataFrame, common_as_string: bool = False, tags: Sequenc
 
         return F.when(~launch, F.coalesce(F.transform(fields, whole_item), none)).otherwise(none)
 
-    page = F.concat(F.lit("{"), F.array_join(F.map_values(texts), ","), F.lit("}"))
+    page = F.concat(F.lit("{"), F.array_join(F.map_values(texts), ","), F.lit("}")) if sharing else F.to_json(rest)
     made = {
         "error": lambda: F.when(record["err"].isNotNull(), F.array(one("error", F.to_json(record)))).otherwise(none),
         "start": lambda: F.when(launch, F.array(one("start", F.to_json(_without(record, "err"))))).otherwise(none),
